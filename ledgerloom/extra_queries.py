@@ -1,11 +1,43 @@
-"""Registered queries beyond the plain models (filled in as operators land)."""
+"""Registered queries beyond the plain models: checks, loaders, metrics, pipeline."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerloom import oracle
+from ledgerloom.operators import quality as Q
+from ledgerloom.operators.checks import all_checks
+
+DQ_KEYS = {
+    "dq_not_null": ("not_null",),
+    "dq_unique": ("unique",),
+    "dq_accepted_values": ("accepted_values",),
+    "dq_relationships": ("relationships",),
+    "dq_expression": ("expression_is_true",),
+}
+
+
+def _dq(tests):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ledgerloom.registry import model_set
+        ms = model_set(spark, sf_dir)
+        return Q.run_checks(ms.__getitem__, all_checks(tests=tests)).drop("status")
+    return run
+
+
+def _dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerloom.registry import model_set
+    ms = model_set(spark, sf_dir)
+    return Q.run_checks(ms.__getitem__)
+
 
 def queries() -> dict:
-    return {}
+    out = {k: _dq(t) for k, t in DQ_KEYS.items()}
+    out["dq_report"] = _dq_report
+    return out
 
 
 def oracle_sql() -> dict:
-    return {}
+    out = {k: oracle.checks_sql(all_checks(tests=t)) for k, t in DQ_KEYS.items()}
+    out["dq_report"] = oracle.checks_sql(all_checks(), with_status=True)
+    return out

@@ -104,6 +104,11 @@ stg_ai_usage_events AS (
            TIMESTAMP '{FIXTURE_INGESTED_AT}' AS ingested_at
     FROM event_fields
 ),
+ai_usage_events AS (
+    SELECT json_object('event_id', event_id, 'account_id', account_id) AS raw_event,
+           source_file, ingested_at
+    FROM stg_ai_usage_events
+),
 int_account_revenue AS (
     WITH s AS (
         SELECT account_id,
@@ -353,3 +358,42 @@ def model_select(name: str) -> str:
         rep = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in dec)
         return with_models(f"SELECT * REPLACE ({rep}) FROM {name}")
     return with_models(f"SELECT * FROM {name}")
+
+
+def _sql_literal(v) -> str:
+    if isinstance(v, bool):
+        return f"'{str(v).lower()}'"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def check_failures_sql(check) -> str:
+    """Failing-row count of one declared check, as a scalar subquery."""
+    m, c = check.model, check.column
+    if check.test == "not_null":
+        return f"(SELECT count(*) FROM {m} WHERE {c} IS NULL)"
+    if check.test == "unique":
+        return (f"(SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
+                f"GROUP BY {c} HAVING count(*) > 1))")
+    if check.test == "accepted_values":
+        vals = ", ".join(_sql_literal(v) for v in check.arg)
+        col = f"lower(CAST({c} AS VARCHAR))" if isinstance(check.arg[0], bool) else c
+        return (f"(SELECT count(*) FROM (SELECT DISTINCT {c} FROM {m} "
+                f"WHERE {c} IS NOT NULL AND {col} NOT IN ({vals})))")
+    if check.test == "relationships":
+        to, field = check.arg
+        return (f"(SELECT count(*) FROM {m} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {to} pa WHERE pa.{field} = ch.{c}))")
+    if check.test == "expression_is_true":
+        return f"(SELECT count(*) FROM {m} WHERE NOT ({c} {check.arg}))"
+    raise ValueError(check.test)
+
+
+def checks_sql(checks, with_status: bool = False) -> str:
+    rows = []
+    for ch in checks:
+        f = check_failures_sql(ch)
+        status = f", CASE WHEN {f} = 0 THEN 'pass' ELSE 'fail' END AS status" if with_status else ""
+        rows.append(f"SELECT '{ch.check_id}' AS check_id, '{ch.layer}' AS layer, '{ch.model}' AS model, "
+                    f"'{ch.column}' AS column_name, '{ch.test}' AS test, "
+                    f"CAST({f} AS BIGINT) AS failures{status}")
+    return with_models("\nUNION ALL\n".join(rows))
