@@ -397,3 +397,93 @@ def checks_sql(checks, with_status: bool = False) -> str:
                     f"'{ch.column}' AS column_name, '{ch.test}' AS test, "
                     f"CAST({f} AS BIGINT) AS failures{status}")
     return with_models("\nUNION ALL\n".join(rows))
+
+
+def _ratio(num: str, den: str) -> str:
+    """Exact half-up num/den at 6 digits (non-negative integers), as DOUBLE."""
+    return (f"CASE WHEN COALESCE({den}, 0) = 0 THEN NULL ELSE "
+            f"CAST((({num}) * 2000000 + ({den})) // (2 * ({den})) AS DOUBLE) / 1000000 END")
+
+
+_PREVIEW = """
+    SELECT event_id, account_id, model_name AS model, feature_name AS feature, input_tokens,
+           output_tokens, latency_ms, status
+    FROM stg_ai_usage_events ORDER BY event_id LIMIT 5"""
+
+_PREVIEW_ALT = """
+    SELECT event_id, account_id, event_timestamp, CAST(NULL AS VARCHAR) AS model_name,
+           CAST(NULL AS VARCHAR) AS feature_name, CAST(NULL AS BIGINT) AS tokens_used,
+           CAST(NULL AS DOUBLE) AS cost
+    FROM stg_ai_usage_events ORDER BY event_id LIMIT 10"""
+
+EXTRA_SQL = {
+    "metric_mrr_arr": with_models("""
+        SELECT customer_key, COUNT(*) AS subscription_count,
+               CAST(SUM(mrr_amount) AS DOUBLE) AS total_mrr, CAST(SUM(arr_amount) AS DOUBLE) AS total_arr
+        FROM dim_subscription GROUP BY customer_key"""),
+    "metric_payment_rates": with_models(f"""
+        SELECT account_id, payment_count, successful_payment_count, failed_payment_count,
+               {_ratio('successful_payment_count', 'payment_count')} AS payment_success_rate,
+               {_ratio('failed_payment_count', 'payment_count')} AS payment_failure_rate
+        FROM int_account_revenue"""),
+    "metric_churn_pressure": with_models(f"""
+        SELECT plan_tier, COUNT(*) AS subscription_count,
+               COUNT(*) FILTER (WHERE churn_flag = TRUE) AS churned_count,
+               COUNT(*) FILTER (WHERE downgrade_flag = TRUE) AS downgraded_count,
+               COUNT(*) FILTER (WHERE upgrade_flag = TRUE) AS upgraded_count,
+               {_ratio('COUNT(*) FILTER (WHERE churn_flag = TRUE)', 'COUNT(*)')} AS churn_rate,
+               {_ratio('COUNT(*) FILTER (WHERE downgrade_flag = TRUE)', 'COUNT(*)')} AS downgrade_rate
+        FROM dim_subscription GROUP BY plan_tier"""),
+    "metric_support_burden": with_models(f"""
+        SELECT account_id, plan_tier, subscription_count, total_support_tickets, escalated_ticket_count,
+               CAST(avg_resolution_time_hours AS DOUBLE) AS avg_resolution_time_hours,
+               CAST(avg_first_response_time_minutes AS DOUBLE) AS avg_first_response_time_minutes,
+               CAST(avg_satisfaction_score AS DOUBLE) AS avg_satisfaction_score,
+               {_ratio('escalated_ticket_count', 'total_support_tickets')} AS escalation_rate,
+               {_ratio('total_support_tickets', 'subscription_count')} AS tickets_per_subscription
+        FROM int_customer_360"""),
+    "metric_ai_reliability": with_models(f"""
+        SELECT ai_model_key, feature_key, COUNT(*) AS event_count, SUM(total_tokens) AS total_tokens,
+               CAST({_avg('latency_ms')} AS DOUBLE) AS avg_latency_ms,
+               {_ratio('SUM(success_flag)', 'COUNT(*)')} AS success_rate,
+               {_ratio('SUM(failure_flag)', 'COUNT(*)')} AS failure_rate
+        FROM fact_ai_usage GROUP BY ai_model_key, feature_key"""),
+    "preview_events": with_models(_PREVIEW),
+    "preview_events_alt": with_models(_PREVIEW_ALT),
+    "load_csv": model_select("payments"),
+    "incremental_load": model_select("support_tickets"),
+    "landing_roundtrip": with_models("""
+        SELECT 'accounts' AS source, COUNT(*) AS "rows", COUNT(DISTINCT account_id) AS distinct_ids FROM accounts
+        UNION ALL SELECT 'subscriptions', COUNT(*), COUNT(DISTINCT subscription_id) FROM subscriptions
+        UNION ALL SELECT 'payments', COUNT(*), COUNT(DISTINCT payment_id) FROM payments
+        UNION ALL SELECT 'support_tickets', COUNT(*), COUNT(DISTINCT ticket_id) FROM support_tickets
+        UNION ALL SELECT 'ai_usage_events', COUNT(*), COUNT(DISTINCT event_id) FROM stg_ai_usage_events"""),
+    "source_presence": """
+        SELECT * FROM (VALUES
+            ('accounts', 'postgres/accounts', TRUE),
+            ('subscriptions', 'postgres/subscriptions', TRUE),
+            ('payments', 'external/payments', TRUE),
+            ('support_tickets', 'external/support_tickets', TRUE),
+            ('ai_usage_events', 'events/ai_usage', TRUE)) AS t(source, prefix, present)""",
+}
+
+# relation → layer for the pipeline summary
+PIPELINE_RELATIONS = [
+    ("raw", "accounts"), ("raw", "subscriptions"), ("raw", "payments"), ("raw", "support_tickets"),
+    ("raw", "ai_usage_events"),
+    ("staging", "stg_accounts"), ("staging", "stg_subscriptions"), ("staging", "stg_payments"),
+    ("staging", "stg_support_tickets"), ("staging", "stg_ai_usage_events"),
+    ("intermediate", "int_account_revenue"), ("intermediate", "int_subscription_metrics"),
+    ("intermediate", "int_customer_360"), ("intermediate", "int_ai_usage_metrics"),
+    ("marts", "dim_customer"), ("marts", "dim_subscription"), ("marts", "dim_ai_model"),
+    ("marts", "dim_feature"), ("marts", "fact_ai_usage"), ("marts", "fact_payments"),
+    ("marts", "fact_support_tickets"), ("marts", "dim_date"),
+]
+
+
+def pipeline_summary_sql(checks) -> str:
+    rows = [f"SELECT '{layer}' AS layer, '{name}' AS table_name, (SELECT COUNT(*) FROM {name}) AS \"rows\""
+            for layer, name in PIPELINE_RELATIONS]
+    failing = " + ".join(f"CASE WHEN {check_failures_sql(c)} > 0 THEN 1 ELSE 0 END" for c in checks)
+    rows.append(f"SELECT 'tests', 'failing_checks', CAST({failing} AS BIGINT)")
+    return with_models("\nUNION ALL\n".join(rows))
