@@ -43,14 +43,23 @@ def _cmp(df):
     return comparable(df)
 
 
+def _checked(spark: SparkSession, sf_dir: str, checks) -> DataFrame:
+    """Store every relation the checks read once (shared folder), then run
+    the checks over the stored tables."""
+    ms = _ms(spark, sf_dir)
+    needed = {c.model for c in checks} | {c.arg[0] for c in checks if c.test == "relationships"}
+    ms.store(spark, needed, run_dir(spark, "dq"))
+    return Q.run_checks(ms.__getitem__, checks)
+
+
 def _dq(tests):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return Q.run_checks(_ms(spark, sf_dir).__getitem__, all_checks(tests=tests)).drop("status")
+        return _checked(spark, sf_dir, all_checks(tests=tests)).drop("status")
     return run
 
 
 def _dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.run_checks(_ms(spark, sf_dir).__getitem__)
+    return _checked(spark, sf_dir, all_checks())
 
 
 def _metric(name):

@@ -25,15 +25,22 @@ class Model:
     build: Callable[..., DataFrame]
     upstream: tuple[str, ...]
     needs_as_of: bool = False
+    passthrough: bool = False   # SELECT * of its single upstream
 
 
 RAW = ("accounts", "subscriptions", "payments", "support_tickets", "ai_usage_events")
 
+# Relations worth storing when several consumers read them: each costs a
+# shuffle (join of two large inputs, aggregation) or a parse. Everything else
+# is a per-row projection that Spark fuses into the scan of its stored input.
+REUSE_STORE = ("payments", "stg_ai_usage_events", "int_account_revenue",
+               "int_subscription_metrics", "int_customer_360")
+
 MODELS: dict[str, Model] = {m.name: m for m in [
-    Model("stg_accounts", "staging", "view", S.stg_accounts, ("accounts",)),
-    Model("stg_subscriptions", "staging", "view", S.stg_subscriptions, ("subscriptions",)),
-    Model("stg_payments", "staging", "view", S.stg_payments, ("payments",)),
-    Model("stg_support_tickets", "staging", "view", S.stg_support_tickets, ("support_tickets",)),
+    Model("stg_accounts", "staging", "view", S.stg_accounts, ("accounts",), passthrough=True),
+    Model("stg_subscriptions", "staging", "view", S.stg_subscriptions, ("subscriptions",), passthrough=True),
+    Model("stg_payments", "staging", "view", S.stg_payments, ("payments",), passthrough=True),
+    Model("stg_support_tickets", "staging", "view", S.stg_support_tickets, ("support_tickets",), passthrough=True),
     Model("stg_ai_usage_events", "staging", "view", S.stg_ai_usage_events, ("ai_usage_events",)),
     Model("int_account_revenue", "intermediate", "view", I.int_account_revenue,
           ("stg_accounts", "stg_subscriptions", "stg_payments")),
@@ -119,11 +126,15 @@ def topological_order() -> list[str]:
 class ModelSet:
     """Lazily built models over a dict of raw DataFrames."""
 
-    def __init__(self, raw: dict[str, DataFrame], as_of=None):
-        self._frames: dict[str, DataFrame] = dict(raw)
+    def __init__(self, raw: dict, as_of=None):
+        """``raw`` maps raw table names to DataFrames or zero-argument builders."""
+        self._frames: dict[str, DataFrame] = {k: v for k, v in raw.items() if isinstance(v, DataFrame)}
+        self._builders = {k: v for k, v in raw.items() if not isinstance(v, DataFrame)}
         self.as_of = as_of
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames and name in self._builders:
+            self._frames[name] = self._builders[name]()
         if name not in self._frames:
             m = MODELS[name]
             args = [self[u] for u in m.upstream]
@@ -134,3 +145,24 @@ class ModelSet:
     def override(self, name: str, df: DataFrame) -> None:
         """Replace a built model (e.g. by its materialised table)."""
         self._frames[name] = df
+
+    def store(self, spark, names, root: str, only=REUSE_STORE) -> None:
+        """Write the relations ``names`` depend on that are in ``only``, in
+        dependency order, each built from its already-stored upstream, and
+        replace them by the stored tables. Each stored relation is computed
+        once, and lineage is cut there, so a lost executor never recomputes
+        earlier layers."""
+        wanted = set()
+        for n in names:
+            wanted |= {n} | set(upstream(n)) | set(MODELS[n].upstream if n in MODELS else ())
+        wanted |= {u for n in list(wanted) if n in MODELS for u in MODELS[n].upstream}
+        order = [r for r in RAW if r in wanted] + [n for n in topological_order() if n in wanted]
+        for name in order:
+            if name not in only:
+                continue
+            path = f"{root.rstrip('/')}/{name}"
+            self[name].write.mode("overwrite").parquet(path)
+            self._frames[name] = spark.read.parquet(path)
+            # rebuild lazily-derived downstream frames on top of the stored table
+            for d in downstream(name):
+                self._frames.pop(d, None)

@@ -40,8 +40,17 @@ FIXTURE_INGESTED_AT = "2026-10-02 00:00:00"
 FIXTURE_AS_OF = "2026-10-02"
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Scan of one driver table. The (immutable) scan DataFrame is reused per
+    session, so repeated queries skip file listing and footer reads."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark._jsparkSession), path)
+    df = _SCANS.get(key)
+    if df is None:
+        df = _SCANS[key] = spark.read.parquet(path)
     return df.select(*cols) if cols else df
 
 
@@ -191,5 +200,7 @@ RAW_BUILDERS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: fn(spark, sf_dir) for name, fn in RAW_BUILDERS.items()}
+def raw_tables(spark: SparkSession, sf_dir: str) -> dict:
+    """Raw table builders (called on first use, so a query plans only the
+    sources it reads)."""
+    return {name: (lambda fn=fn: fn(spark, sf_dir)) for name, fn in RAW_BUILDERS.items()}
