@@ -32,6 +32,11 @@ CSV_OPTIONS = {
 }
 
 
+# Rows per landed file. Quoted-newline CSV (multiLine) cannot be split inside a
+# file, so bounded files are what keeps a load parallel.
+MAX_RECORDS_PER_FILE = 200_000
+
+
 def prefix_path(root: str, source: str) -> str:
     return os.path.join(root, LANDING_PREFIX[source])
 
@@ -42,7 +47,8 @@ def write_csv_landing(df: DataFrame, root: str, source: str, ingestion_date: str
                       mode: str = "append") -> str:
     path = prefix_path(root, source)
     (df.withColumn("ingestion_date", F.lit(ingestion_date))
-       .write.mode(mode).options(**CSV_OPTIONS).partitionBy("ingestion_date").csv(path))
+       .write.mode(mode).options(**CSV_OPTIONS).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+       .partitionBy("ingestion_date").csv(path))
     return path
 
 
@@ -52,7 +58,8 @@ def write_json_landing(json_lines: DataFrame, root: str, year: int, month: int,
     path = prefix_path(root, "ai_usage_events")
     (json_lines.select("value")
         .withColumn("year", F.lit(f"{year:04d}")).withColumn("month", F.lit(f"{month:02d}"))
-        .write.mode(mode).partitionBy("year", "month").text(path))
+        .write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .partitionBy("year", "month").text(path))
     return path
 
 
