@@ -77,11 +77,24 @@ def _accepted(col: Column, dtype: T.DataType, values) -> Column:
     return col.isin(*values)
 
 
-def accepted_values_failures(df: DataFrame, c: Check) -> DataFrame:
-    k = _col(c.column)
-    dtype = df.schema[c.column].dataType
-    bad = df.where(k.isNotNull() & ~_accepted(k, dtype, c.arg)).select(k).distinct()
-    return _label(bad.agg(F.count(F.lit(1)).alias("failures")), c)
+def accepted_values_by_model(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All ``accepted_values`` checks of one model in one pass: each row emits
+    (check, value) for its out-of-list values only, which are distinct-counted
+    per check; checks with no bad value report 0."""
+    pairs = []
+    for c in checks:
+        k = _col(c.column)
+        bad = k.isNotNull() & ~_accepted(k, df.schema[c.column].dataType, c.arg)
+        pairs.append(F.when(bad, F.struct(F.lit(c.check_id).alias("check_id"),
+                                          k.cast("string").alias("value"))))
+    bad_values = (df.select(F.explode(F.array(*pairs)).alias("p")).where(F.col("p").isNotNull())
+                    .select("p.check_id", "p.value").distinct()
+                    .groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
+    meta = df.sparkSession.createDataFrame(
+        [(c.check_id, c.layer, c.model, c.column, c.test) for c in checks],
+        "check_id string, layer string, model string, column_name string, test string")
+    return (meta.join(bad_values, "check_id", "left")
+                .select(*RESULT_COLUMNS[:-1], F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
 
 
 def relationships_failures(child: DataFrame, parent: DataFrame, c: Check) -> DataFrame:
@@ -102,16 +115,19 @@ def run_checks(resolve: Callable[[str], DataFrame], checks: Iterable[Check] | No
     checks = list(all_checks() if checks is None else checks)
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
+    accepted: dict[str, list[Check]] = {}
     for c in checks:
         if c.test in ("not_null", "expression_is_true"):
             by_model.setdefault(c.model, []).append(c)
+        elif c.test == "accepted_values":
+            accepted.setdefault(c.model, []).append(c)
     for model, cs in by_model.items():
         parts.append(row_predicate_failures(resolve(model), cs))
+    for model, cs in accepted.items():
+        parts.append(accepted_values_by_model(resolve(model), cs))
     for c in checks:
         if c.test == "unique":
             parts.append(unique_failures(resolve(c.model), c))
-        elif c.test == "accepted_values":
-            parts.append(accepted_values_failures(resolve(c.model), c))
         elif c.test == "relationships":
             parts.append(relationships_failures(resolve(c.model), resolve(c.arg[0]), c))
     out = reduce(DataFrame.unionByName, parts)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import quality as Q
 from ledgerloom.plans.catalog import Catalog
-from ledgerloom.plans.models import MODELS, RAW, ModelSet, select
+from ledgerloom.plans.models import MODELS, RAW, REUSE_STORE, ModelSet, select
 from ledgerloom.sources import landing as L
 
 # Views read by several marts; stored once instead of re-parsing JSON per consumer.
@@ -101,6 +101,14 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
         built = set(result.built)
         checks = [c for c in Q.all_checks()
                   if c.model in built and (c.test != "relationships" or c.arg[0] in built)]
+        # views with checks are aggregates read by several checks: snapshot
+        # each once (shared folder) instead of recomputing it per check
+        heavy = [n for n in built if n in MODELS and MODELS[n].layer == "intermediate"
+                 and MODELS[n].materialized == "view" and n in REUSE_STORE]
+        if heavy:
+            models.store(spark, heavy, cat.location("intermediate", "_test_snapshots"), only=heavy)
+            for n in heavy:
+                result.built[n] = (MODELS[n].layer, models[n])
         report = Q.run_checks(models.__getitem__, checks)
         report = cat.write_table("marts", "data_test_results", report)
         result.check_report = report

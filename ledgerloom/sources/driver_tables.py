@@ -150,12 +150,12 @@ def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON object per event (column ``value``), as the landing files hold them.
+def event_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One struct (column ``event``) per event with the JSON record's fields.
 
     ``subscription_id`` cycles over the number of orders, a scalar subquery
     (one count, planned once) so the share of dangling ids is the same at every
-    scale factor.
+    scale factor. NULL fields are absent from the rendered JSON.
     """
     ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
     n_orders = read_table(spark, sf_dir, "orders", "o_orderkey").select(F.count(F.lit(1))).scalar()
@@ -177,15 +177,24 @@ def event_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 2000).alias("latency_ms"),
         status_text.alias("status"),
     )
-    return ev.select(F.to_json(obj).alias("value"))
+    return ev.select(obj.alias("event"))
+
+
+def event_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON object per line (column ``value``), as the landing files hold them."""
+    return event_objects(spark, sf_dir).select(F.to_json("event").alias("value"))
 
 
 def ai_usage_events(spark: SparkSession, sf_dir: str,
                     source_file: str = FIXTURE_SOURCE_FILE,
                     ingested_at: str = FIXTURE_INGESTED_AT) -> DataFrame:
-    """RAW.AI_USAGE_EVENTS: the parsed event plus lineage columns."""
-    return event_json_lines(spark, sf_dir).select(
-        F.parse_json("value").alias("raw_event"),
+    """RAW.AI_USAGE_EVENTS: the event as VARIANT plus lineage columns.
+
+    The object is converted to VARIANT directly (same value as parsing its
+    JSON line); the JSON text path is exercised by the landing loader.
+    """
+    return event_objects(spark, sf_dir).select(
+        F.to_variant_object("event").alias("raw_event"),
         F.lit(source_file).alias("source_file"),
         F.lit(ingested_at).cast("timestamp_ntz").alias("ingested_at"),
     )
