@@ -32,17 +32,34 @@ class Catalog:
     def location(self, layer: str, name: str) -> str:
         return os.path.join(self.root, self.namespace(layer), name)
 
+    def checkpoint_location(self, name: str) -> str:
+        return os.path.join(self.root, "_checkpoints", name)
+
+    def ensure_namespace(self, layer: str) -> str:
+        """CREATE SCHEMA IF NOT EXISTS (a database in Spark's catalog)."""
+        ns = self.namespace(layer)
+        loc = os.path.join(self.root, ns)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{ns}` LOCATION '{loc}'")
+        return ns
+
+    def register_table(self, layer: str, name: str, df: DataFrame, path: str) -> DataFrame:
+        """Make a stored table addressable as ``<namespace>.<name>`` (an
+        external parquet table over ``path``; re-registration replaces it)."""
+        ns = self.ensure_namespace(layer)
+        self.spark.sql(f"DROP TABLE IF EXISTS `{ns}`.`{name}`")
+        self.spark.catalog.createTable(f"{ns}.{name}", path=path, source="parquet")
+        self.tables[f"{ns}.{name}"] = path
+        return df
+
     def write_table(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """CREATE OR REPLACE TABLE … AS: full rebuild, then read back so
         downstream work starts from the stored table (lineage is cut, a lost
         executor does not recompute upstream models)."""
         path = self.location(layer, name)
         df.write.mode("overwrite").parquet(path)
-        self.tables[f"{self.namespace(layer)}.{name}"] = path
-        out = self.spark.read.parquet(path)
-        out.createOrReplaceTempView(f"{self.namespace(layer)}_{name}")
-        return out
+        return self.register_table(layer, name, self.spark.read.parquet(path), path)
 
     def register_view(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        """CREATE OR REPLACE VIEW: a lazy, session-scoped view ``<namespace>_<name>``."""
         df.createOrReplaceTempView(f"{self.namespace(layer)}_{name}")
         return df

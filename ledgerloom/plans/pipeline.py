@@ -18,6 +18,7 @@ from ledgerloom.operators import quality as Q
 from ledgerloom.plans.catalog import Catalog
 from ledgerloom.plans.models import MODELS, RAW, REUSE_STORE, ModelSet, select
 from ledgerloom.sources import landing as L
+from ledgerloom.streaming.incremental import incremental_csv_load, incremental_json_load, read_target
 
 # Views read by several marts; stored once instead of re-parsing JSON per consumer.
 PERSISTED_VIEWS = ("stg_ai_usage_events",)
@@ -35,6 +36,7 @@ class PipelineResult:
     built: dict[str, tuple[str, DataFrame]] = field(default_factory=dict)   # name → (layer, df)
     check_report: DataFrame | None = None
     check_rows: list[dict] = field(default_factory=list)
+    appended: dict[str, int] = field(default_factory=dict)   # incremental loads: rows added
 
     def summary(self) -> DataFrame:
         """One row per built relation (layer, table_name, rows) plus one row
@@ -56,13 +58,33 @@ def _stage(name: str, fn, *args, **kw):
         raise PipelineError(name, e) from e
 
 
+def _incremental_load(spark, cat: Catalog, landing_root: str, ingested_at, archive_dir, appended):
+    """Append only files not loaded before (streaming file source + checkpoint)."""
+    out = {}
+    for name in RAW:
+        target = cat.location("raw", name)
+        ck = cat.checkpoint_location(name)
+        src = L.prefix_path(landing_root, name)
+        arch = f"{archive_dir.rstrip('/')}/{name}" if archive_dir else None
+        if name == "ai_usage_events":
+            appended[name] = incremental_json_load(spark, src, target, ck, ingested_at, archive_dir=arch)
+        else:
+            appended[name] = incremental_csv_load(spark, src, name, target, ck, archive_dir=arch)
+        out[name] = cat.register_table("raw", name, read_target(spark, target, name), target)
+    return out
+
+
 def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as_of=None,
                  selection: str | None = None, on_check_failure: str = "raise",
-                 ingested_at: str | None = None, archive: bool = False) -> PipelineResult:
+                 ingested_at: str | None = None, incremental: bool = False,
+                 archive_dir: str | None = None) -> PipelineResult:
     """Run the whole job.
 
     ``selection`` picks models (``staging``, ``fact_payments+``, ``+dim_date`` …);
-    ``on_check_failure`` is ``raise`` (fail closed) or ``warn`` (report only).
+    ``on_check_failure`` is ``raise`` (fail closed) or ``warn`` (report only);
+    ``incremental`` appends only newly landed files to the raw tables (re-runs
+    over the same files add nothing) instead of replacing them;
+    ``archive_dir`` (incremental only) moves processed landing files there.
     """
     if on_check_failure not in ("raise", "warn"):
         raise ValueError(on_check_failure)
@@ -72,8 +94,10 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
     # 1. gate: every source prefix must hold files
     _stage("gate", L.require_sources, spark, landing_root)
 
-    # 2. load: CREATE OR REPLACE raw tables from the landing prefixes
+    # 2. load: raw tables from the landing prefixes (replace, or append new files)
     def load():
+        if incremental:
+            return _incremental_load(spark, cat, landing_root, ingested_at, archive_dir, result.appended)
         loaded = L.load_all(spark, landing_root, ingested_at)
         return {name: cat.write_table("raw", name, df) for name, df in loaded.items()}
     raw = _stage("load", load)
@@ -118,8 +142,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
             result.check_rows = [r.asDict() for r in report.collect()]  # one row per check
     _stage("test", test)
 
-    # 5. archive: processed files are tracked by the incremental loader's
-    # checkpoint (streaming.incremental); nothing to move in a full rebuild.
-    if archive:
-        _stage("archive", lambda: None)
+    # 5. archive: in incremental mode the loader's checkpoint records every
+    # processed file (re-runs skip them) and ``archive_dir`` moves them away;
+    # a full rebuild re-reads the landing zone by design.
     return result

@@ -1,7 +1,7 @@
 """Idempotent incremental loads with the Structured Streaming file source.
 
 The file source's checkpoint records which files were already committed, so
-re-running the load over the same landing prefix adds nothing — the load
+re-running a load over the same landing prefix adds nothing — the load
 history the reference relies on. ``trigger(availableNow=True)`` processes
 everything present in bounded micro-batches and stops, so the job is a batch
 job operationally but restarts exactly where it left off after a failure.
@@ -10,36 +10,60 @@ job operationally but restarts exactly where it left off after a failure.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.schemas import CSV_TABLES
+from ledgerloom.schemas import AI_USAGE_EVENTS, CSV_TABLES
 from ledgerloom.sources.landing import CSV_OPTIONS, string_schema, type_csv_columns
 
 
+def _run(stream: DataFrame, target_path: str, checkpoint_path: str) -> int:
+    q = (stream.writeStream.format("parquet").outputMode("append")
+               .option("checkpointLocation", checkpoint_path)
+               .trigger(availableNow=True)
+               .start(target_path))
+    q.awaitTermination()
+    return int(sum(p.get("numInputRows", 0) for p in (q.recentProgress or [])))
+
+
+def _source_options(reader, archive_dir: str | None, max_files_per_trigger: int | None):
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        # SNK7: processed files are moved away by the file source's cleaner,
+        # asynchronously after their batch commits
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return reader
+
+
 def incremental_csv_load(spark: SparkSession, landing_path: str, source: str, target_path: str,
                          checkpoint_path: str, archive_dir: str | None = None,
                          max_files_per_trigger: int | None = None) -> int:
-    """Append files not yet loaded from ``landing_path`` to the parquet table
-    at ``target_path``. Returns the number of rows appended by this run.
-
-    ``archive_dir`` moves processed files away (``cleanSource=archive``).
-    """
+    """Append CSV files not yet loaded from ``landing_path`` to the parquet
+    table at ``target_path``. Returns the number of rows this run appended."""
     schema = CSV_TABLES[source]
     reader = (spark.readStream.schema(string_schema(schema)).options(**CSV_OPTIONS)
                    .option("enforceSchema", "true").option("mode", "FAILFAST")
                    .option("multiLine", "true"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    typed = type_csv_columns(reader.csv(landing_path), schema)
-    q = (typed.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint_path)
-              .trigger(availableNow=True)
-              .start(target_path))
-    q.awaitTermination()
-    progress = q.recentProgress or []
-    return int(sum(p.get("numInputRows", 0) for p in progress))
+    reader = _source_options(reader, archive_dir, max_files_per_trigger)
+    return _run(type_csv_columns(reader.csv(landing_path), schema), target_path, checkpoint_path)
+
+
+def incremental_json_load(spark: SparkSession, landing_path: str, target_path: str,
+                          checkpoint_path: str, ingested_at: str | None = None,
+                          archive_dir: str | None = None,
+                          max_files_per_trigger: int | None = None) -> int:
+    """Append JSON-lines event files not yet loaded, as VARIANT plus the file
+    path and load time (the COPY transform)."""
+    reader = (spark.readStream.schema(AI_USAGE_EVENTS.fields[0].name + " variant")
+                   .option("singleVariantColumn", "raw_event").option("mode", "FAILFAST"))
+    reader = _source_options(reader, archive_dir, max_files_per_trigger)
+    at = (F.current_timestamp().cast("timestamp_ntz") if ingested_at is None
+          else F.lit(ingested_at).cast("timestamp_ntz"))
+    stream = reader.json(landing_path).select(
+        "raw_event", F.col("_metadata.file_path").alias("source_file"), at.alias("ingested_at"))
+    return _run(stream, target_path, checkpoint_path)
 
 
 def read_target(spark: SparkSession, target_path: str, source: str) -> DataFrame:
-    return spark.read.schema(CSV_TABLES[source]).parquet(target_path)
+    schema = AI_USAGE_EVENTS if source == "ai_usage_events" else CSV_TABLES[source]
+    return spark.read.schema(schema).parquet(target_path)

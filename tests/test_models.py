@@ -135,3 +135,19 @@ def test_pipeline_selection_warn_mode(spark):
     ids = {r["check_id"] for r in res.check_rows}
     assert "unique_fact_payments_payment_key" in ids
     assert "relationships_fact_payments_customer_key" not in ids   # dim_customer not built
+
+
+def test_pipeline_incremental_rerun_adds_nothing(spark):
+    root = _landed(spark)
+    wh = run_dir(spark, "wh")
+    kw = dict(as_of="2026-10-02", selection="staging", on_check_failure="warn",
+              ingested_at="2026-10-02 00:00:00", incremental=True)
+    first = run_pipeline(spark, root, wh, **kw)
+    assert first.appended == {"accounts": 150, "subscriptions": 1339, "payments": 5342,
+                              "support_tickets": 389, "ai_usage_events": 1000}
+    second = run_pipeline(spark, root, wh, **kw)
+    assert set(second.appended.values()) == {0}
+    rows = {r.table_name: r.rows for r in second.summary().collect()}
+    assert rows["payments"] == 5342 and rows["stg_ai_usage_events"] == 1000
+    # tables are addressable through the catalog namespaces
+    assert spark.table("raw.payments").count() == 5342
