@@ -4,6 +4,8 @@ Every model aggregates each fact to its join key *before* joining, so joins
 are 1:1 (or N:1 onto a one-row-per-key side) and never fan out. ``groupBy``
 plans a partial (map-side) aggregate before its shuffle, so one account owning
 a third of all payments still reaches the shuffle as one row per map task.
+The account-keyed joins go through ``skew_safe_left_join``: a key that holds
+a large share of the base rows is joined map-side instead of in one task.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.variant import avg_exact, exact_ratio, month_start
+from ledgerloom.operators.joins import skew_safe_left_join
 
 ACCOUNT_ATTRS = ("account_id", "account_name", "industry", "country", "signup_date",
                  "referral_source", "plan_tier", "is_trial", "churn_flag")
@@ -84,7 +87,7 @@ def int_account_revenue(stg_accounts: DataFrame, stg_subscriptions: DataFrame,
         F.max(F.when(ok, F.col("payment_date"))).alias("last_payment_date"),
         avg_exact(F.when(ok, F.col("amount"))).alias("average_payment_amount"),
     )
-    joined = accounts.join(subs, "account_id", "left").join(pays, "account_id", "left")
+    joined = skew_safe_left_join(accounts, [subs, pays], "account_id")
     return joined.select(
         *ACCOUNT_ATTRS,
         _zero("subscription_count"), _zero("active_subscription_count"), _zero("total_seats"),
@@ -131,8 +134,9 @@ def int_subscription_metrics(stg_subscriptions: DataFrame, stg_payments: DataFra
     pays = _succeeded_totals(stg_payments, "subscription_id", "total_payment_amount",
                              F.max("payment_date").alias("last_payment_date"))
     support = _support_per_account(stg_support_tickets, "support_ticket_count")
-    joined = (subs.join(pays, "subscription_id", "left")
-                  .join(support, "account_id", "left"))
+    # N:1 onto the account: an account may own a large share of subscriptions
+    joined = (skew_safe_left_join(subs, support, "account_id")
+              .join(pays, "subscription_id", "left"))
     return joined.select(
         "subscription_id", "account_id", "plan_tier", "start_date", "billing_frequency",
         "seats", "mrr_amount", "arr_amount", "is_trial", "upgrade_flag", "downgrade_flag",
@@ -162,9 +166,7 @@ def int_customer_360(stg_accounts: DataFrame, stg_subscriptions: DataFrame,
     )
     pays = _succeeded_totals(stg_payments, "account_id", "total_revenue")
     support = _support_per_account(stg_support_tickets, "total_support_tickets")
-    joined = (accounts.join(subs, "account_id", "left")
-                      .join(pays, "account_id", "left")
-                      .join(support, "account_id", "left"))
+    joined = skew_safe_left_join(accounts, [subs, pays, support], "account_id")
     return joined.select(
         *ACCOUNT_ATTRS,
         _zero("subscription_count"), _zero("total_mrr"), _zero("total_arr"), _zero("total_seats"),

@@ -8,6 +8,7 @@ an executor lost during the checks never triggers a recompute of the loads.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -37,6 +38,7 @@ class PipelineResult:
     check_report: DataFrame | None = None
     check_rows: list[dict] = field(default_factory=list)
     appended: dict[str, int] = field(default_factory=dict)   # incremental loads: rows added
+    stage_seconds: dict[str, float] = field(default_factory=dict)
 
     def summary(self) -> DataFrame:
         """One row per built relation (layer, table_name, rows) plus one row
@@ -51,11 +53,15 @@ class PipelineResult:
         return reduce(DataFrame.unionByName, parts)
 
 
-def _stage(name: str, fn, *args, **kw):
+def _stage(name: str, fn, *args, timings: dict | None = None, **kw):
+    t0 = time.perf_counter()
     try:
         return fn(*args, **kw)
     except Exception as e:  # noqa: BLE001 - re-raised with the stage name
         raise PipelineError(name, e) from e
+    finally:
+        if timings is not None:
+            timings[name] = round(time.perf_counter() - t0, 3)
 
 
 def _incremental_load(spark, cat: Catalog, landing_root: str, ingested_at, archive_dir, appended):
@@ -92,7 +98,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
     result = PipelineResult()
 
     # 1. gate: every source prefix must hold files
-    _stage("gate", L.require_sources, spark, landing_root)
+    _stage("gate", L.require_sources, spark, landing_root, timings=result.stage_seconds)
 
     # 2. load: raw tables from the landing prefixes (replace, or append new files)
     def load():
@@ -100,7 +106,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
             return _incremental_load(spark, cat, landing_root, ingested_at, archive_dir, result.appended)
         loaded = L.load_all(spark, landing_root, ingested_at)
         return {name: cat.write_table("raw", name, df) for name, df in loaded.items()}
-    raw = _stage("load", load)
+    raw = _stage("load", load, timings=result.stage_seconds)
     for name in RAW:
         result.built[name] = ("raw", raw[name])
 
@@ -118,7 +124,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
                 df = cat.register_view(m.layer, name, df)
             models.override(name, df)
             result.built[name] = (m.layer, df)
-    _stage("transform", transform)
+    _stage("transform", transform, timings=result.stage_seconds)
 
     # 4. test: every declared check whose relations were built
     def test():
@@ -140,7 +146,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
             result.check_rows = Q.enforce(report)
         else:
             result.check_rows = [r.asDict() for r in report.collect()]  # one row per check
-    _stage("test", test)
+    _stage("test", test, timings=result.stage_seconds)
 
     # 5. archive: in incremental mode the loader's checkpoint records every
     # processed file (re-runs skip them) and ``archive_dir`` moves them away;
