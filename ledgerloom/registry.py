@@ -42,8 +42,16 @@ def _model_query(name: str) -> Query:
     return run
 
 
+def _with_conf(fn: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_core_conf(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: _model_query(name) for name in MODELS}
     from ledgerloom import extra_queries
     out.update(extra_queries.queries())
-    return out
+    return {name: _with_conf(fn) for name, fn in out.items()}

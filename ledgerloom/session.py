@@ -41,8 +41,13 @@ def build_session(master: str = "local[8]", app: str = "ledgerloom",
 
 
 def apply_core_conf(spark: SparkSession) -> None:
-    """Runtime-settable part of ``CORE_CONF`` for a session someone else built."""
+    """Runtime-settable part of ``CORE_CONF`` for a session someone else built.
+
+    The session time zone is left as the caller set it: every timestamp the
+    queries produce is TIMESTAMP_NTZ, so results do not depend on it."""
     for k, v in CORE_CONF.items():
+        if k == "spark.sql.session.timeZone":
+            continue
         try:
             spark.conf.set(k, v)
         except Exception:  # pragma: no cover - some confs are static on some builds
