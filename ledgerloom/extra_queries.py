@@ -33,9 +33,9 @@ DQ_KEYS = {
 }
 
 
-def _ms(spark, sf_dir):
+def _ms(spark, sf_dir, shared=False):
     from ledgerloom.registry import model_set
-    return model_set(spark, sf_dir)
+    return model_set(spark, sf_dir, shared=shared)
 
 
 def _cmp(df):
@@ -66,7 +66,7 @@ def _metric(name):
     fn, upstream = METRICS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _cmp(fn(_ms(spark, sf_dir)[upstream]))
+        return _cmp(fn(_ms(spark, sf_dir, shared=True)[upstream]))
     return run
 
 

@@ -8,9 +8,10 @@ its aggregate (it is already partitioned by the key, so it is not a shuffle
 stage of the join). Without help, one task would receive every row of the hot
 key. This operator splits the hot keys off instead:
 
-1. rows per key in ``base`` (partial aggregate → one row per key per task);
-2. hot keys: at least ``hot_share`` of all rows — at most ``1 / hot_share``
-   of them, so the list has a proven size bound and is broadcast;
+1. rows per key in a sample of ``base`` (partial aggregate);
+2. hot keys: at least ``hot_share`` of the sampled rows — at most
+   ``1 / hot_share`` of them, so the list has a proven size bound and is
+   broadcast;
 3. cold rows: ordinary shuffle join (no key holds ``hot_share`` of them);
 4. hot rows (and NULL-key rows, which match nothing but would all hash to
    one partition): map-side join against ``per_key`` restricted to the hot
@@ -28,21 +29,32 @@ from pyspark.sql import functions as F
 HOT_FLAG = "__hot_key"
 
 
-def hot_keys(base: DataFrame, key: str, hot_share: float = 0.01) -> DataFrame:
-    total = base.select(F.count(F.lit(1))).scalar()
-    return (base.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-                .where(F.col("__n") >= F.lit(hot_share) * total)
-                .select(key, F.lit(True).alias(HOT_FLAG)))
+def hot_keys(base: DataFrame, key: str, hot_share: float = 0.01,
+             sample_fraction: float | None = 0.01, seed: int = 17) -> DataFrame:
+    """Keys holding at least ``hot_share`` of the (sampled) rows.
 
+    At most ``1 / hot_share`` keys qualify whatever the data (their shares
+    sum to at most 1), which is the size bound the broadcast relies on.
+    Detection runs on a seeded Bernoulli sample by default — it only decides
+    which path rows take, both paths are exact — so it costs a scan, not a
+    shuffle of every key; ``sample_fraction=None`` counts all rows.
+    """
+    src = base if sample_fraction is None else base.sample(fraction=sample_fraction, seed=seed)
+    src = src.select(key)
+    total = src.select(F.count(F.lit(1))).scalar()
+    return (src.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+               .where(F.col("__n") >= F.lit(hot_share) * total)
+               .select(key, F.lit(True).alias(HOT_FLAG)))
 
-def skew_safe_left_join(base: DataFrame, per_key, key: str,
-                        hot_share: float = 0.01) -> DataFrame:
+
+def skew_safe_left_join(base: DataFrame, per_key, key: str, hot_share: float = 0.01,
+                        sample_fraction: float | None = 0.01) -> DataFrame:
     """``per_key`` is one DataFrame or a list of them (each one row per key);
     all are attached with a single hot/cold split of ``base``."""
     if not 0 < hot_share <= 1:
         raise ValueError("hot_share must be in (0, 1]")
     sides = per_key if isinstance(per_key, (list, tuple)) else [per_key]
-    hot = F.broadcast(hot_keys(base, key, hot_share))            # ≤ 1/hot_share rows
+    hot = F.broadcast(hot_keys(base, key, hot_share, sample_fraction))   # ≤ 1/hot_share rows
     tagged = base.join(hot, key, "left")
     # NULL keys never match but would all hash to one partition: route them
     # with the hot rows through the map-side path

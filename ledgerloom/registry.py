@@ -30,14 +30,30 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def model_set(spark: SparkSession, sf_dir: str) -> ModelSet:
+_SHARED: dict[tuple, ModelSet] = {}
+
+
+def model_set(spark: SparkSession, sf_dir: str, shared: bool = False) -> ModelSet:
+    """Models over the driver tables in ``sf_dir``.
+
+    ``shared=True`` returns one read-only ModelSet per session and folder, so
+    queries that share upstream models reuse the analysed DataFrames (plans
+    are immutable and the driver tables are read-only). Callers that replace
+    frames (stored reuse, pipelines) take a fresh one.
+    """
     apply_core_conf(spark)
-    return ModelSet(DT.raw_tables(spark, sf_dir), as_of=DT.FIXTURE_AS_OF)
+    if not shared:
+        return ModelSet(DT.raw_tables(spark, sf_dir), as_of=DT.FIXTURE_AS_OF)
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir)
+    ms = _SHARED.get(key)
+    if ms is None:
+        ms = _SHARED[key] = ModelSet(DT.raw_tables(spark, sf_dir), as_of=DT.FIXTURE_AS_OF)
+    return ms
 
 
 def _model_query(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(model_set(spark, sf_dir)[name])
+        return comparable(model_set(spark, sf_dir, shared=True)[name])
     run.__name__ = name
     return run
 

@@ -40,14 +40,14 @@ FIXTURE_INGESTED_AT = "2026-10-02 00:00:00"
 FIXTURE_AS_OF = "2026-10-02"
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+_SCANS: dict[tuple, DataFrame] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """Scan of one driver table. The (immutable) scan DataFrame is reused per
     session, so repeated queries skip file listing and footer reads."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark._jsparkSession), path)
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), path)
     df = _SCANS.get(key)
     if df is None:
         df = _SCANS[key] = spark.read.parquet(path)

@@ -160,11 +160,14 @@ def test_skew_safe_join_equals_plain_join_on_hot_key(spark):
     subs = ms["stg_subscriptions"].withColumn(
         "account_id", F.when(F.xxhash64("subscription_id") % 3 == 0, F.lit("A-1")).otherwise(F.col("account_id")))
     per_acc = ms["stg_support_tickets"].groupBy("account_id").agg(F.count(F.lit(1)).alias("tickets"))
-    assert [r.account_id for r in hot_keys(subs, "account_id").collect()] == ["A-1"]
-    got = skew_safe_left_join(subs, per_acc, "account_id")
+    assert [r.account_id for r in hot_keys(subs, "account_id", sample_fraction=None).collect()] == ["A-1"]
+    sampled = [r.account_id for r in hot_keys(subs, "account_id").collect()]
+    assert "A-1" in sampled and len(sampled) <= 100
     want = subs.join(per_acc, "account_id", "left")
-    assert got.count() == want.count() == subs.count()
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    for frac in (None, 0.01):
+        got = skew_safe_left_join(subs, per_acc, "account_id", sample_fraction=frac)
+        assert got.count() == want.count() == subs.count()
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
 def test_skew_safe_join_null_keys(spark):
