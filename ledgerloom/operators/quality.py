@@ -10,9 +10,11 @@ Semantics of the declared test types:
 
 Plan shape, chosen for data where one key may hold a third of all rows:
 ``not_null`` and ``expression_is_true`` checks of a model share one
-aggregation pass; ``unique`` and ``relationships`` first count rows per key
-with a partial (map-side) aggregate, so a hot key leaves each map task as a
-single row and the anti join only ever sees distinct keys.
+aggregation pass, as do its ``accepted_values`` checks; all ``unique`` checks
+share one shuffle, all ``relationships`` checks one anti join. Keys are
+counted per (check, key) with a partial (map-side) aggregate first, so a hot
+key leaves each map task as a single row and the anti join only ever sees
+distinct keys.
 """
 
 from __future__ import annotations
@@ -64,13 +66,6 @@ def row_predicate_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
         f"stack({len(checks)}, {stack}) AS (check_id, layer, model, column_name, test, failures)"))
 
 
-def unique_failures(df: DataFrame, c: Check) -> DataFrame:
-    k = _col(c.column)
-    dupes = (df.where(k.isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias("n"))
-               .where(F.col("n") > 1))
-    return _label(dupes.agg(F.count(F.lit(1)).alias("failures")), c)
-
-
 def _accepted(col: Column, dtype: T.DataType, values) -> Column:
     if isinstance(dtype, T.BooleanType):
         return F.lower(col.cast("string")).isin(*[str(v).lower() for v in values])
@@ -90,20 +85,60 @@ def accepted_values_by_model(df: DataFrame, checks: list[Check]) -> DataFrame:
     bad_values = (df.select(F.explode(F.array(*pairs)).alias("p")).where(F.col("p").isNotNull())
                     .select("p.check_id", "p.value").distinct()
                     .groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
-    meta = df.sparkSession.createDataFrame(
+    meta = _meta(df.sparkSession, checks)
+    return (meta.join(bad_values, "check_id", "left")
+                .select(*RESULT_COLUMNS[:-1], F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
+
+
+def _meta(spark, checks: list[Check]) -> DataFrame:
+    # one row per check (bounded by the catalog): lets checks without a failing
+    # key report 0
+    return spark.createDataFrame(
         [(c.check_id, c.layer, c.model, c.column, c.test) for c in checks],
         "check_id string, layer string, model string, column_name string, test string")
-    return (meta.join(bad_values, "check_id", "left")
+
+
+def _keyed(df: DataFrame, column: str, check_id: str) -> DataFrame:
+    """(check_id, k) with the key as text, so keys of all checks share one
+    shuffle (text is injective for the string, date and integer keys)."""
+    return df.select(F.lit(check_id).alias("check_id"), _col(column).cast("string").alias("k"))
+
+
+def unique_failures_all(resolve: Callable[[str], DataFrame], checks: list[Check]) -> DataFrame:
+    """Every ``unique`` check in one shuffle: (check, key) counts with a
+    map-side partial aggregate, then duplicated keys per check."""
+    pairs = reduce(DataFrame.unionByName, [_keyed(resolve(c.model), c.column, c.check_id) for c in checks])
+    dupes = (pairs.where(F.col("k").isNotNull()).groupBy("check_id", "k")
+                  .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+                  .groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
+    meta = _meta(resolve(checks[0].model).sparkSession, checks)
+    return (meta.join(dupes, "check_id", "left")
                 .select(*RESULT_COLUMNS[:-1], F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
 
 
-def relationships_failures(child: DataFrame, parent: DataFrame, c: Check) -> DataFrame:
-    field = c.arg[1]
-    keys = (child.where(_col(c.column).isNotNull())
-                 .groupBy(_col(c.column).alias("k")).agg(F.count(F.lit(1)).alias("n")))
-    parent_keys = parent.select(_col(field).alias("k")).where(F.col("k").isNotNull()).distinct()
-    missing = keys.join(parent_keys, "k", "left_anti")
-    return _label(missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures")), c)
+def relationships_failures_all(resolve: Callable[[str], DataFrame], checks: list[Check]) -> DataFrame:
+    """Every ``relationships`` check in one anti join.
+
+    Child rows are counted per (check, key) first — a hot key leaves each
+    task as one row. Each distinct parent (relation, column) contributes its
+    keys once, however many checks point at it.
+    """
+    parents = sorted({c.arg for c in checks})
+    pid = {p: f"{p[0]}.{p[1]}" for p in parents}
+    child = reduce(DataFrame.unionByName, [
+        _keyed(resolve(c.model), c.column, c.check_id).withColumn("parent", F.lit(pid[c.arg]))
+        for c in checks])
+    child = (child.where(F.col("k").isNotNull()).groupBy("check_id", "parent", "k")
+                  .agg(F.count(F.lit(1)).alias("n")))
+    parent = reduce(DataFrame.unionByName, [
+        resolve(to).select(F.lit(pid[(to, field)]).alias("parent"), _col(field).cast("string").alias("k"))
+        for to, field in parents])
+    parent = parent.where(F.col("k").isNotNull()).distinct()
+    missing = (child.join(parent, ["parent", "k"], "left_anti")
+                    .groupBy("check_id").agg(F.sum("n").alias("failures")))
+    meta = _meta(resolve(checks[0].model).sparkSession, checks)
+    return (meta.join(missing, "check_id", "left")
+                .select(*RESULT_COLUMNS[:-1], F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
 
 
 def run_checks(resolve: Callable[[str], DataFrame], checks: Iterable[Check] | None = None) -> DataFrame:
@@ -125,11 +160,12 @@ def run_checks(resolve: Callable[[str], DataFrame], checks: Iterable[Check] | No
         parts.append(row_predicate_failures(resolve(model), cs))
     for model, cs in accepted.items():
         parts.append(accepted_values_by_model(resolve(model), cs))
-    for c in checks:
-        if c.test == "unique":
-            parts.append(unique_failures(resolve(c.model), c))
-        elif c.test == "relationships":
-            parts.append(relationships_failures(resolve(c.model), resolve(c.arg[0]), c))
+    uniques = [c for c in checks if c.test == "unique"]
+    if uniques:
+        parts.append(unique_failures_all(resolve, uniques))
+    rels = [c for c in checks if c.test == "relationships"]
+    if rels:
+        parts.append(relationships_failures_all(resolve, rels))
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
 
