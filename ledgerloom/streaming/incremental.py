@@ -29,8 +29,9 @@ def _source_options(reader, archive_dir: str | None, max_files_per_trigger: int
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
-        # SNK7: processed files are moved away by the file source's cleaner,
-        # asynchronously after their batch commits
+        # SNK7: the file source's cleaner moves a batch's files under
+        # ``archive_dir`` once the *next* batch commits (one batch behind);
+        # spark.sql.streaming.fileSource.cleaner.numThreads=0 makes it synchronous
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader
 

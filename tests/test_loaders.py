@@ -144,3 +144,24 @@ def test_source_presence_gate(spark, scratch):
     rows = {r.source: r for r in L.source_presence(spark, scratch).collect()}
     assert rows["accounts"].present and rows["accounts"].files >= 1
     assert not rows["ai_usage_events"].present and rows["ai_usage_events"].files == 0
+
+
+def test_incremental_load_archives_committed_files(spark, scratch):
+    """Processed files move to the archive once a later batch commits."""
+    from tests.conftest import SF0001
+    from ledgerloom.sources import driver_tables as DT
+    spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")   # synchronous cleanup
+    src = DT.accounts(spark, SF0001)
+    landing, archive = os.path.join(scratch, "landing"), os.path.join(scratch, "archive")
+    path = L.write_csv_landing(src, landing, "accounts", "2026-10-02")
+    target, ck = os.path.join(scratch, "t"), os.path.join(scratch, "ck")
+    assert incremental_csv_load(spark, path, "accounts", target, ck, archive_dir=archive) == 150
+    L.write_csv_landing(src.limit(5), landing, "accounts", "2026-10-03")
+    assert incremental_csv_load(spark, path, "accounts", target, ck, archive_dir=archive) == 5
+
+    def csvs(root):
+        return [os.path.join(r, f) for r, _, fs in os.walk(root) for f in fs if f.endswith(".csv")]
+    archived = csvs(archive)
+    assert archived and all("ingestion_date=2026-10-02" in p for p in archived)
+    assert not any("ingestion_date=2026-10-02" in p for p in csvs(landing))
+    assert read_target(spark, target, "accounts").count() == 155
