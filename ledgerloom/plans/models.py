@@ -146,23 +146,32 @@ class ModelSet:
         """Replace a built model (e.g. by its materialised table)."""
         self._frames[name] = df
 
-    def store(self, spark, names, root: str, only=REUSE_STORE) -> None:
+    def store(self, spark, names, root: str, only=REUSE_STORE, threads: int = 4) -> None:
         """Write the relations ``names`` depend on that are in ``only``, in
         dependency order, each built from its already-stored upstream, and
         replace them by the stored tables. Each stored relation is computed
         once, and lineage is cut there, so a lost executor never recomputes
-        earlier layers."""
+        earlier layers. Relations of one dependency level are written as
+        concurrent jobs."""
+        from ledgerloom.plans.parallel import run_concurrently
         wanted = set()
         for n in names:
             wanted |= {n} | set(upstream(n)) | set(MODELS[n].upstream if n in MODELS else ())
         wanted |= {u for n in list(wanted) if n in MODELS for u in MODELS[n].upstream}
         order = [r for r in RAW if r in wanted] + [n for n in topological_order() if n in wanted]
-        for name in order:
-            if name not in only:
-                continue
-            path = f"{root.rstrip('/')}/{name}"
-            self[name].write.mode("overwrite").parquet(path)
-            self._frames[name] = spark.read.parquet(path)
-            # rebuild lazily-derived downstream frames on top of the stored table
-            for d in downstream(name):
-                self._frames.pop(d, None)
+        todo = [n for n in order if n in only]
+        depth: dict[str, int] = {}
+        for n in todo:
+            ups = set(upstream(n)) | set(MODELS[n].upstream if n in MODELS else ())
+            depth[n] = 1 + max([depth[u] for u in ups if u in depth] or [0])
+        for d in sorted(set(depth.values())):
+            level = [n for n in todo if depth[n] == d]
+            frames = {n: self[n] for n in level}          # plans built on this thread
+            paths = {n: f"{root.rstrip('/')}/{n}" for n in level}
+            run_concurrently({n: (lambda n=n: frames[n].write.mode("overwrite").parquet(paths[n]))
+                              for n in level}, threads)
+            for n in level:
+                self._frames[n] = spark.read.parquet(paths[n])
+                # rebuild lazily-derived downstream frames on top of the stored table
+                for dn in downstream(n):
+                    self._frames.pop(dn, None)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import quality as Q
 from ledgerloom.plans.catalog import Catalog
 from ledgerloom.plans.models import MODELS, RAW, REUSE_STORE, ModelSet, select
+from ledgerloom.plans.parallel import run_concurrently
 from ledgerloom.sources import landing as L
 from ledgerloom.streaming.incremental import incremental_csv_load, incremental_json_load, read_target
 
@@ -64,33 +65,43 @@ def _stage(name: str, fn, *args, timings: dict | None = None, **kw):
             timings[name] = round(time.perf_counter() - t0, 3)
 
 
-def _incremental_load(spark, cat: Catalog, landing_root: str, ingested_at, archive_dir, appended):
+def _incremental_load(spark, cat: Catalog, landing_root: str, ingested_at, archive_dir, appended,
+                      threads: int):
     """Append only files not loaded before (streaming file source + checkpoint)."""
-    out = {}
-    for name in RAW:
+    def one(name):
         target = cat.location("raw", name)
         ck = cat.checkpoint_location(name)
         src = L.prefix_path(landing_root, name)
         arch = f"{archive_dir.rstrip('/')}/{name}" if archive_dir else None
         if name == "ai_usage_events":
-            appended[name] = incremental_json_load(spark, src, target, ck, ingested_at, archive_dir=arch)
-        else:
-            appended[name] = incremental_csv_load(spark, src, name, target, ck, archive_dir=arch)
-        out[name] = cat.register_table("raw", name, read_target(spark, target, name), target)
-    return out
+            return incremental_json_load(spark, src, target, ck, ingested_at, archive_dir=arch)
+        return incremental_csv_load(spark, src, name, target, ck, archive_dir=arch)
+    appended.update(run_concurrently({name: (lambda n=name: one(n)) for name in RAW}, threads))
+    return {name: cat.register_table("raw", name, read_target(spark, cat.location("raw", name), name),
+                                     cat.location("raw", name))
+            for name in RAW}
+
+
+def _levels(names: list[str]) -> list[list[str]]:
+    """Group models into dependency levels (a level only reads earlier ones)."""
+    depth: dict[str, int] = {}
+    for n in names:   # names are in topological order
+        depth[n] = 1 + max([depth[u] for u in MODELS[n].upstream if u in depth] or [0])
+    return [[n for n in names if depth[n] == d] for d in sorted(set(depth.values()))]
 
 
 def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as_of=None,
                  selection: str | None = None, on_check_failure: str = "raise",
                  ingested_at: str | None = None, incremental: bool = False,
-                 archive_dir: str | None = None) -> PipelineResult:
+                 archive_dir: str | None = None, threads: int = 4) -> PipelineResult:
     """Run the whole job.
 
     ``selection`` picks models (``staging``, ``fact_payments+``, ``+dim_date`` …);
     ``on_check_failure`` is ``raise`` (fail closed) or ``warn`` (report only);
     ``incremental`` appends only newly landed files to the raw tables (re-runs
     over the same files add nothing) instead of replacing them;
-    ``archive_dir`` (incremental only) moves processed landing files there.
+    ``archive_dir`` (incremental only) moves processed landing files there;
+    ``threads`` independent table writes run as concurrent Spark jobs.
     """
     if on_check_failure not in ("raise", "warn"):
         raise ValueError(on_check_failure)
@@ -103,9 +114,11 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
     # 2. load: raw tables from the landing prefixes (replace, or append new files)
     def load():
         if incremental:
-            return _incremental_load(spark, cat, landing_root, ingested_at, archive_dir, result.appended)
+            return _incremental_load(spark, cat, landing_root, ingested_at, archive_dir, result.appended,
+                                     threads)
         loaded = L.load_all(spark, landing_root, ingested_at)
-        return {name: cat.write_table("raw", name, df) for name, df in loaded.items()}
+        return run_concurrently({name: (lambda n=name, d=df: cat.write_table("raw", n, d))
+                                 for name, df in loaded.items()}, threads)
     raw = _stage("load", load, timings=result.stage_seconds)
     for name in RAW:
         result.built[name] = ("raw", raw[name])
@@ -115,15 +128,17 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
     chosen = select(selection)
 
     def transform():
-        for name in chosen:
-            m = MODELS[name]
-            df = models[name]
-            if m.materialized == "table" or name in PERSISTED_VIEWS:
-                df = cat.write_table(m.layer, name, df)
-            else:
-                df = cat.register_view(m.layer, name, df)
-            models.override(name, df)
-            result.built[name] = (m.layer, df)
+        for level in _levels(chosen):
+            frames = {name: models[name] for name in level}      # plans built on this thread
+            writes = {name: (lambda n=name, d=df: cat.write_table(MODELS[n].layer, n, d))
+                      for name, df in frames.items()
+                      if MODELS[name].materialized == "table" or name in PERSISTED_VIEWS}
+            stored = run_concurrently(writes, threads)
+            for name in level:
+                m = MODELS[name]
+                df = stored[name] if name in stored else cat.register_view(m.layer, name, frames[name])
+                models.override(name, df)
+                result.built[name] = (m.layer, df)
     _stage("transform", transform, timings=result.stage_seconds)
 
     # 4. test: every declared check whose relations were built
@@ -136,7 +151,8 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
         heavy = [n for n in built if n in MODELS and MODELS[n].layer == "intermediate"
                  and MODELS[n].materialized == "view" and n in REUSE_STORE]
         if heavy:
-            models.store(spark, heavy, cat.location("intermediate", "_test_snapshots"), only=heavy)
+            models.store(spark, heavy, cat.location("intermediate", "_test_snapshots"), only=heavy,
+                         threads=threads)
             for n in heavy:
                 result.built[n] = (MODELS[n].layer, models[n])
         report = Q.run_checks(models.__getitem__, checks)

@@ -64,13 +64,16 @@ def write_json_landing(json_lines: DataFrame, root: str, year: int, month: int,
 
 
 def write_landing(spark: SparkSession, sf_dir: str, root: str, ingestion_date: str,
-                  year: int, month: int) -> dict[str, str]:
-    """Land all five sources derived from the driver tables."""
+                  year: int, month: int, threads: int = 4) -> dict[str, str]:
+    """Land all five sources derived from the driver tables (concurrent jobs)."""
+    from ledgerloom.plans.parallel import run_concurrently
     from ledgerloom.sources import driver_tables as DT
-    out = {name: write_csv_landing(getattr(DT, name)(spark, sf_dir), root, name, ingestion_date)
-           for name in CSV_TABLES}
-    out["ai_usage_events"] = write_json_landing(DT.event_json_lines(spark, sf_dir), root, year, month)
-    return out
+    frames = {name: getattr(DT, name)(spark, sf_dir) for name in CSV_TABLES}
+    events = DT.event_json_lines(spark, sf_dir)
+    tasks = {name: (lambda n=name, d=df: write_csv_landing(d, root, n, ingestion_date))
+             for name, df in frames.items()}
+    tasks["ai_usage_events"] = lambda: write_json_landing(events, root, year, month)
+    return run_concurrently(tasks, threads)
 
 
 # ---------------------------------------------------------------- loads (SRC1/2, LD1-6, LD8)
