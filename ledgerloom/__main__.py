@@ -46,6 +46,9 @@ def main(argv=None) -> int:
     run.add_argument("--warn", action="store_true", help="report failing checks instead of failing")
     run.add_argument("--incremental", action="store_true")
     run.add_argument("--archive-dir", default=None)
+    run.add_argument("--threads", type=int, default=4, help="concurrent table writes")
+    run.add_argument("--single-line-csv", action="store_true",
+                     help="CSV fields hold no newlines: split big files across tasks")
 
     args = ap.parse_args(argv)
     spark = _session(args.master, args.ui)
@@ -60,7 +63,8 @@ def main(argv=None) -> int:
     try:
         res = run_pipeline(spark, args.landing, args.warehouse, as_of=args.as_of,
                            selection=args.select, on_check_failure="warn" if args.warn else "raise",
-                           incremental=args.incremental, archive_dir=args.archive_dir)
+                           incremental=args.incremental, archive_dir=args.archive_dir,
+                           threads=args.threads, csv_multiline=not args.single_line_csv)
     except PipelineError as e:
         print(f"FAILED at {e.stage}: {e.cause}", file=sys.stderr)
         return 1

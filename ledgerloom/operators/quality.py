@@ -42,13 +42,6 @@ def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _label(df: DataFrame, c: Check) -> DataFrame:
-    return df.select(
-        F.lit(c.check_id).alias("check_id"), F.lit(c.layer).alias("layer"),
-        F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"),
-        F.lit(c.test).alias("test"), F.col("failures").cast("bigint").alias("failures"))
-
-
 def row_predicate_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
     """All ``not_null`` / ``expression_is_true`` checks of one model in one pass."""
     aggs = []

@@ -93,7 +93,8 @@ def _levels(names: list[str]) -> list[list[str]]:
 def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as_of=None,
                  selection: str | None = None, on_check_failure: str = "raise",
                  ingested_at: str | None = None, incremental: bool = False,
-                 archive_dir: str | None = None, threads: int = 4) -> PipelineResult:
+                 archive_dir: str | None = None, threads: int = 4,
+                 csv_multiline: bool = True) -> PipelineResult:
     """Run the whole job.
 
     ``selection`` picks models (``staging``, ``fact_payments+``, ``+dim_date`` …);
@@ -101,7 +102,8 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
     ``incremental`` appends only newly landed files to the raw tables (re-runs
     over the same files add nothing) instead of replacing them;
     ``archive_dir`` (incremental only) moves processed landing files there;
-    ``threads`` independent table writes run as concurrent Spark jobs.
+    ``threads`` independent table writes run as concurrent Spark jobs;
+    ``csv_multiline=False`` reads big single-line CSV files in many splits.
     """
     if on_check_failure not in ("raise", "warn"):
         raise ValueError(on_check_failure)
@@ -116,7 +118,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
         if incremental:
             return _incremental_load(spark, cat, landing_root, ingested_at, archive_dir, result.appended,
                                      threads)
-        loaded = L.load_all(spark, landing_root, ingested_at)
+        loaded = L.load_all(spark, landing_root, ingested_at, csv_multiline)
         return run_concurrently({name: (lambda n=name, d=df: cat.write_table("raw", n, d))
                                  for name, df in loaded.items()}, threads)
     raw = _stage("load", load, timings=result.stage_seconds)

@@ -128,8 +128,9 @@ def load_json_variant(spark: SparkSession, path: str, ingested_at: str | None =
     )
 
 
-def load_all(spark: SparkSession, root: str, ingested_at: str | None = None) -> dict[str, DataFrame]:
-    out = {name: load_csv(spark, prefix_path(root, name), name) for name in CSV_TABLES}
+def load_all(spark: SparkSession, root: str, ingested_at: str | None = None,
+             csv_multiline: bool = True) -> dict[str, DataFrame]:
+    out = {name: load_csv(spark, prefix_path(root, name), name, csv_multiline) for name in CSV_TABLES}
     out["ai_usage_events"] = load_json_variant(spark, prefix_path(root, "ai_usage_events"), ingested_at)
     return out
 

@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerloom.operators import intermediate as I
 from ledgerloom.operators import marts as M

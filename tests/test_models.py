@@ -9,7 +9,6 @@ from ledgerloom.plans import models as PM
 from ledgerloom.plans.pipeline import PipelineError, run_pipeline
 from ledgerloom.registry import model_set
 from ledgerloom.session import run_dir
-from ledgerloom.sources import driver_tables as DT
 from ledgerloom.sources import landing as L
 from tests.conftest import SF0001, SF001
 
