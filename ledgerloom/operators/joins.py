@@ -10,8 +10,8 @@ key. This operator splits the hot keys off instead:
 
 1. rows per key in a sample of ``base`` (partial aggregate);
 2. hot keys: at least ``hot_share`` of the sampled rows — at most
-   ``1 / hot_share`` of them, so the list has a proven size bound and is
-   broadcast;
+   ``1 / hot_share`` of them (a proven bound), fixed as a literal list so
+   every branch routes rows identically;
 3. cold rows: ordinary shuffle join (no key holds ``hot_share`` of them);
 4. hot rows (and NULL-key rows, which match nothing but would all hash to
    one partition): map-side join against ``per_key`` restricted to the hot
@@ -23,6 +23,8 @@ The two parts partition ``base``; their union is the exact join result.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +49,19 @@ def hot_keys(base: DataFrame, key: str, hot_share: float = 0.01,
                .select(key, F.lit(True).alias(HOT_FLAG)))
 
 
+def hot_key_values(base: DataFrame, key: str, hot_share: float = 0.01,
+                   sample_fraction: float | None = 0.01) -> list:
+    """The hot keys as a fixed list (one small job; at most ``1/hot_share``
+    values, so bringing them to the driver is bounded). Fixing the list once
+    keeps the hot/cold routing consistent even if inputs are recomputed."""
+    # a NULL key is routed on its own (``isNull``); inside IN it would make the
+    # predicate NULL for every other key
+    values = [r[0] for r in hot_keys(base, key, hot_share, sample_fraction).select(key).collect()
+              if r[0] is not None]
+    assert len(values) <= math.floor(1 / hot_share), "hot-key bound violated"
+    return values
+
+
 def skew_safe_left_join(base: DataFrame, per_key, key: str, hot_share: float = 0.01,
                         sample_fraction: float | None = 0.01) -> DataFrame:
     """``per_key`` is one DataFrame or a list of them (each one row per key);
@@ -54,15 +69,16 @@ def skew_safe_left_join(base: DataFrame, per_key, key: str, hot_share: float = 0
     if not 0 < hot_share <= 1:
         raise ValueError("hot_share must be in (0, 1]")
     sides = per_key if isinstance(per_key, (list, tuple)) else [per_key]
-    hot = F.broadcast(hot_keys(base, key, hot_share, sample_fraction))   # ≤ 1/hot_share rows
-    tagged = base.join(hot, key, "left")
+    hot = hot_key_values(base, key, hot_share, sample_fraction)
+    k = F.col(key)
     # NULL keys never match but would all hash to one partition: route them
     # with the hot rows through the map-side path
-    is_warm = F.col(HOT_FLAG).isNotNull() | F.col(key).isNull()
-    cold = tagged.where(~is_warm).drop(HOT_FLAG)
-    warm = tagged.where(is_warm).drop(HOT_FLAG)
+    is_warm = k.isNull() | (F.coalesce(k.isin(*hot), F.lit(False)) if hot else F.lit(False))
+    cold = base.where(~is_warm)
+    warm = base.where(is_warm)
     for side in sides:
         cold = cold.join(side, key, "left")
-        # ≤ 1/hot_share rows: broadcast, joined map-side
-        warm = warm.join(F.broadcast(side.join(hot.select(key), key, "left_semi")), key, "left")
+        # the side's rows for the hot keys only: ≤ 1/hot_share rows, broadcast
+        hot_rows = side.where(k.isin(*hot)) if hot else side.limit(0)
+        warm = warm.join(F.broadcast(hot_rows), key, "left")
     return cold.unionByName(warm)
