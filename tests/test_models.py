@@ -175,3 +175,23 @@ def test_skew_safe_join_null_keys(spark):
     side = spark.createDataFrame([("a", 10), ("c", 30)], "k string, w int")
     got = sorted((r.v, r.k, r.w) for r in skew_safe_left_join(base, side, "k", hot_share=0.5).collect())
     assert got == [(1, None, None), (2, None, None), (3, "a", 10), (4, "b", None)]
+
+
+def test_full_report_sf001_only_seeded_checks_fail(spark):
+    """All 153 checks at sf0.01: exactly the seeded violations fail, the
+    other 145 report 0 (the clean case)."""
+    import __spark_entry__ as E
+    rows = {r.check_id: r for r in E.queries()["dq_report"](spark, SF001).collect()}
+    assert len(rows) == 153
+    failing = {cid: r.failures for cid, r in rows.items() if r.failures}
+    assert failing == {
+        "not_null_fact_ai_usage_ai_model_key": 200,
+        "not_null_int_ai_usage_metrics_model_name": 200,
+        "not_null_int_ai_usage_metrics_output_tokens": 910,
+        "not_null_subscriptions_seats": 141,
+        "not_null_support_tickets_closed_at": 787,
+        "not_null_support_tickets_satisfaction_score": 446,
+        "relationships_fact_ai_usage_customer_key": 10000,
+        "relationships_fact_ai_usage_subscription_key": 963,
+    }
+    assert all(r.status == ("fail" if r.failures else "pass") for r in rows.values())
