@@ -195,3 +195,29 @@ def test_full_report_sf001_only_seeded_checks_fail(spark):
         "relationships_fact_ai_usage_subscription_key": 963,
     }
     assert all(r.status == ("fail" if r.failures else "pass") for r in rows.values())
+
+
+def test_check_semantics_on_hand_made_rows(spark):
+    import datetime as dt
+    from ledgerloom.operators.checks import Check
+    child = spark.createDataFrame(
+        [("a", "Gold", True, dt.date(2026, 1, 1), 5), ("a", "Gold", None, dt.date(2026, 1, 2), -1),
+         ("b", "Silver", False, dt.date(2026, 1, 9), None), (None, "Starter", True, None, 0),
+         ("c", None, True, dt.date(2026, 1, 1), 3)],
+        "k string, tier string, flag boolean, d date, n int")
+    parent = spark.createDataFrame([("a", dt.date(2026, 1, 1)), ("a", dt.date(2026, 1, 2))],
+                                   "k string, d date")
+    rel = {"child": child, "parent": parent}
+    checks = [
+        Check("u_k", "t", "child", "k", "unique", None),                  # 'a' twice; NULL ignored
+        Check("u_d", "t", "child", "d", "unique", None),                  # 2026-01-01 twice
+        Check("nn_k", "t", "child", "k", "not_null", None),
+        Check("av_tier", "t", "child", "tier", "accepted_values", ("Starter",)),   # Gold, Silver
+        Check("av_flag", "t", "child", "flag", "accepted_values", (True, False)),
+        Check("rel_k", "t", "child", "k", "relationships", ("parent", "k")),      # b, c rows
+        Check("rel_d", "t", "child", "d", "relationships", ("parent", "d")),      # 2026-01-09
+        Check("ge0_n", "t", "child", "n", "expression_is_true", ">= 0"),          # -1; NULL passes
+    ]
+    got = {r.check_id: r.failures for r in Q.run_checks(rel.__getitem__, checks).collect()}
+    assert got == {"u_k": 1, "u_d": 1, "nn_k": 1, "av_tier": 2, "av_flag": 0,
+                   "rel_k": 2, "rel_d": 1, "ge0_n": 1}
