@@ -1,4 +1,4 @@
-"""Submit independent Spark jobs concurrently (like dbt's ``threads``).
+"""Submit independent Spark jobs concurrently (like a model runner's ``threads`` setting).
 
 Each callable triggers one action (a table write). DataFrames are built on
 the calling thread first; worker threads only submit actions, which Spark's
