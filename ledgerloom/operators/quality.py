@@ -75,8 +75,9 @@ def accepted_values_by_model(df: DataFrame, checks: list[Check]) -> DataFrame:
         bad = k.isNotNull() & ~_accepted(k, df.schema[c.column].dataType, c.arg)
         pairs.append(F.when(bad, F.struct(F.lit(c.check_id).alias("check_id"),
                                           k.cast("string").alias("value"))))
-    # clean rows emit nothing: the array is filtered before it is exploded
-    bad_values = (df.select(F.explode(F.filter(F.array(*pairs), lambda p: p.isNotNull())).alias("p"))
+    # explode + filter stays in whole-stage codegen (a lambda filter on the
+    # array would be evaluated interpreted); NULL elements are dropped at once
+    bad_values = (df.select(F.explode(F.array(*pairs)).alias("p")).where(F.col("p").isNotNull())
                     .select("p.check_id", "p.value").distinct()
                     .groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
     meta = _meta(df.sparkSession, checks)
