@@ -9,6 +9,9 @@ import os
 
 import duckdb
 
+# LEDGERLOOM_EXACT_FLOATS=1 compares doubles bit for bit (no rounding)
+EXACT_FLOATS = os.environ.get("LEDGERLOOM_EXACT_FLOATS") == "1"
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -32,7 +35,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v if EXACT_FLOATS else round(v, 9)
     if isinstance(v, dt.datetime):
         return v.isoformat(sep=" ")
     if isinstance(v, dt.date):
