@@ -166,10 +166,16 @@ class ModelSet:
             depth[n] = 1 + max([depth[u] for u in ups if u in depth] or [0])
         for d in sorted(set(depth.values())):
             level = [n for n in todo if depth[n] == d]
-            frames = {n: self[n] for n in level}          # plans built on this thread
+            for n in level:                               # shared upstream: built once, here
+                for u in (MODELS[n].upstream if n in MODELS else ()):
+                    self[u]
             paths = {n: f"{root.rstrip('/')}/{n}" for n in level}
-            run_concurrently({n: (lambda n=n: frames[n].write.mode("overwrite").parquet(paths[n]))
-                              for n in level}, threads)
+
+            def build_and_write(n):
+                # each task builds only its own model (distinct dict entry),
+                # so plan building (hot-key jobs included) overlaps too
+                self[n].write.mode("overwrite").parquet(paths[n])
+            run_concurrently({n: (lambda n=n: build_and_write(n)) for n in level}, threads)
             for n in level:
                 self._frames[n] = spark.read.parquet(paths[n])
                 # rebuild lazily-derived downstream frames on top of the stored table
