@@ -221,3 +221,16 @@ def test_check_semantics_on_hand_made_rows(spark):
     got = {r.check_id: r.failures for r in Q.run_checks(rel.__getitem__, checks).collect()}
     assert got == {"u_k": 1, "u_d": 1, "nn_k": 1, "av_tier": 2, "av_flag": 0,
                    "rel_k": 2, "rel_d": 1, "ge0_n": 1}
+
+
+def test_cli_land_and_run(spark, capsys):
+    from ledgerloom.__main__ import main
+    root = run_dir(spark, "cli")
+    landing = f"{root}/landing"
+    assert main(["land", "--sf-dir", SF0001, "--landing", landing, "--ingestion-date", "2026-10-02",
+                 "--year", "2026", "--month", "9"]) == 0
+    assert main(["run", "--landing", landing, "--warehouse", f"{root}/wh1", "--as-of", "2026-10-02",
+                 "--select", "staging", "--warn"]) == 0
+    assert "checks" in capsys.readouterr().out
+    # fail closed on the seeded violations
+    assert main(["run", "--landing", landing, "--warehouse", f"{root}/wh2", "--as-of", "2026-10-02"]) == 1
