@@ -63,6 +63,11 @@ def shared_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir") or _DIRS.get(id(sc))
+    if not d:
+        try:   # set programmatically with sc.setCheckpointDir(...)
+            d = sc.getCheckpointDir()
+        except Exception:  # pragma: no cover - older API
+            d = None
     if d:
         return d.rstrip("/")
     if not sc.master.startswith("local"):
