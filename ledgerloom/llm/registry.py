@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.llm.op1_quality_knn import op1_quality_knn
 from ledgerloom.llm.op6_language_id import op6_language_id
+from ledgerloom.llm.op7_simhash_dedup import op7_simhash_dedup
 from ledgerloom.llm.op8_source_mixing import op8_source_mixing
 from ledgerloom.llm.op10_license_scan import op10_license_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op6_language_id, op8_source_mixing, op10_license_scan)
+    found = (op1_quality_knn, op6_language_id, op7_simhash_dedup, op8_source_mixing, op10_license_scan)
     return {f.__name__: f for f in found}
 
 
