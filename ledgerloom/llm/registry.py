@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.llm.op1_quality_knn import op1_quality_knn
 from ledgerloom.llm.op3_wavelet_tokens import op3_wavelet_tokens
 from ledgerloom.llm.op4_retrieval_packing import op4_retrieval_packing
+from ledgerloom.llm.op5_weak_supervision import op5_weak_supervision
 from ledgerloom.llm.op6_language_id import op6_language_id
 from ledgerloom.llm.op7_simhash_dedup import op7_simhash_dedup
 from ledgerloom.llm.op8_source_mixing import op8_source_mixing
@@ -16,7 +17,8 @@ from ledgerloom.llm.op10_license_scan import op10_license_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_quality_knn, op3_wavelet_tokens, op4_retrieval_packing, op6_language_id, op7_simhash_dedup, op8_source_mixing, op10_license_scan)
+    found = (op1_quality_knn, op3_wavelet_tokens, op4_retrieval_packing,
+             op5_weak_supervision, op6_language_id, op7_simhash_dedup, op8_source_mixing, op10_license_scan)
     return {f.__name__: f for f in found}
 
 
