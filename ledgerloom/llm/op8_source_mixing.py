@@ -11,7 +11,8 @@ document's odds exponentially in its relative size x = size / mean size:
 Newton steps solve it; gradient and curvature of all sources are one grouped
 sum over the documents (pre-aggregated by source and size). Rates are then
 rounded to whole copies, bucket by bucket, carrying the rounding error in
-words from document to document, so a source's copies come to its target.
+words from document to document; what is left at a bucket's end is settled by
+single copies, so a source's copies come to its target.
 
 Defined results
   null or wordless text     size 0, rate 1, taken 0
@@ -119,15 +120,23 @@ def solve_dual(hist: DataFrame, sources: list[dict], cap: float = CAP, steps: in
     return lam
 
 
-def copies_of(sizes: np.ndarray, rates: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """Whole copies, each the rate rounded down or up; documents in ``order``
-    carry the words over or short to the next one."""
+def copies_of(sizes: np.ndarray, rates: np.ndarray, order: np.ndarray, cap: float) -> np.ndarray:
+    """Whole copies: each rate rounded down or up, documents in ``order`` (the
+    largest first) carrying the words over or short to the next one. What is
+    left at the end is settled by single copies, again the largest first."""
     out, carry = np.zeros(len(sizes), np.int32), 0.0
     for i in order:
         s, w = float(sizes[i]), float(rates[i])
         down, want = math.floor(w), carry + w * s
         n = down if want - down * s < s / 2 or w == down else down + 1
         out[i], carry = n, want - n * s
+    for i in order:
+        s = float(sizes[i])
+        if s and abs(carry) >= s / 2:
+            step = 1 if carry > 0 else -1
+            if 0 <= out[i] + step <= cap:
+                out[i] += step
+                carry -= step * s
     return out
 
 
@@ -155,7 +164,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     def round_bucket(t: pa.Table) -> pa.Table:
         size, w = t.column("size").to_numpy(), t.column("rate").to_numpy()
         ids = np.array([-1 if x is None else hash(x) for x in t.column("doc_id").to_pylist()], np.int64)
-        n = copies_of(size, w, np.lexsort((ids, -size)))
+        n = copies_of(size, w, np.lexsort((ids, -size)), cap)
         return t.append_column("copies", pa.array(n, pa.int32()))
 
     schema = T.StructType([*rated.schema.fields, T.StructField("copies", T.IntegerType())])
