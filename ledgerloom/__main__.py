@@ -47,8 +47,8 @@ def main(argv=None) -> int:
     run.add_argument("--incremental", action="store_true")
     run.add_argument("--archive-dir", default=None)
     run.add_argument("--threads", type=int, default=4, help="concurrent table writes")
-    run.add_argument("--single-line-csv", action="store_true",
-                     help="CSV fields hold no newlines: split big files across tasks")
+    run.add_argument("--multiline-csv", action="store_true",
+                     help="CSV fields may hold line breaks (a file is then read by one task)")
 
     args = ap.parse_args(argv)
     spark = _session(args.master, args.ui)
@@ -64,11 +64,12 @@ def main(argv=None) -> int:
         res = run_pipeline(spark, args.landing, args.warehouse, as_of=args.as_of,
                            selection=args.select, on_check_failure="warn" if args.warn else "raise",
                            incremental=args.incremental, archive_dir=args.archive_dir,
-                           threads=args.threads, csv_multiline=not args.single_line_csv)
+                           threads=args.threads, csv_multiline=args.multiline_csv)
     except PipelineError as e:
         print(f"FAILED at {e.stage}: {e.cause}", file=sys.stderr)
         return 1
-    res.summary().show(100, truncate=False)
+    for r in res.summary().collect():        # a row a relation
+        print(f"{r.layer}\t{r.table_name}\t{r.rows}")
     failing = [r for r in res.check_rows if r["failures"]]
     print(f"{len(res.check_rows)} checks, {len(failing)} failing")
     return 0

@@ -33,9 +33,9 @@ DQ_KEYS = {
 }
 
 
-def _ms(spark, sf_dir, shared=False):
+def _ms(spark, sf_dir):
     from ledgerloom.registry import model_set
-    return model_set(spark, sf_dir, shared=shared)
+    return model_set(spark, sf_dir)
 
 
 def _cmp(df):
@@ -66,7 +66,7 @@ def _metric(name):
     fn, upstream = METRICS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _cmp(fn(_ms(spark, sf_dir, shared=True)[upstream]))
+        return _cmp(fn(_ms(spark, sf_dir)[upstream]))
     return run
 
 
@@ -78,11 +78,13 @@ def _preview_alt(spark, sf_dir):
     return _cmp(S.preview_events_alt(DT.ai_usage_events(spark, sf_dir)))
 
 
-def _load_csv(spark, sf_dir):
-    """Land the whole payments table as CSV, then COPY it back typed."""
-    root = run_dir(spark, "landing")
-    path = L.write_csv_landing(DT.payments(spark, sf_dir), root, "payments", INGESTION_DATE)
-    return _cmp(L.load_csv(spark, path, "payments"))
+def _load_csv(source):
+    def run(spark, sf_dir):
+        """Land a whole source as CSV, then COPY it back typed."""
+        root = run_dir(spark, "landing")
+        path = L.write_csv_landing(getattr(DT, source)(spark, sf_dir), root, source, INGESTION_DATE)
+        return _cmp(L.load_csv(spark, path, source))
+    return run
 
 
 def _load_json(spark, sf_dir):
@@ -129,12 +131,27 @@ def _incremental(spark, sf_dir):
     return _cmp(read_target(spark, target, "support_tickets"))
 
 
+def _landed_by_month(spark, sf_dir):
+    root = run_dir(spark, "landing")
+    L.write_landing(spark, sf_dir, root, INGESTION_DATE)
+    return root
+
+
 def _stage_listing(spark, sf_dir):
-    return L.list_stage(spark, _landed(spark, sf_dir))
+    """The landed stage by source and partition folder, events in the folder of their month."""
+    return L.stage_folders(spark, _landed_by_month(spark, sf_dir))
 
 
 def _source_presence(spark, sf_dir):
-    return L.source_presence(spark, _landed(spark, sf_dir)).select("source", "prefix", "present")
+    """The five sources, and every month of the years that have events: a month
+    without events has no folder."""
+    root = _landed_by_month(spark, sf_dir)
+    years = DT.read_table(spark, sf_dir, "events", "ts").agg(F.min(F.year("ts")), F.max(F.year("ts"))).first()
+    prefixes = list(L.LANDING_PREFIX.items())
+    if years[0] is not None:
+        prefixes += [("ai_usage_events", f"{L.LANDING_PREFIX['ai_usage_events']}/year={y:04d}/month={m:02d}")
+                     for y in range(years[0], years[1] + 1) for m in range(1, 13)]
+    return L.source_presence(spark, root, prefixes)
 
 
 def _pipeline_summary(spark, sf_dir):
@@ -154,7 +171,10 @@ def queries() -> dict:
     out.update({
         "preview_events": _preview,
         "preview_events_alt": _preview_alt,
-        "load_csv": _load_csv,
+        "load_csv": _load_csv("payments"),
+        "load_accounts": _load_csv("accounts"),
+        "load_subscriptions": _load_csv("subscriptions"),
+        "load_support_tickets": _load_csv("support_tickets"),
         "load_json_variant": _load_json,
         "landing_roundtrip": _landing_roundtrip,
         "incremental_load": _incremental,

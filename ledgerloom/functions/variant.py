@@ -50,10 +50,13 @@ def month_start(ts: Column) -> Column:
     return F.trunc(ts.cast("date"), "month").cast("timestamp_ntz")
 
 
-def avg_exact(c: Column, scale: int = 6) -> Column:
-    """Decimal average widened before dividing, rounded to ``scale`` digits.
+def utc_now() -> Column:
+    """The current instant as TIMESTAMP_NTZ in UTC, whatever the session's time zone."""
+    return F.expr("convert_timezone(current_timezone(), 'UTC', cast(current_timestamp() AS timestamp_ntz))")
 
-    ``avg(decimal(3,1))`` would carry only 5 fractional digits; widening to
-    ``decimal(18,8)`` first keeps 12, so rounding to 6 is exact.
-    """
-    return F.round(F.avg(c.cast("decimal(18,8)")), scale)
+
+def avg_exact(c: Column) -> Column:
+    """Average with every digit of a wide decimal, not rounded to a display
+    scale: ``avg(decimal(3,1))`` alone would carry 5 fractional digits. The
+    type leaves 20 integer digits, enough for any bigint or declared column."""
+    return F.avg(c.cast("decimal(28,8)"))

@@ -4,8 +4,9 @@ Every model aggregates each fact to its join key *before* joining, so joins
 are 1:1 (or N:1 onto a one-row-per-key side) and never fan out. ``groupBy``
 plans a partial (map-side) aggregate before its shuffle, so one account owning
 a third of all payments still reaches the shuffle as one row per map task.
-The account-keyed joins go through ``skew_safe_left_join``: a key that holds
-a large share of the base rows is joined map-side instead of in one task.
+Joins onto accounts meet one row a key on both sides and are plain. The join of
+subscriptions onto their account's support figures is N:1 and goes through
+``salted_left_join``: an account may hold a large share of the subscriptions.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.variant import avg_exact, exact_ratio, month_start
-from ledgerloom.operators.joins import skew_safe_left_join
+from ledgerloom.functions.variant import avg_exact, exact_ratio, month_start, utc_now
+from ledgerloom.operators.joins import salted_left_join
 
 ACCOUNT_ATTRS = ("account_id", "account_name", "industry", "country", "signup_date",
                  "referral_source", "plan_tier", "is_trial", "churn_flag")
@@ -30,7 +31,7 @@ def _zero(c: str) -> Column:
 
 
 def _as_of_date(as_of) -> Column:
-    return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+    return utc_now().cast("date") if as_of is None else F.lit(str(as_of)).cast("date")
 
 
 def _subscriptions_per_account(subscriptions: DataFrame) -> DataFrame:
@@ -87,7 +88,7 @@ def int_account_revenue(stg_accounts: DataFrame, stg_subscriptions: DataFrame,
         F.max(F.when(ok, F.col("payment_date"))).alias("last_payment_date"),
         avg_exact(F.when(ok, F.col("amount"))).alias("average_payment_amount"),
     )
-    joined = skew_safe_left_join(accounts, [subs, pays], "account_id")
+    joined = accounts.join(subs, "account_id", "left").join(pays, "account_id", "left")
     return joined.select(
         *ACCOUNT_ATTRS,
         _zero("subscription_count"), _zero("active_subscription_count"), _zero("total_seats"),
@@ -135,7 +136,7 @@ def int_subscription_metrics(stg_subscriptions: DataFrame, stg_payments: DataFra
                              F.max("payment_date").alias("last_payment_date"))
     support = _support_per_account(stg_support_tickets, "support_ticket_count")
     # N:1 onto the account: an account may own a large share of subscriptions
-    joined = (skew_safe_left_join(subs, support, "account_id")
+    joined = (salted_left_join(subs, support, "account_id", spread_by="subscription_id")
               .join(pays, "subscription_id", "left"))
     return joined.select(
         "subscription_id", "account_id", "plan_tier", "start_date", "billing_frequency",
@@ -166,7 +167,8 @@ def int_customer_360(stg_accounts: DataFrame, stg_subscriptions: DataFrame,
     )
     pays = _succeeded_totals(stg_payments, "account_id", "total_revenue")
     support = _support_per_account(stg_support_tickets, "total_support_tickets")
-    joined = skew_safe_left_join(accounts, [subs, pays, support], "account_id")
+    joined = (accounts.join(subs, "account_id", "left").join(pays, "account_id", "left")
+              .join(support, "account_id", "left"))
     return joined.select(
         *ACCOUNT_ATTRS,
         _zero("subscription_count"), _zero("total_mrr"), _zero("total_arr"), _zero("total_seats"),

@@ -1,84 +1,27 @@
-"""Skew-safe N:1 left join.
+"""N:1 left join that stays spread when one key holds much of the base.
 
-``base LEFT JOIN per_key USING (key)`` where ``per_key`` has one row per key
-(an aggregate) and ``base`` may hold one key in a large share of its rows.
-
-AQE's skew-join split does not apply when ``per_key`` comes straight out of
+``base LEFT JOIN per_key USING (key)``, ``per_key`` an aggregate with one row
+per key. AQE's skew split does not apply when ``per_key`` comes straight out of
 its aggregate (it is already partitioned by the key, so it is not a shuffle
-stage of the join). Without help, one task would receive every row of the hot
-key. This operator splits the hot keys off instead:
-
-1. rows per key in a sample of ``base`` (partial aggregate);
-2. hot keys: at least ``hot_share`` of the sampled rows — at most
-   ``1 / hot_share`` of them (a proven bound), fixed as a literal list so
-   every branch routes rows identically;
-3. cold rows: ordinary shuffle join (no key holds ``hot_share`` of them);
-4. hot rows (and NULL-key rows, which match nothing but would all hash to
-   one partition): map-side join against ``per_key`` restricted to the hot
-   keys (≤ ``1 / hot_share`` rows, broadcast), so they stay spread over the
-   tasks that read them.
+stage of the join), and one task would get all rows of a hot key.
 
-The two parts partition ``base``; their union is the exact join result.
+The base's rows are salted by a hash of a column that spreads them, and the
+aggregate, which is the small side whatever the skew, is repeated once for
+each salt. No key has to be known as hot: one plan, one scan of each table, no
+job while the plan is built. Rows with a null key are spread as well.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_FLAG = "__hot_key"
-
-
-def hot_keys(base: DataFrame, key: str, hot_share: float = 0.01,
-             sample_fraction: float | None = 0.01, seed: int = 17) -> DataFrame:
-    """Keys holding at least ``hot_share`` of the (sampled) rows.
-
-    At most ``1 / hot_share`` keys qualify whatever the data (their shares
-    sum to at most 1), which is the size bound the broadcast relies on.
-    Detection runs on a seeded Bernoulli sample by default — it only decides
-    which path rows take, both paths are exact — so it costs a scan, not a
-    shuffle of every key; ``sample_fraction=None`` counts all rows.
-    """
-    src = base if sample_fraction is None else base.sample(fraction=sample_fraction, seed=seed)
-    src = src.select(key)
-    total = src.select(F.count(F.lit(1))).scalar()
-    return (src.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-               .where(F.col("__n") >= F.lit(hot_share) * total)
-               .select(key, F.lit(True).alias(HOT_FLAG)))
-
-
-def hot_key_values(base: DataFrame, key: str, hot_share: float = 0.01,
-                   sample_fraction: float | None = 0.01) -> list:
-    """The hot keys as a fixed list (one small job; at most ``1/hot_share``
-    values, so bringing them to the driver is bounded). Fixing the list once
-    keeps the hot/cold routing consistent even if inputs are recomputed."""
-    # a NULL key is routed on its own (``isNull``); inside IN it would make the
-    # predicate NULL for every other key
-    values = [r[0] for r in hot_keys(base, key, hot_share, sample_fraction).select(key).collect()
-              if r[0] is not None]
-    assert len(values) <= math.floor(1 / hot_share), "hot-key bound violated"
-    return values
+SALTS = 8
+_SALT = "__salt"
 
 
-def skew_safe_left_join(base: DataFrame, per_key, key: str, hot_share: float = 0.01,
-                        sample_fraction: float | None = 0.01) -> DataFrame:
-    """``per_key`` is one DataFrame or a list of them (each one row per key);
-    all are attached with a single hot/cold split of ``base``."""
-    if not 0 < hot_share <= 1:
-        raise ValueError("hot_share must be in (0, 1]")
-    sides = per_key if isinstance(per_key, (list, tuple)) else [per_key]
-    hot = hot_key_values(base, key, hot_share, sample_fraction)
-    k = F.col(key)
-    # NULL keys never match but would all hash to one partition: route them
-    # with the hot rows through the map-side path
-    is_warm = k.isNull() | (F.coalesce(k.isin(*hot), F.lit(False)) if hot else F.lit(False))
-    cold = base.where(~is_warm)
-    warm = base.where(is_warm)
-    for side in sides:
-        cold = cold.join(side, key, "left")
-        # the side's rows for the hot keys only: ≤ 1/hot_share rows, broadcast
-        hot_rows = side.where(k.isin(*hot)) if hot else side.limit(0)
-        warm = warm.join(F.broadcast(hot_rows), key, "left")
-    return cold.unionByName(warm)
+def salted_left_join(base: DataFrame, per_key: DataFrame, key: str, spread_by: str, salts: int = SALTS) -> DataFrame:
+    """``base.join(per_key, key, "left")``. ``spread_by``: a base column of many values."""
+    left = base.withColumn(_SALT, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    right = per_key.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, _SALT], "left").drop(_SALT)

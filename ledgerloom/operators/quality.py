@@ -8,13 +8,14 @@ Semantics of the declared test types:
 * ``relationships``       non-NULL child rows whose key is missing in the parent
 * ``expression_is_true``  rows where ``column <expr>`` is false (NULL passes)
 
-Plan shape, chosen for data where one key may hold a third of all rows:
-``not_null`` and ``expression_is_true`` checks of a model share one
-aggregation pass, as do its ``accepted_values`` checks; all ``unique`` checks
-share one shuffle, all ``relationships`` checks one anti join. Keys are
-counted per (check, key) with a partial (map-side) aggregate first, so a hot
-key leaves each map task as a single row and the anti join only ever sees
-distinct keys.
+Plan shape. Checks are numbered; only the numbers travel. A relation is read
+twice at most: once for the counts of its ``not_null`` and
+``expression_is_true`` checks, once for all its keys and its values outside
+accepted lists. Keys of all relations share one shuffle: they are counted by
+(key space, key, check) with a partial (map-side) aggregate first, so a hot key
+leaves each map task as a single row; a second one, over distinct keys only,
+brings children and parents together. Every check starts from a zero row, so no
+catalog table is joined; names are put on the one row a check at the end.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ RESULT_COLUMNS = ("check_id", "layer", "model", "column_name", "test", "failures
 class DataQualityError(RuntimeError):
     def __init__(self, failed: list[dict]):
         self.failed = failed
-        names = ", ".join(f"{r['check_id']}={r['failures']}" for r in failed[:10])
+        names = ", ".join(f"{r['check_id']}={r['failures']}" for r in failed)
         super().__init__(f"{len(failed)} data test(s) failed: {names}")
 
 
@@ -42,98 +43,77 @@ def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def row_predicate_failures(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All ``not_null`` / ``expression_is_true`` checks of one model in one pass."""
-    aggs = []
-    for i, c in enumerate(checks):
-        if c.test == "not_null":
-            bad = _col(c.column).isNull()
-        else:
-            bad = ~F.expr(f"`{c.column}` {c.arg}")
-        aggs.append(F.count_if(bad).alias(f"c{i}"))
-    wide = df.agg(*aggs)
-    # the single aggregate row → one row per check
-    stack = ", ".join(f"'{c.check_id}', '{c.layer}', '{c.model}', '{c.column}', '{c.test}', c{i}"
-                      for i, c in enumerate(checks))
-    return wide.select(F.expr(
-        f"stack({len(checks)}, {stack}) AS (check_id, layer, model, column_name, test, failures)"))
-
-
 def _accepted(col: Column, dtype: T.DataType, values) -> Column:
     if isinstance(dtype, T.BooleanType):
         return F.lower(col.cast("string")).isin(*[str(v).lower() for v in values])
     return col.isin(*values)
 
 
-def accepted_values_by_model(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All ``accepted_values`` checks of one model in one pass: each row emits
-    (check, value) for its out-of-list values only, which are distinct-counted
-    per check; checks with no bad value report 0."""
-    pairs = []
-    for c in checks:
-        k = _col(c.column)
-        bad = k.isNotNull() & ~_accepted(k, df.schema[c.column].dataType, c.arg)
-        pairs.append(F.when(bad, F.struct(F.lit(c.check_id).alias("check_id"),
-                                          k.cast("string").alias("value"))))
-    # explode + filter stays in whole-stage codegen (a lambda filter on the
-    # array would be evaluated interpreted); NULL elements are dropped at once
-    bad_values = (df.select(F.explode(F.array(*pairs)).alias("p")).where(F.col("p").isNotNull())
-                    .select("p.check_id", "p.value").distinct()
-                    .groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
-    meta = _meta(df.sparkSession, checks)
-    return (meta.join(bad_values, "check_id", "left")
-                .select(*RESULT_COLUMNS[:-1], F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
-
-
-def _meta(spark, checks: list[Check]) -> DataFrame:
-    # one row per check (bounded by the catalog): lets checks without a failing
-    # key report 0
-    return spark.createDataFrame(
-        [(c.check_id, c.layer, c.model, c.column, c.test) for c in checks],
-        "check_id string, layer string, model string, column_name string, test string")
-
-
-def _keyed(df: DataFrame, column: str, check_id: str) -> DataFrame:
-    """(check_id, k) with the key as text, so keys of all checks share one
-    shuffle (text is injective for the string, date and integer keys)."""
-    return df.select(F.lit(check_id).alias("check_id"), _col(column).cast("string").alias("k"))
-
-
-def unique_failures_all(resolve: Callable[[str], DataFrame], checks: list[Check]) -> DataFrame:
-    """Every ``unique`` check in one shuffle: (check, key) counts with a
-    map-side partial aggregate, then duplicated keys per check."""
-    pairs = reduce(DataFrame.unionByName, [_keyed(resolve(c.model), c.column, c.check_id) for c in checks])
-    dupes = (pairs.where(F.col("k").isNotNull()).groupBy("check_id", "k")
-                  .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-                  .groupBy("check_id").agg(F.count(F.lit(1)).alias("failures")))
-    meta = _meta(resolve(checks[0].model).sparkSession, checks)
-    return (meta.join(dupes, "check_id", "left")
-                .select(*RESULT_COLUMNS[:-1], F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
-
-
-def relationships_failures_all(resolve: Callable[[str], DataFrame], checks: list[Check]) -> DataFrame:
-    """Every ``relationships`` check in one anti join.
-
-    Child rows are counted per (check, key) first — a hot key leaves each
-    task as one row. Each distinct parent (relation, column) contributes its
-    keys once, however many checks point at it.
-    """
-    parents = sorted({c.arg for c in checks})
-    pid = {p: f"{p[0]}.{p[1]}" for p in parents}
-    child = reduce(DataFrame.unionByName, [
-        _keyed(resolve(c.model), c.column, c.check_id).withColumn("parent", F.lit(pid[c.arg]))
-        for c in checks])
-    child = (child.where(F.col("k").isNotNull()).groupBy("check_id", "parent", "k")
-                  .agg(F.count(F.lit(1)).alias("n")))
-    parent = reduce(DataFrame.unionByName, [
-        resolve(to).select(F.lit(pid[(to, field)]).alias("parent"), _col(field).cast("string").alias("k"))
-        for to, field in parents])
-    parent = parent.where(F.col("k").isNotNull()).distinct()
-    missing = (child.join(parent, ["parent", "k"], "left_anti")
-                    .groupBy("check_id").agg(F.sum("n").alias("failures")))
-    meta = _meta(resolve(checks[0].model).sparkSession, checks)
-    return (meta.join(missing, "check_id", "left")
-                .select(*RESULT_COLUMNS[:-1], F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
+def row_failures(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
+    """(no, failures) of the ``not_null`` and ``expression_is_true`` checks of
+    one relation: one aggregate."""
+    aggs = []
+    for no, c in checks:
+        bad = _col(c.column).isNull() if c.test == "not_null" else ~F.expr(f"`{c.column}` {c.arg}")
+        aggs.append(F.count_if(bad).alias(f"c{no}"))
+    stack = ", ".join(f"{no}, c{no}" for no, _ in checks)
+    return df.agg(*aggs).select(F.expr(f"stack({len(checks)}, {stack}) AS (no, failures)"))
+
+
+PARENT = -1         # stands for a check number on a parent's own keys
+PARENTS = 10_000    # key spaces from here on are parents'; below, a check's own
+
+
+def _entry(space: int, no: int, key: Column) -> Column:
+    return F.struct(F.lit(space).alias("space"), F.lit(no).alias("no"), key.alias("k"))
+
+
+def key_rows(df: DataFrame, keys: list[tuple[int, int, str]], listed: list[tuple[int, Check]]) -> DataFrame:
+    """(space, no, k) of one relation, from one read: its key columns, and its
+    values outside accepted lists, for which only rows that have one make
+    entries. Keys are text, which is injective for string, date and integer keys."""
+    entries = F.array(*[_entry(space, no, _col(c).cast("string")) for space, no, c in keys]) if keys else None
+    if listed:
+        bad = [(no, _col(c.column).isNotNull() & ~_accepted(_col(c.column), df.schema[c.column].dataType, c.arg), c.column)
+               for no, c in listed]
+        some = reduce(lambda x, y: x | y, [b for _, b, _ in bad])
+        values = F.array(*[_entry(no, no, F.when(b, _col(c).cast("string"))) for no, b, c in bad])
+        if entries is None:
+            df, entries = df.where(some), values
+        else:
+            entries = F.when(some, F.concat(entries, values)).otherwise(entries)
+    return df.select(F.explode(entries).alias("e")).select("e.*").where(F.col("k").isNotNull())
+
+
+def key_failures(resolve: Callable[[str], DataFrame], numbered: list[tuple[int, Check]]) -> DataFrame:
+    """(no, failures) of all ``unique``, ``accepted_values`` and
+    ``relationships`` checks.
+
+    Rows are counted by (space, key, check). What a unique check found once is
+    sound and leaves; a value outside a list is a failure by itself; children's
+    counts meet their parent's marker in the parent's space."""
+    parents = {p: PARENTS + i for i, p in enumerate(sorted({c.arg for _, c in numbered if c.test == "relationships"}))}
+    keys: dict[str, list[tuple[int, int, str]]] = {}
+    listed: dict[str, list[tuple[int, Check]]] = {}
+    for no, c in numbered:
+        if c.test == "accepted_values":
+            listed.setdefault(c.model, []).append((no, c))
+        else:
+            keys.setdefault(c.model, []).append((parents[c.arg] if c.test == "relationships" else no, no, c.column))
+    for (to, field), space in parents.items():
+        keys.setdefault(to, []).append((space, PARENT, field))
+    rows = reduce(DataFrame.unionByName, [key_rows(resolve(m), keys.get(m, []), listed.get(m, []))
+                                          for m in sorted({*keys, *listed})])
+    uniques = [no for no, c in numbered if c.test == "unique"]
+    lists = [no for no, c in numbered if c.test == "accepted_values"]
+    counted = rows.groupBy("space", "k", "no").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.where(~F.col("no").isin(uniques) | (F.col("n") > 1))
+    # at most an entry a check and key: its rows, and the parent's marker
+    met = counted.groupBy("space", "k").agg(
+        F.max(F.col("no") == PARENT).alias("found"),
+        F.collect_list(F.when(F.col("no") != PARENT, F.struct("no", "n"))).alias("children"))
+    lost = met.where(~F.col("found")).select(F.explode("children").alias("c")).select("c.*")
+    return lost.groupBy("no").agg(F.sum(F.when(F.col("no").isin(uniques + lists), 1).otherwise(F.col("n"))).alias("failures"))
 
 
 def run_checks(resolve: Callable[[str], DataFrame], checks: Iterable[Check] | None = None) -> DataFrame:
@@ -142,27 +122,27 @@ def run_checks(resolve: Callable[[str], DataFrame], checks: Iterable[Check] | No
     ``resolve(name)`` returns the relation a check reads (raw table, view or
     materialised mart).
     """
-    checks = list(all_checks() if checks is None else checks)
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    accepted: dict[str, list[Check]] = {}
-    for c in checks:
+    numbered = list(enumerate(all_checks() if checks is None else checks))
+    by_model: dict[str, list[tuple[int, Check]]] = {}
+    for no, c in numbered:
         if c.test in ("not_null", "expression_is_true"):
-            by_model.setdefault(c.model, []).append(c)
-        elif c.test == "accepted_values":
-            accepted.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        parts.append(row_predicate_failures(resolve(model), cs))
-    for model, cs in accepted.items():
-        parts.append(accepted_values_by_model(resolve(model), cs))
-    uniques = [c for c in checks if c.test == "unique"]
-    if uniques:
-        parts.append(unique_failures_all(resolve, uniques))
-    rels = [c for c in checks if c.test == "relationships"]
-    if rels:
-        parts.append(relationships_failures_all(resolve, rels))
-    out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn("status", F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")))
+            by_model.setdefault(c.model, []).append((no, c))
+    parts = [row_failures(resolve(model), cs) for model, cs in by_model.items()]
+    keyed = [x for x in numbered if x[1].test in ("unique", "accepted_values", "relationships")]
+    if keyed:
+        parts.append(key_failures(resolve, keyed))
+    spark = parts[0].sparkSession
+    zeros = spark.range(len(numbered)).select(F.col("id").cast("int").alias("no"), F.lit(0).cast("bigint").alias("failures"))
+    total = reduce(DataFrame.unionByName, parts).unionByName(zeros).groupBy("no").agg(F.sum("failures").alias("failures"))
+
+    def name(of) -> Column:
+        return F.element_at(F.array(*[F.lit(of(c)) for _, c in numbered]), F.col("no") + 1)
+
+    return total.select(
+        name(lambda c: c.check_id).alias("check_id"), name(lambda c: c.layer).alias("layer"),
+        name(lambda c: c.model).alias("model"), name(lambda c: c.column).alias("column_name"),
+        name(lambda c: c.test).alias("test"), "failures",
+        F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("status"))
 
 
 def enforce(report: DataFrame) -> list[dict]:

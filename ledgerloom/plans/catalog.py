@@ -1,4 +1,4 @@
-"""Namespaces and materialisation (views stay lazy, tables are written).
+"""Namespaces and materialisation: views over raw tables, stored relations.
 
 Layers map to namespaces ``raw``, ``staging``, ``intermediate``, ``marts``
 under one warehouse root in the shared folder. A model's custom schema name
@@ -8,6 +8,7 @@ is used verbatim (trimmed); without one it lands in the target default.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,24 +43,58 @@ class Catalog:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{ns}` LOCATION '{loc}'")
         return ns
 
+    def ensure_namespaces(self) -> None:
+        for layer in LAYER_SCHEMA:
+            self.ensure_namespace(layer)
+
     def register_table(self, layer: str, name: str, df: DataFrame, path: str) -> DataFrame:
-        """Make a stored table addressable as ``<namespace>.<name>`` (an
-        external parquet table over ``path``; re-registration replaces it)."""
+        """Make a stored table addressable as ``<namespace>.<name>``. An entry
+        with the same columns is pointed at ``path`` in one step; readers see
+        the old version or the new one."""
         ns = self.ensure_namespace(layer)
-        self.spark.sql(f"DROP TABLE IF EXISTS `{ns}`.`{name}`")
+        full = f"`{ns}`.`{name}`"
+        if self.spark.catalog.tableExists(f"{ns}.{name}"):
+            old = self.spark.table(f"{ns}.{name}")
+            if [(f.name, f.dataType) for f in old.schema] == [(f.name, f.dataType) for f in df.schema]:
+                self.spark.sql(f"ALTER TABLE {full} SET LOCATION '{path}'")
+                self.spark.catalog.refreshTable(f"{ns}.{name}")
+                self.tables[f"{ns}.{name}"] = path
+                return df
+            self.spark.sql(f"DROP TABLE {full}")
         self.spark.catalog.createTable(f"{ns}.{name}", path=path, source="parquet")
         self.tables[f"{ns}.{name}"] = path
         return df
 
     def write_table(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        """CREATE OR REPLACE TABLE … AS: full rebuild, then read back so
-        downstream work starts from the stored table (lineage is cut, a lost
-        executor does not recompute upstream models)."""
-        path = self.location(layer, name)
-        df.write.mode("overwrite").parquet(path)
-        return self.register_table(layer, name, self.spark.read.parquet(path), path)
-
-    def register_view(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        """CREATE OR REPLACE VIEW: a lazy, session-scoped view ``<namespace>_<name>``."""
-        df.createOrReplaceTempView(f"{self.namespace(layer)}_{name}")
-        return df
+        """CREATE OR REPLACE TABLE … AS: written to a version folder of its own,
+        then the entry is repointed, so a failed rebuild leaves the last good
+        table in place. The version before the last one is removed."""
+        home = self.location(layer, name)
+        path = os.path.join(home, f"v-{uuid.uuid4().hex[:12]}")
+        last = self._versions(home)
+        df.write.parquet(path)
+        stored = self.spark.read.schema(df.schema).parquet(path)
+        self.register_table(layer, name, stored, path)
+        for old in last[:-1]:
+            self._fs(old)[0].delete(self._fs(old)[1], True)
+        return stored
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _versions(self, home: str) -> list[str]:
+        """Version folders, the oldest first."""
+        fs, p = self._fs(home)
+        if not fs.exists(p):
+            return []
+        found = [x for x in fs.listStatus(p) if x.getPath().getName().startswith("v-")]
+        return [x.getPath().toString() for x in sorted(found, key=lambda x: x.getModificationTime())]
+
+    def register_view(self, layer: str, name: str, source: str, df: DataFrame) -> DataFrame:
+        """CREATE OR REPLACE VIEW ``<namespace>.<name>``: the columns of ``df``
+        from the table ``source`` (a model that renames or computes nothing)."""
+        ns = self.ensure_namespace(layer)
+        columns = ", ".join(f"`{c}`" for c in df.columns)
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{ns}`.`{name}` AS SELECT {columns} FROM {source}")
+        return self.spark.table(f"{ns}.{name}")

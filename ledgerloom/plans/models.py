@@ -33,8 +33,8 @@ RAW = ("accounts", "subscriptions", "payments", "support_tickets", "ai_usage_eve
 # Relations worth storing when several consumers read them: each costs a
 # shuffle (join of two large inputs, aggregation) or a parse. Everything else
 # is a per-row projection that Spark fuses into the scan of its stored input.
-REUSE_STORE = ("payments", "stg_ai_usage_events", "int_account_revenue",
-               "int_subscription_metrics", "int_customer_360")
+REUSE_STORE = ("accounts", "payments", "stg_ai_usage_events", "int_account_revenue",
+               "int_subscription_metrics", "int_customer_360", "dim_date")
 
 MODELS: dict[str, Model] = {m.name: m for m in [
     Model("stg_accounts", "staging", "view", S.stg_accounts, ("accounts",), passthrough=True),
@@ -171,11 +171,9 @@ class ModelSet:
                     self[u]
             paths = {n: f"{root.rstrip('/')}/{n}" for n in level}
 
-            def build_and_write(n):
-                # each task builds only its own model (distinct dict entry),
-                # so plan building (hot-key jobs included) overlaps too
-                self[n].write.mode("overwrite").parquet(paths[n])
-            run_concurrently({n: (lambda n=n: build_and_write(n)) for n in level}, threads)
+            frames = {n: self[n] for n in level}          # plans are built on this thread
+            run_concurrently({n: (lambda n=n: frames[n].write.mode("overwrite").parquet(paths[n]))
+                              for n in level}, threads)
             for n in level:
                 self._frames[n] = spark.read.parquet(paths[n])
                 # rebuild lazily-derived downstream frames on top of the stored table

@@ -1,8 +1,8 @@
 """The pipeline job: gate → load → transform → test → archive, in order.
 
 Each stage raises on failure, so the run stops at the first broken stage
-(``PipelineError`` names it). Raw loads and mart tables are written under the
-warehouse root and read back, which both materialises them and cuts lineage:
+(``PipelineError`` names it) and nothing is archived before the tests have
+passed. Raw loads and models are written under the warehouse root and read back, which both materialises them and cuts lineage:
 an executor lost during the checks never triggers a recompute of the loads.
 """
 
@@ -17,13 +17,16 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import quality as Q
 from ledgerloom.plans.catalog import Catalog
-from ledgerloom.plans.models import MODELS, RAW, REUSE_STORE, ModelSet, select
+from ledgerloom.plans.models import MODELS, RAW, ModelSet, select
 from ledgerloom.plans.parallel import run_concurrently
 from ledgerloom.sources import landing as L
-from ledgerloom.streaming.incremental import incremental_csv_load, incremental_json_load, read_target
+from ledgerloom.streaming.incremental import archive_files, incremental_csv_load, incremental_json_load, now_ms, read_target
 
-# Views read by several marts; stored once instead of re-parsing JSON per consumer.
-PERSISTED_VIEWS = ("stg_ai_usage_events",)
+# Staging models that only pass a raw table's columns on: kept as views over it.
+# Every other model is stored: it parses JSON or aggregates, and the checks and
+# the marts read it several times.
+PASSED_ON = {"stg_accounts": "accounts", "stg_subscriptions": "subscriptions", "stg_payments": "payments",
+             "stg_support_tickets": "support_tickets"}
 
 
 class PipelineError(RuntimeError):
@@ -39,6 +42,7 @@ class PipelineResult:
     check_report: DataFrame | None = None
     check_rows: list[dict] = field(default_factory=list)
     appended: dict[str, int] = field(default_factory=dict)   # incremental loads: rows added
+    archived: dict[str, int] = field(default_factory=dict)   # files moved after the tests
     stage_seconds: dict[str, float] = field(default_factory=dict)
 
     def summary(self) -> DataFrame:
@@ -65,17 +69,15 @@ def _stage(name: str, fn, *args, timings: dict | None = None, **kw):
             timings[name] = round(time.perf_counter() - t0, 3)
 
 
-def _incremental_load(spark, cat: Catalog, landing_root: str, ingested_at, archive_dir, appended,
-                      threads: int):
+def _incremental_load(spark, cat: Catalog, landing_root: str, ingested_at, csv_multiline, appended, threads: int):
     """Append only files not loaded before (streaming file source + checkpoint)."""
     def one(name):
         target = cat.location("raw", name)
         ck = cat.checkpoint_location(name)
         src = L.prefix_path(landing_root, name)
-        arch = f"{archive_dir.rstrip('/')}/{name}" if archive_dir else None
         if name == "ai_usage_events":
-            return incremental_json_load(spark, src, target, ck, ingested_at, archive_dir=arch)
-        return incremental_csv_load(spark, src, name, target, ck, archive_dir=arch)
+            return incremental_json_load(spark, src, target, ck, ingested_at)
+        return incremental_csv_load(spark, src, name, target, ck, multiline=csv_multiline)
     appended.update(run_concurrently({name: (lambda n=name: one(n)) for name in RAW}, threads))
     return {name: cat.register_table("raw", name, read_target(spark, cat.location("raw", name), name),
                                      cat.location("raw", name))
@@ -94,21 +96,26 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
                  selection: str | None = None, on_check_failure: str = "raise",
                  ingested_at: str | None = None, incremental: bool = False,
                  archive_dir: str | None = None, threads: int = 4,
-                 csv_multiline: bool = True) -> PipelineResult:
+                 csv_multiline: bool = False) -> PipelineResult:
     """Run the whole job.
 
     ``selection`` picks models (``staging``, ``fact_payments+``, ``+dim_date`` …);
     ``on_check_failure`` is ``raise`` (fail closed) or ``warn`` (report only);
     ``incremental`` appends only newly landed files to the raw tables (re-runs
     over the same files add nothing) instead of replacing them;
-    ``archive_dir`` (incremental only) moves processed landing files there;
+    ``archive_dir`` (incremental only: a full rebuild needs the files again)
+    moves the loaded landing files there as the last step, after the tests;
     ``threads`` independent table writes run as concurrent Spark jobs;
-    ``csv_multiline=False`` reads big single-line CSV files in many splits.
+    ``csv_multiline`` reads CSV fields with line breaks, a file being one split.
     """
     if on_check_failure not in ("raise", "warn"):
         raise ValueError(on_check_failure)
+    if archive_dir and not incremental:
+        raise ValueError("archive_dir needs incremental=True")
     cat = Catalog(spark, warehouse_root)
+    cat.ensure_namespaces()
     result = PipelineResult()
+    started = now_ms(spark)
 
     # 1. gate: every source prefix must hold files
     _stage("gate", L.require_sources, spark, landing_root, timings=result.stage_seconds)
@@ -116,7 +123,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
     # 2. load: raw tables from the landing prefixes (replace, or append new files)
     def load():
         if incremental:
-            return _incremental_load(spark, cat, landing_root, ingested_at, archive_dir, result.appended,
+            return _incremental_load(spark, cat, landing_root, ingested_at, csv_multiline, result.appended,
                                      threads)
         loaded = L.load_all(spark, landing_root, ingested_at, csv_multiline)
         return run_concurrently({name: (lambda n=name, d=df: cat.write_table("raw", n, d))
@@ -125,7 +132,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
     for name in RAW:
         result.built[name] = ("raw", raw[name])
 
-    # 3. transform: models in dependency order; views lazy, tables written
+    # 3. transform: models in dependency order
     models = ModelSet(raw, as_of=as_of)
     chosen = select(selection)
 
@@ -133,14 +140,14 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
         for level in _levels(chosen):
             frames = {name: models[name] for name in level}      # plans built on this thread
             writes = {name: (lambda n=name, d=df: cat.write_table(MODELS[n].layer, n, d))
-                      for name, df in frames.items()
-                      if MODELS[name].materialized == "table" or name in PERSISTED_VIEWS}
+                      for name, df in frames.items() if name not in PASSED_ON}
             stored = run_concurrently(writes, threads)
             for name in level:
-                m = MODELS[name]
-                df = stored[name] if name in stored else cat.register_view(m.layer, name, frames[name])
+                layer = MODELS[name].layer
+                df = stored[name] if name in stored else \
+                    cat.register_view(layer, name, f"raw.{PASSED_ON[name]}", frames[name])
                 models.override(name, df)
-                result.built[name] = (m.layer, df)
+                result.built[name] = (layer, df)
     _stage("transform", transform, timings=result.stage_seconds)
 
     # 4. test: every declared check whose relations were built
@@ -148,17 +155,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
         built = set(result.built)
         checks = [c for c in Q.all_checks()
                   if c.model in built and (c.test != "relationships" or c.arg[0] in built)]
-        # views with checks are aggregates read by several checks: snapshot
-        # each once (shared folder) instead of recomputing it per check
-        heavy = [n for n in built if n in MODELS and MODELS[n].layer == "intermediate"
-                 and MODELS[n].materialized == "view" and n in REUSE_STORE]
-        if heavy:
-            models.store(spark, heavy, cat.location("intermediate", "_test_snapshots"), only=heavy,
-                         threads=threads)
-            for n in heavy:
-                result.built[n] = (MODELS[n].layer, models[n])
-        report = Q.run_checks(models.__getitem__, checks)
-        report = cat.write_table("marts", "data_test_results", report)
+        report = cat.write_table("marts", "data_test_results", Q.run_checks(models.__getitem__, checks))
         result.check_report = report
         if on_check_failure == "raise":
             result.check_rows = Q.enforce(report)
@@ -166,7 +163,11 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
             result.check_rows = [r.asDict() for r in report.collect()]  # one row per check
     _stage("test", test, timings=result.stage_seconds)
 
-    # 5. archive: in incremental mode the loader's checkpoint records every
-    # processed file (re-runs skip them) and ``archive_dir`` moves them away;
-    # a full rebuild re-reads the landing zone by design.
+    # 5. archive: the files this run (or an earlier one) loaded
+    if archive_dir:
+        def archive():
+            for name in RAW:
+                result.archived[name] = archive_files(spark, L.prefix_path(landing_root, name),
+                                                      f"{archive_dir.rstrip('/')}/{name}", started)
+        _stage("archive", archive, timings=result.stage_seconds)
     return result

@@ -25,35 +25,21 @@ def comparable(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DecimalType):
+            c = F.round(c, 6) if f.dataType.scale > 6 else c      # averages, for the comparison only
             c = c.cast("double").alias(f.name)
         cols.append(c)
     return df.select(*cols)
 
 
-_SHARED: dict[tuple, ModelSet] = {}
-
-
-def model_set(spark: SparkSession, sf_dir: str, shared: bool = False) -> ModelSet:
-    """Models over the driver tables in ``sf_dir``.
-
-    ``shared=True`` returns one read-only ModelSet per session and folder, so
-    queries that share upstream models reuse the analysed DataFrames (plans
-    are immutable and the driver tables are read-only). Callers that replace
-    frames (stored reuse, pipelines) take a fresh one.
-    """
+def model_set(spark: SparkSession, sf_dir: str) -> ModelSet:
+    """Models over the driver tables in ``sf_dir``."""
     apply_core_conf(spark)
-    if not shared:
-        return ModelSet(DT.raw_tables(spark, sf_dir), as_of=DT.FIXTURE_AS_OF)
-    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir)
-    ms = _SHARED.get(key)
-    if ms is None:
-        ms = _SHARED[key] = ModelSet(DT.raw_tables(spark, sf_dir), as_of=DT.FIXTURE_AS_OF)
-    return ms
+    return ModelSet(DT.raw_tables(spark, sf_dir), as_of=DT.FIXTURE_AS_OF)
 
 
 def _model_query(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(model_set(spark, sf_dir, shared=True)[name])
+        return comparable(model_set(spark, sf_dir)[name])
     run.__name__ = name
     return run
 

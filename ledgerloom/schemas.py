@@ -50,6 +50,16 @@ AI_USAGE_EVENTS = T.StructType([
     T.StructField("ingested_at", TS, True),
 ])
 
+# Declared lengths of the text columns; a longer value aborts a load.
+MAX_LENGTH = {
+    "accounts": {"account_id": 50, "account_name": 255, "industry": 150, "country": 100, "referral_source": 100,
+                 "plan_tier": 50},
+    "subscriptions": {"subscription_id": 50, "account_id": 50, "plan_tier": 50, "billing_frequency": 30},
+    "support_tickets": {"ticket_id": 50, "account_id": 50, "priority": 30},
+    "payments": {"payment_id": 50, "account_id": 50, "subscription_id": 50, "currency": 10, "payment_status": 30,
+                 "payment_method": 50},
+}
+
 CSV_TABLES = {
     "accounts": ACCOUNTS,
     "subscriptions": SUBSCRIPTIONS,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -22,16 +23,19 @@ CORE_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "ledgerloom",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    b = SparkSession.builder.master(master).appName(app)
-    conf = dict(CORE_CONF)
-    conf.update({
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.ui.enabled": "false",
-        "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "16g",
-    })
+def build_session(master: str | None = None, app: str = "ledgerloom", shuffle_partitions: int | None = None,
+                  extra: dict | None = None) -> SparkSession:
+    """A session with ``CORE_CONF``. Master, memory and partitions are the
+    submitter's business; a local master (tests, bench) gets settings for one
+    machine."""
+    b = SparkSession.builder.appName(app)
+    conf = {**CORE_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    if master:
+        b = b.master(master)
+    if (master or "").startswith("local"):
+        conf |= {"spark.driver.memory": "16g", "spark.sql.shuffle.partitions": "8"}
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -44,7 +48,8 @@ def apply_core_conf(spark: SparkSession) -> None:
     """Runtime-settable part of ``CORE_CONF`` for a session someone else built.
 
     The session time zone is left as the caller set it: every timestamp the
-    queries produce is TIMESTAMP_NTZ, so results do not depend on it."""
+    queries produce is TIMESTAMP_NTZ, and the current time is converted to UTC
+    where it is read (``functions.variant.utc_now``)."""
     for k, v in CORE_CONF.items():
         if k == "spark.sql.session.timeZone":
             continue
@@ -55,30 +60,21 @@ def apply_core_conf(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).
+    """The cluster's shared folder (``spark.checkpoint.dir``, or the one given
+    to ``setCheckpointDir``).
 
-    On a cluster this must be set to shared storage; the function refuses to
-    invent a machine-local folder there. Only in local mode (tests, bench) and
-    only when unset does it create one and register it as checkpoint dir.
+    Where it is unset, a session with a local master gets a folder of its own,
+    set as its checkpoint dir; on a cluster an unset value is an error, never a
+    machine-local folder.
     """
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir") or _DIRS.get(id(sc))
+    d = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not d:
-        try:   # set programmatically with sc.setCheckpointDir(...)
-            d = sc.getCheckpointDir()
-        except Exception:  # pragma: no cover - older API
-            d = None
-    if d:
-        return d.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    d = tempfile.mkdtemp(prefix="ledgerloom-")
-    sc.setCheckpointDir(d)
-    _DIRS[id(sc)] = d
-    return d
-
-
-_DIRS: dict[int, str] = {}
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
+        d = sc.getCheckpointDir()
+    return d.rstrip("/")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

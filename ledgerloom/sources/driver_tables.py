@@ -3,14 +3,14 @@
 The reference ships no data, so its five raw sources are mapped from the
 driver tables with plain column expressions (no UDF, no driver round trip):
 
-    accounts         customer ⋈ nation
-    subscriptions    orders (customers with c_custkey % 10 = 0 get none)
-    payments         lineitem ⋈ orders
-    support_tickets  events of type error / view
+    accounts         customer ⋈ nation, and supplier ⋈ nation (these own nothing)
+    subscriptions    every order
+    payments         every lineitem ⋈ orders
+    support_tickets  every event; its type decides priority and escalation
     ai_usage_events  every event, rendered as a JSON object → VARIANT
 
 Each function reads only the columns it needs, so the parquet scans carry a
-pruned ``ReadSchema``; filters sit directly above the scan and are pushed.
+pruned ``ReadSchema``. No row of a driver table is left out.
 """
 
 from __future__ import annotations
@@ -25,7 +25,9 @@ from ledgerloom.schemas import PAYMENT_METHODS, PLAN_TIERS, PRIORITIES
 # Fixed values used by the mapping (valid for every scale factor).
 SIGNUP_EPOCH = "1995-01-01"
 REFERRAL_SOURCES = ("Organic", "Partner", "Ads")
-TICKET_EVENT_TYPES = ("error", "view")
+# event_type → ticket priority; other types get the last one.
+TICKET_PRIORITY = {"error": PRIORITIES[0], "signup": PRIORITIES[1], "purchase": PRIORITIES[2]}
+SUPPLIER_INDUSTRY = "PARTNER"
 # event_type → raw status text; the padding and mixed case are on purpose, the
 # models normalise them differently.
 EVENT_STATUS_TEXT = {
@@ -40,17 +42,9 @@ FIXTURE_INGESTED_AT = "2026-10-02 00:00:00"
 FIXTURE_AS_OF = "2026-10-02"
 
 
-_SCANS: dict[tuple, DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """Scan of one driver table. The (immutable) scan DataFrame is reused per
-    session, so repeated queries skip file listing and footer reads."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = _SCANS[key] = spark.read.parquet(path)
+    """Scan of one driver table."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return df.select(*cols) if cols else df
 
 
@@ -68,32 +62,34 @@ def _id(prefix: str, *parts: Column) -> Column:
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, and suppliers as accounts without subscriptions, payments or
+    tickets (their measures are zero-filled)."""
     c = read_table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey",
-                   "c_acctbal", "c_mktsegment")
+                   "c_acctbal", "c_mktsegment").toDF("k", "name", "nation", "balance", "industry")
+    s = read_table(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal") \
+        .toDF("k", "name", "nation", "balance")
     n = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    k = F.col("c_custkey")
-    return c.join(n, c.c_nationkey == n.n_nationkey, "inner").select(
-        _id("A-", k).alias("account_id"),
-        F.col("c_name").alias("account_name"),
-        F.col("c_mktsegment").alias("industry"),
+    owners = c.select(_id("A-", F.col("k")).alias("account_id"), "k", "name", "nation", "balance", "industry").unionAll(
+        s.select(_id("V-", F.col("k")).alias("account_id"), "k", "name", "nation", "balance",
+                 F.lit(SUPPLIER_INDUSTRY).alias("industry")))
+    k = F.col("k")
+    return owners.join(n, F.col("nation") == n.n_nationkey, "inner").select(
+        "account_id",
+        F.col("name").alias("account_name"),
+        "industry",
         F.col("n_name").alias("country"),
         F.date_add(F.lit(SIGNUP_EPOCH).cast("date"), (k % 1500).cast("int")).alias("signup_date"),
         _cycle(k, REFERRAL_SOURCES).alias("referral_source"),
         _cycle(k, PLAN_TIERS).alias("plan_tier"),
         (k % 50 + 1).cast("decimal(10,0)").alias("seats"),
         (k % 7 == 0).alias("is_trial"),
-        (F.col("c_acctbal") < 0).alias("churn_flag"),
+        (F.col("balance") < 0).alias("churn_flag"),
     )
 
 
-def _subscribed_orders(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", "o_custkey", *cols)
-    return o.where(F.col("o_custkey") % 10 != 0)
-
-
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _subscribed_orders(spark, sf_dir, "o_orderkey", "o_orderstatus", "o_totalprice",
-                           "o_orderdate", "o_orderpriority")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                   "o_orderdate", "o_orderpriority")
     k = F.col("o_orderkey")
     mrr = F.col("o_totalprice").cast("decimal(12,2)")
     prio = F.col("o_orderpriority")
@@ -118,7 +114,7 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
                     "l_linenumber", "l_extendedprice", "l_returnflag", "l_shipdate")
-    o = _subscribed_orders(spark, sf_dir, "o_orderkey")
+    o = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     ship = F.col("l_shipdate").cast("date")
     return li.join(o, li.l_orderkey == o.o_orderkey, "inner").select(
         _id("P-", F.col("l_orderkey"), F.lit("-"), F.col("l_partkey"), F.lit("-"),
@@ -135,7 +131,9 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
-    ev = ev.where(F.col("event_type").isin(*TICKET_EVENT_TYPES))
+    priority = F.lit(PRIORITIES[3])
+    for kind, level in TICKET_PRIORITY.items():
+        priority = F.when(F.col("event_type") == kind, F.lit(level)).otherwise(priority)
     k = F.col("event_id")
     return ev.select(
         _id("T-", k).alias("ticket_id"),
@@ -143,7 +141,7 @@ def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("submitted_at"),
         F.when(k % 5 != 0, F.col("ts") + F.expr("INTERVAL 6 HOURS")).alias("closed_at"),
         F.col("value").cast("decimal(10,2)").alias("resolution_time_hours"),
-        _cycle(k, PRIORITIES).alias("priority"),
+        priority.alias("priority"),
         (k % 120).cast("decimal(10,2)").alias("first_response_time_minutes"),
         F.when(k % 9 != 0, (k % 5 + 1).cast("decimal(3,1)")).alias("satisfaction_score"),
         (F.col("event_type") == "error").alias("escalation_flag"),
@@ -167,7 +165,8 @@ def event_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
                        else status_text.when(status == et, F.lit(text)))
     obj = F.struct(
         _id("E-", k).alias("event_id"),
-        F.concat(F.lit(" A-"), F.col("user_id").cast("string"), F.lit(" ")).alias("account_id"),
+        F.when(k % 3 == 0, F.concat(F.lit(" A-"), F.col("user_id").cast("string"), F.lit(" ")))
+         .otherwise(_id("A-", F.col("user_id"))).alias("account_id"),
         _id("S-", k % n_orders).alias("subscription_id"),
         F.substring(F.col("ts").cast("string"), 1, 19).alias("event_timestamp"),
         F.when(k % 50 != 0, _id("model-", k % 3)).alias("model"),

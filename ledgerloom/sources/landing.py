@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.schemas import CSV_NULL_MARKERS, CSV_TABLES, LANDING_PREFIX
+from ledgerloom.functions.variant import utc_now
+from ledgerloom.schemas import CSV_NULL_MARKERS, CSV_TABLES, LANDING_PREFIX, MAX_LENGTH
 
 # CSV dialect shared by writer and reader: '"' quotes and escapes itself,
 # timestamps keep microseconds.
@@ -32,39 +33,41 @@ CSV_OPTIONS = {
 }
 
 
-# Rows per landed file. Quoted-newline CSV (multiLine) cannot be split inside a
-# file, so bounded files are what keeps a load parallel.
-MAX_RECORDS_PER_FILE = 200_000
-
-
 def prefix_path(root: str, source: str) -> str:
     return os.path.join(root, LANDING_PREFIX[source])
 
 
 # ---------------------------------------------------------------- writes (SNK1)
 
-def write_csv_landing(df: DataFrame, root: str, source: str, ingestion_date: str,
-                      mode: str = "append") -> str:
+def _capped(writer, max_records_per_file: int | None):
+    return writer.option("maxRecordsPerFile", max_records_per_file) if max_records_per_file else writer
+
+
+def write_csv_landing(df: DataFrame, root: str, source: str, ingestion_date: str, mode: str = "append",
+                      max_records_per_file: int | None = None) -> str:
+    """``max_records_per_file`` matters only for sources read with
+    ``multiline=True``, whose files are one split each."""
     path = prefix_path(root, source)
-    (df.withColumn("ingestion_date", F.lit(ingestion_date))
-       .write.mode(mode).options(**CSV_OPTIONS).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-       .partitionBy("ingestion_date").csv(path))
+    writer = df.withColumn("ingestion_date", F.lit(ingestion_date)).write.mode(mode).options(**CSV_OPTIONS)
+    _capped(writer, max_records_per_file).partitionBy("ingestion_date").csv(path)
     return path
 
 
-def write_json_landing(json_lines: DataFrame, root: str, year: int, month: int,
+def write_json_landing(json_lines: DataFrame, root: str, year: int | None = None, month: int | None = None,
                        mode: str = "append") -> str:
-    """``json_lines`` has one string column ``value`` holding a JSON object."""
+    """``json_lines`` has one string column ``value`` holding a JSON object.
+    Without ``year`` and ``month`` each event goes to the folder of its own
+    timestamp's month."""
     path = prefix_path(root, "ai_usage_events")
-    (json_lines.select("value")
-        .withColumn("year", F.lit(f"{year:04d}")).withColumn("month", F.lit(f"{month:02d}"))
-        .write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy("year", "month").text(path))
+    at = F.get_json_object("value", "$.event_timestamp")
+    (json_lines.select("value", (F.substring(at, 1, 4) if year is None else F.lit(f"{year:04d}")).alias("year"),
+                       (F.substring(at, 6, 2) if month is None else F.lit(f"{month:02d}")).alias("month"))
+        .write.mode(mode).partitionBy("year", "month").text(path))
     return path
 
 
-def write_landing(spark: SparkSession, sf_dir: str, root: str, ingestion_date: str,
-                  year: int, month: int, threads: int = 4) -> dict[str, str]:
+def write_landing(spark: SparkSession, sf_dir: str, root: str, ingestion_date: str, year: int | None = None,
+                  month: int | None = None, threads: int = 4) -> dict[str, str]:
     """Land all five sources derived from the driver tables (concurrent jobs)."""
     from ledgerloom.plans.parallel import run_concurrently
     from ledgerloom.sources import driver_tables as DT
@@ -87,89 +90,114 @@ def null_markers(c: Column) -> Column:
     return F.when(~c.isin(*CSV_NULL_MARKERS), c)
 
 
-def type_csv_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """String columns → typed columns. ANSI casts raise on a bad value, which
-    aborts the load (ON_ERROR = ABORT_STATEMENT)."""
-    return df.select(*[null_markers(F.col(f.name)).cast(f.dataType).alias(f.name)
-                       for f in schema.fields])
+def _within(c: Column, name: str, most: int | None) -> Column:
+    """The value, or an error that aborts the load if it is longer than declared."""
+    if most is None:
+        return c
+    return F.when(F.length(c) > most, F.raise_error(F.concat(F.lit(f"{name} longer than {most}: "), c))).otherwise(c)
+
+
+def type_csv_columns(df: DataFrame, source: str) -> DataFrame:
+    """String columns → typed columns. A bad value (ANSI cast) or one that is
+    too long raises, which aborts the load (ON_ERROR = ABORT_STATEMENT)."""
+    lengths = MAX_LENGTH[source]
+    return df.select(*[_within(null_markers(F.col(f.name)), f.name, lengths.get(f.name)).cast(f.dataType).alias(f.name)
+                       for f in CSV_TABLES[source].fields])
 
 
-def csv_reader(spark: SparkSession, schema: T.StructType, multiline: bool = True):
+def csv_options(multiline: bool) -> dict[str, str]:
     # columns bind by position (the header line is skipped, not matched);
     # FAILFAST aborts on a malformed line
-    return (spark.read.schema(string_schema(schema)).options(**CSV_OPTIONS)
-                 .option("enforceSchema", "true").option("mode", "FAILFAST")
-                 .option("multiLine", "true" if multiline else "false"))
+    return {**CSV_OPTIONS, "enforceSchema": "true", "mode": "FAILFAST", "multiLine": "true" if multiline else "false"}
 
 
-def load_csv(spark: SparkSession, path: str, source: str, multiline: bool = True) -> DataFrame:
+def load_csv(spark: SparkSession, path: str, source: str, multiline: bool = False) -> DataFrame:
     """COPY INTO <source> from a landing prefix: typed, partition columns dropped.
 
-    ``multiline`` allows quoted newlines but makes each file one split; keep
-    landing files moderate or pass ``False`` for single-line sources.
+    Files are split among tasks. ``multiline=True`` allows line breaks inside
+    quoted fields, but then a file is one split: keep its files moderate.
     """
-    schema = CSV_TABLES[source]
-    return type_csv_columns(csv_reader(spark, schema, multiline).csv(path), schema)
+    reader = spark.read.schema(string_schema(CSV_TABLES[source])).options(**csv_options(multiline))
+    return type_csv_columns(reader.csv(path), source)
+
+
+def stage_path(file_path: Column) -> Column:
+    """A landed file's path inside the stage: from the last source prefix on
+    (file and partition names hold none), so moving the lake changes nothing."""
+    return F.regexp_extract(file_path, rf"^.*/((?:{'|'.join(LANDING_PREFIX.values())})/.*)$", 1)
 
 
 def load_json_variant(spark: SparkSession, path: str, ingested_at: str | None = None) -> DataFrame:
     """COPY INTO AI_USAGE_EVENTS: each JSON line → VARIANT, plus lineage.
 
-    ``source_file`` is the file path (METADATA$FILENAME); ``ingested_at`` is
-    the load time, or ``ingested_at`` when given (reproducible runs).
+    ``source_file`` is the file's path inside the stage (METADATA$FILENAME);
+    ``ingested_at`` is the load time in UTC, or ``ingested_at`` when given.
     """
-    raw = spark.read.option("singleVariantColumn", "raw_event").option("mode", "FAILFAST").json(path)
-    at = (F.current_timestamp().cast("timestamp_ntz") if ingested_at is None
-          else F.lit(ingested_at).cast("timestamp_ntz"))
+    raw = spark.read.option("singleVariantColumn", "raw_event").option("mode", "FAILFAST") \
+        .option("recursiveFileLookup", "true").json(path)       # no partition columns beside the variant
+    at = utc_now() if ingested_at is None else F.lit(ingested_at).cast("timestamp_ntz")
     return raw.select(
         F.col("raw_event"),
-        F.col("_metadata.file_path").alias("source_file"),
+        stage_path(F.col("_metadata.file_path")).alias("source_file"),
         at.alias("ingested_at"),
     )
 
 
 def load_all(spark: SparkSession, root: str, ingested_at: str | None = None,
-             csv_multiline: bool = True) -> dict[str, DataFrame]:
+             csv_multiline: bool = False) -> dict[str, DataFrame]:
     out = {name: load_csv(spark, prefix_path(root, name), name, csv_multiline) for name in CSV_TABLES}
     out["ai_usage_events"] = load_json_variant(spark, prefix_path(root, "ai_usage_events"), ingested_at)
     return out
 
 
 def relative_source_dir(source_file: Column) -> Column:
-    """``…/events/ai_usage/year=2026/month=09/part-….txt`` → ``events/ai_usage/year=2026/month=09``."""
-    return F.regexp_extract(source_file, r"(events/ai_usage/year=[0-9]+/month=[0-9]+)/[^/]+$", 1)
+    """``events/ai_usage/year=2026/month=09/part-….txt`` → ``events/ai_usage/year=2026/month=09``."""
+    return F.regexp_extract(source_file, "^(.*)/[^/]+$", 1)
 
 
 # ---------------------------------------------------------------- listing and gate (SRC4/5)
 
 def list_stage(spark: SparkSession, root: str) -> DataFrame:
-    """LIST @stage: every landed file with its size and modification time.
+    """LIST @stage: every landed file with its path inside the stage, size and
+    modification time.
 
-    ``binaryFile`` only reads file contents when the ``content`` column is
-    selected, so this is a distributed listing, not a read.
+    ``binaryFile`` reads no contents unless ``content`` is selected; Spark lists
+    the folders (in parallel where there are many) and the driver holds the list.
     """
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-                 .select("path", "length", "modificationTime"))
-
-
-def source_presence(spark: SparkSession, root: str) -> DataFrame:
-    """Files and bytes per expected source prefix; ``present`` = at least one file.
-
-    One pass over the listing: each path is tagged with the prefix it lies
-    under, counted per prefix, and left-joined from the expected-prefix list.
-    """
-    alternation = "|".join(LANDING_PREFIX.values())
-    per_prefix = (list_stage(spark, root)
-                  .select(F.regexp_extract("path", f"/({alternation})/", 1).alias("prefix"), "length")
-                  .where(F.col("prefix") != "")
-                  .groupBy("prefix").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")))
-    expected = spark.createDataFrame(
-        [(name, prefix) for name, prefix in LANDING_PREFIX.items()], "source string, prefix string")
-    files = F.coalesce(F.col("files"), F.lit(0))
-    return (expected.join(per_prefix, "prefix", "left")
-                    .select("source", "prefix", files.alias("files"),
-                            F.coalesce(F.col("bytes"), F.lit(0)).alias("bytes"),
-                            (files > 0).alias("present")))
+                 .select("path", stage_path(F.col("path")).alias("stage_path"), "length", "modificationTime"))
+
+
+def stage_folders(spark: SparkSession, root: str) -> DataFrame:
+    """The listing by source and partition folder: whether it has files and bytes."""
+    source = F.lit(None).cast("string")
+    for name, prefix in LANDING_PREFIX.items():
+        source = F.when(F.col("folder").startswith(prefix + "/"), F.lit(name)).otherwise(source)
+    return (list_stage(spark, root).withColumn("folder", relative_source_dir(F.col("stage_path")))
+            .withColumn("source", source).where(F.col("source").isNotNull())
+            .groupBy("source", "folder")
+            .agg((F.count(F.lit(1)) > 0).alias("has_files"), (F.sum("length") > 0).alias("has_bytes")))
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a visible file lies under ``path``; stops at the first."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return False
+    found = fs.listFiles(p, True)
+    while found.hasNext():
+        if found.next().getPath().getName()[0] not in "._":
+            return True
+    return False
+
+
+def source_presence(spark: SparkSession, root: str, prefixes: list[tuple[str, str]] | None = None) -> DataFrame:
+    """source, prefix, present: one probe a prefix (the five sources' by
+    default), no listing of the lake."""
+    rows = [(name, prefix, has_files(spark, os.path.join(root, prefix)))
+            for name, prefix in (prefixes or LANDING_PREFIX.items())]
+    return spark.createDataFrame(rows, "source string, prefix string, present boolean")
 
 
 class MissingSourceError(RuntimeError):

@@ -12,59 +12,77 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.variant import utc_now
 from ledgerloom.schemas import AI_USAGE_EVENTS, CSV_TABLES
-from ledgerloom.sources.landing import CSV_OPTIONS, string_schema, type_csv_columns
+from ledgerloom.sources.landing import csv_options, has_files, stage_path, string_schema, type_csv_columns
 
+FILES_PER_BATCH = 1000
 
-def _run(stream: DataFrame, target_path: str, checkpoint_path: str) -> int:
+
+def read_target(spark: SparkSession, target_path: str, source: str) -> DataFrame:
+    schema = AI_USAGE_EVENTS if source == "ai_usage_events" else CSV_TABLES[source]
+    return spark.read.schema(schema).parquet(target_path)
+
+
+def _rows(spark: SparkSession, target_path: str, source: str) -> int:
+    """Rows committed so far (parquet footers; no data is read)."""
+    return read_target(spark, target_path, source).count() if has_files(spark, target_path) else 0
+
+
+def _run(spark: SparkSession, stream: DataFrame, source: str, target_path: str, checkpoint_path: str) -> int:
+    before = _rows(spark, target_path, source)
     q = (stream.writeStream.format("parquet").outputMode("append")
                .option("checkpointLocation", checkpoint_path)
                .trigger(availableNow=True)
                .start(target_path))
     q.awaitTermination()
-    return int(sum(p.get("numInputRows", 0) for p in (q.recentProgress or [])))
-
-
-def _source_options(reader, archive_dir: str | None, max_files_per_trigger: int | None):
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if archive_dir:
-        # SNK7: the file source's cleaner moves a batch's files under
-        # ``archive_dir`` once the *next* batch commits (one batch behind);
-        # spark.sql.streaming.fileSource.cleaner.numThreads=0 makes it synchronous
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return reader
+    return _rows(spark, target_path, source) - before
 
 
 def incremental_csv_load(spark: SparkSession, landing_path: str, source: str, target_path: str,
-                         checkpoint_path: str, archive_dir: str | None = None,
-                         max_files_per_trigger: int | None = None) -> int:
+                         checkpoint_path: str, multiline: bool = False,
+                         max_files_per_trigger: int = FILES_PER_BATCH) -> int:
     """Append CSV files not yet loaded from ``landing_path`` to the parquet
     table at ``target_path``. Returns the number of rows this run appended."""
-    schema = CSV_TABLES[source]
-    reader = (spark.readStream.schema(string_schema(schema)).options(**CSV_OPTIONS)
-                   .option("enforceSchema", "true").option("mode", "FAILFAST")
-                   .option("multiLine", "true"))
-    reader = _source_options(reader, archive_dir, max_files_per_trigger)
-    return _run(type_csv_columns(reader.csv(landing_path), schema), target_path, checkpoint_path)
+    reader = spark.readStream.schema(string_schema(CSV_TABLES[source])).options(**csv_options(multiline)) \
+        .option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return _run(spark, type_csv_columns(reader.csv(landing_path), source), source, target_path, checkpoint_path)
 
 
 def incremental_json_load(spark: SparkSession, landing_path: str, target_path: str,
                           checkpoint_path: str, ingested_at: str | None = None,
-                          archive_dir: str | None = None,
-                          max_files_per_trigger: int | None = None) -> int:
-    """Append JSON-lines event files not yet loaded, as VARIANT plus the file
-    path and load time (the COPY transform)."""
+                          max_files_per_trigger: int = FILES_PER_BATCH) -> int:
+    """Append JSON-lines event files not yet loaded, as VARIANT plus the file's
+    path in the stage and the load time (the COPY transform)."""
     reader = (spark.readStream.schema(AI_USAGE_EVENTS.fields[0].name + " variant")
-                   .option("singleVariantColumn", "raw_event").option("mode", "FAILFAST"))
-    reader = _source_options(reader, archive_dir, max_files_per_trigger)
-    at = (F.current_timestamp().cast("timestamp_ntz") if ingested_at is None
-          else F.lit(ingested_at).cast("timestamp_ntz"))
+                   .option("singleVariantColumn", "raw_event").option("mode", "FAILFAST")
+                   .option("maxFilesPerTrigger", str(max_files_per_trigger)))
+    at = utc_now() if ingested_at is None else F.lit(ingested_at).cast("timestamp_ntz")
     stream = reader.json(landing_path).select(
-        "raw_event", F.col("_metadata.file_path").alias("source_file"), at.alias("ingested_at"))
-    return _run(stream, target_path, checkpoint_path)
+        "raw_event", stage_path(F.col("_metadata.file_path")).alias("source_file"), at.alias("ingested_at"))
+    return _run(spark, stream, "ai_usage_events", target_path, checkpoint_path)
 
 
-def read_target(spark: SparkSession, target_path: str, source: str) -> DataFrame:
-    schema = AI_USAGE_EVENTS if source == "ai_usage_events" else CSV_TABLES[source]
-    return spark.read.schema(schema).parquet(target_path)
+def now_ms(spark: SparkSession) -> int:
+    return int(spark._jvm.java.lang.System.currentTimeMillis())
+
+
+def archive_files(spark: SparkSession, landing_path: str, archive_path: str, before_ms: int) -> int:
+    """Move the files that were under ``landing_path`` before a time (that of
+    the load's start, so all of them are loaded) to the same place under
+    ``archive_path``. One file at a time from an iterator: nothing is held."""
+    jvm = spark._jvm
+    base = jvm.org.apache.hadoop.fs.Path(landing_path)
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    root, moved = fs.makeQualified(base).toString().rstrip("/"), 0
+    files = fs.listFiles(base, True)
+    while files.hasNext():
+        f = files.next()
+        if f.getPath().getName()[0] in "._" or f.getModificationTime() >= before_ms:
+            continue
+        to = jvm.org.apache.hadoop.fs.Path(archive_path + f.getPath().toString()[len(root):])
+        fs.mkdirs(to.getParent())
+        if not fs.rename(f.getPath(), to):
+            raise OSError(f"could not archive {f.getPath()}")
+        moved += 1
+    return moved

@@ -1,5 +1,5 @@
 """Run every registered query against its oracle: python tests/compare_all.py [sf_dir] [names...]"""
-import json, sys, time, os
+import json, sys, tempfile, time, os
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from ledgerloom.session import build_session
 import __spark_entry__ as E
@@ -7,7 +7,7 @@ from tests.harness import duck, compare
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 names = sys.argv[2:]
-spark = build_session("local[8]")
+spark = build_session("local[8]", extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="ledgerloom-compare-")})
 con = duck(sf)
 q, o = E.queries(), E.oracle_sql()
 bad = 0

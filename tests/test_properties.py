@@ -1,4 +1,4 @@
-"""Property tests for the hand-built column helpers and the skew-safe join."""
+"""Property tests for the hand-built column helpers and the salted join."""
 
 import decimal
 import json
@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.variant import exact_ratio, v_int
-from ledgerloom.operators.joins import skew_safe_left_join
+from ledgerloom.operators.joins import salted_left_join
 
 SETTINGS = settings(max_examples=12, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -46,11 +46,11 @@ def test_exact_ratio_is_half_up_at_six_digits(spark, pairs):
 @SETTINGS
 @given(st.lists(st.one_of(st.none(), st.sampled_from(["hot"] * 6 + list("abcdefgh"))), min_size=1, max_size=80),
        st.lists(st.sampled_from(list("abcdefgxyz") + ["hot"]), unique=True, max_size=11),
-       st.sampled_from([None, 0.5, 1.0]))
-def test_skew_safe_join_equals_left_join(spark, base_keys, side_keys, frac):
+       st.sampled_from([1, 3, 8]))
+def test_salted_join_equals_left_join(spark, base_keys, side_keys, salts):
     base = spark.createDataFrame([(k, i) for i, k in enumerate(base_keys)], "k string, v int")
     side = spark.createDataFrame([(k, j) for j, k in enumerate(side_keys)], "k string, w int")
-    got = skew_safe_left_join(base, side, "k", hot_share=0.05, sample_fraction=frac)
+    got = salted_left_join(base, side, "k", spread_by="v", salts=salts)
     want = base.join(side, "k", "left")
     assert sorted(map(tuple, got.select("k", "v", "w").collect()), key=lambda t: t[1]) == \
         sorted(map(tuple, want.select("k", "v", "w").collect()), key=lambda t: t[1])
