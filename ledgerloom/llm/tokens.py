@@ -15,16 +15,45 @@ import sys
 from array import array
 from collections.abc import Iterable
 
+import numpy as np
+
 assert array("I").itemsize == 4 and sys.byteorder == "little"
 
-MEMO_WORDS = 300_000
+MEMO_WORDS = 600_000
+# A text without white space in a row, and without a stop or comma after anything
+# but a letter or number, can be cut before every blank, stop and comma and
+# around every line break by plain replacement.
+_PLAIN_NOT = re.compile(r"\s\s|[\W_][.,]|[\x00\x01]")
+# The same question of the bytes: classes of ASCII bytes.
+_SPACE, _MARK, _STOP, _OTHER = 1, 2, 4, 8
+_KIND = np.zeros(256, np.uint8)
+for _c in range(128):
+    _KIND[_c] = _SPACE if chr(_c).isspace() else 0 if chr(_c).isalnum() else _MARK
+_KIND[list(b".,")] = _MARK | _STOP
+_KIND[[0, 1, 0xC2, *range(0xE1, 0xE4)]] = _OTHER      # may begin a white space or sign outside ASCII
 # A blank starts a word if no other white space is next to it; texts that have
 # such white space are cut by the slower pattern.
 _TIGHT = re.compile(r" \s| \Z")
 _CUT = re.compile(r"(?= \S)")
+_OVER_LATIN1 = re.compile("[^\x00-\xff]")
 _TAIL = ".,;:!?#*$%&|"
 
 
+def plain(text: str) -> bool:
+    """Whether ``text`` can be cut by plain replacement; False also where
+    finding out would take a closer look at characters outside ASCII."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    kind = _KIND[raw]
+    if (kind == _OTHER).any():
+        return not _PLAIN_NOT.search(text)
+    before, after = kind[:-1], kind[1:]
+    space = before & _SPACE
+    if (space & after).any() or ((after & _STOP != 0) & (before & (_SPACE | _MARK) != 0)).any():
+        return False
+    at = np.flatnonzero((after & _STOP != 0) & (raw[:-1] >= 0x80))     # a stop after a character outside ASCII:
+    return bool(((raw[at - 1] == 0xC3) & (raw[at] != 0x97) & (raw[at] != 0xB7)).all())     # letters U+00C0 to U+00FF
+
+
 class WordEncoder:
     """One tokenizer file with its memo. Ids are little-endian unsigned 32-bit."""
 
@@ -52,7 +81,7 @@ class WordEncoder:
         return cls._own[name]
 
     def words(self, text: str) -> list[str]:
-        """Pieces whose ids, one after another, are the text's."""
+        """Names of pieces whose ids, one after another, are the text's."""
         raise NotImplementedError
 
     def parts(self, word: str) -> tuple[str, ...] | None:
@@ -60,28 +89,31 @@ class WordEncoder:
         if it is looked up as it is."""
         return None
 
+    @staticmethod
+    def spelled(word: str) -> str:
+        """The piece that a name stands for."""
+        return word
+
     def _learn(self, words: Iterable[str]) -> None:
         young, old, parts = self.young, self.old, self.parts
-        base: set[str] = set()
+        todo: set[str] = set()
         joined = []
         for w in words:
-            known = old.get(w)
-            if known is not None:
-                young[w] = known
-            elif (x := parts(w)) is None:
-                base.add(w)
-            else:
-                joined.append(w)
-                base.update(x)
-        todo = []
-        for w in base - young.keys():
             if w in old:
                 young[w] = old[w]
+            elif w[-1:].isalpha() and w.islower() and "\n" not in w or (x := parts(w)) is None:
+                todo.add(w)
             else:
-                todo.append(w)
-        for k in range(0, len(todo), 4096):
-            part = todo[k:k + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
+                joined.append(w)
+                for p in x:
+                    if p in old:
+                        young[p] = old[p]
+                    elif p not in young:
+                        todo.add(p)
+        new = list(todo)
+        for k in range(0, len(new), 4096):
+            part = new[k:k + 4096]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(list(map(self.spelled, part)), add_special_tokens=False)):
                 young[w] = array("I", e.ids).tobytes()
         for w in joined:
             young[w] = b"".join(map(young.__getitem__, parts(w)))
@@ -106,28 +138,28 @@ class WordEncoder:
 
 
 class ByteLevelEncoder(WordEncoder):
-    """Byte-level BPE: a blank belongs to the word after it."""
+    """Byte-level BPE: a blank belongs to the word after it. A piece's name is
+    the piece without its leading blank, or \\0 or \\1 and a piece without one."""
 
     def words(self, text: str) -> list[str]:
-        if _TIGHT.search(text):
-            return [w for w in _CUT.split(text) if w]
-        first, *rest = text.split(" ")
-        out = [" " + w for w in rest]
-        if first:
-            out.insert(0, first)
-        return out
+        if plain(text):
+            return ("\1" + text.replace(",", " \0,").replace(".", " \0.").replace("\n", " \0\n \1")).split(" ")
+        if not _TIGHT.search(text):
+            cut = text.split(" ")
+            return ["\1" + cut[0], *(w if w[:1] not in ("\0", "\1") else "\1 " + w for w in cut[1:])]
+        return ["\1" + w for w in _CUT.split(text) if w]
+
+    @staticmethod
+    def spelled(word: str) -> str:
+        return word[1:] if word[:1] in ("\0", "\1") else " " + word
 
     def parts(self, word: str) -> tuple[str, ...] | None:
-        """Letters, then ASCII marks: always apart before merging. A single
-        line break between two words stands alone too."""
+        """Letters, then ASCII marks: always apart before merging."""
         if "\n" in word:
-            left, _, right = word.partition("\n")
-            if left and not left[-1].isspace() and right and not right[0].isspace() and "\n" not in right:
-                return (*(self.parts(left) or (left,)), "\n", *(self.parts(right) or (right,)))
             return None
         stem = word.rstrip(_TAIL)
         if len(stem) < len(word) and stem and stem[-1].isalpha():
-            return stem, word[len(stem):]
+            return stem, "\0" + word[len(stem):]
         return None
 
 
@@ -136,6 +168,9 @@ class WhiteSpaceEncoder(WordEncoder):
     are apart at white space, and letters from marks."""
 
     def words(self, text: str) -> list[str]:
+        if plain(text):
+            if text.isascii() or not _OVER_LATIN1.search(text):     # lower-casing is one to one there
+                text = text.lower().replace(",", " ,").replace(".", " .")
         return text.replace("\n", " ").split(" ")
 
     def parts(self, word: str) -> tuple[str, ...] | None:
