@@ -42,7 +42,7 @@ START_GOOD, START_ON_GOOD, START_ON_BAD = 0.8, (0.85, 0.01), (0.75, 0.2)
 # Bounds without which two hidden classes need not be good and bad: a rule calls
 # a good document bad this often at most, and a bad document, which seldom fails
 # more than a rule or two, gets this share of a good document's good votes.
-FALSE_ALARM, LEAST_GOOD_ON_BAD = 0.002, 0.9
+FALSE_ALARM, LEAST_GOOD_ON_BAD = 0.001, 0.9
 PSEUDO = 2.0    # documents' worth of the start that stays in every round
 GOOD, BAD, ABSTAIN = 1, 0, -1
 
@@ -54,7 +54,7 @@ RULES = (
     ("mean_word_chars_high", "over", 16.0, 9.5),
     ("symbols_per_word", "over", 0.15, 0.03),
     ("repeat_share", "over", 0.30, 0.12),
-    ("dup_line_share", "over", 0.30, 0.05),
+    ("dup_line_share", "over", 0.50, 0.05),
     ("distinct_share", "under", 0.20, 0.35),
     ("adjacent_share", "over", 0.15, 0.03),
     ("capital_share", "over", 0.40, 0.15),
@@ -113,7 +113,7 @@ def rule_measures() -> dict[str, Column]:
         "repeat_share": share("n_repeat_words", "n_words"), "dup_line_share": share("n_dup_lines", "n_lines"),
         "distinct_share": F.when(F.col("n_words") <= 2000, share("n_distinct", "n_words")),
         "adjacent_share": share("n_adjacent", "n_words"), "capital_share": share("n_capitals", "word_chars"),
-        "mark_share": share("n_marks", "n_words"), "unended_line_share": share("n_unended", "n_lines"),
+        "mark_share": share("n_marks", "n_words"), "unended_line_share": F.when(F.col("n_lines") >= 3, share("n_unended", "n_lines")),
         "bar_share": share("n_bars", "n_words"),
     }
 
