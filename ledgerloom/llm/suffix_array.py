@@ -4,8 +4,9 @@ prefixes.
 Suffixes are classified (S: smaller than the next suffix, L: larger), the
 leftmost S-type ones (an S after an L) are sorted by their substrings, named,
 and, where names repeat, sorted by recursion on the string of names; all other
-suffixes follow by induction, linearly. On bytes, induction goes bucket by
-bucket with whole arrays; on names, whose alphabet is large, item by item.
+suffixes follow by induction, linearly, bucket by bucket with whole arrays. The
+recursion renames pairs of names, not leftmost S-type runs of names: with their
+large alphabet, induction would go item by item.
 """
 
 from __future__ import annotations
@@ -117,34 +118,28 @@ def _names(t: np.ndarray, lms: np.ndarray, in_order: np.ndarray) -> tuple[np.nda
     return out, int(name[-1]) + 1
 
 
-def _induce_items(s: list[int], is_s: list[bool], lms: list[int], k: int) -> list[int]:
-    n = len(s)
-    count = [0] * k
-    for c in s:
-        count[c] += 1
-    heads, tails, total = [0] * k, [0] * k, 0
-    for c in range(k):
-        heads[c] = total
-        total += count[c]
-        tails[c] = total
-    order, tail = [0] * n, tails[:]     # 0 stands for nothing: place 0 induces nothing either
-    for i in reversed(lms):
-        c = s[i]
-        tail[c] -= 1
-        order[tail[c]] = i
-    for i in range(n):
-        j = order[i] - 1
-        if j >= 0 and not is_s[j]:
-            c = s[j]
-            order[heads[c]] = j
-            heads[c] += 1
-    for i in range(n - 1, -1, -1):
-        j = order[i] - 1
-        if j >= 0 and is_s[j]:
-            c = s[j]
-            tails[c] -= 1
-            order[tails[c]] = j
-    order[0] = n - 1
+def _order_names(names: np.ndarray, n_names: int) -> np.ndarray:
+    """Suffix order of the string of names, by recursion on pairs: a name and
+    the one ``step`` behind it are renamed together, and ``step`` doubles, for
+    the names that still repeat."""
+    m = len(names)
+    count = np.bincount(names, minlength=n_names)
+    rank = (np.cumsum(count) - count)[names]        # a repeated name: the first place of its bucket
+    active, step = np.flatnonzero(count[names] > 1), 1
+    while len(active):
+        after = active + step
+        second = np.where(after < m, rank[np.minimum(after, m - 1)] + 1, 0)
+        key = rank[active] * (m + 1) + second
+        o = np.argsort(key, kind="stable")
+        key, active = key[o], active[o]
+        old, place = rank[active], np.arange(len(active))
+        new = np.concatenate(([True], key[1:] != key[:-1]))
+        bucket = np.concatenate(([True], old[1:] != old[:-1]))
+        rank[active] = old + np.maximum.accumulate(np.where(new, place, 0)) - np.maximum.accumulate(np.where(bucket, place, 0))
+        active = active[~(new & np.append(new[1:], True))]
+        step *= 2
+    order = np.empty(m, np.int64)
+    order[rank] = np.arange(m)
     return order
 
 
@@ -155,22 +150,14 @@ def _sort(t: np.ndarray, k: int) -> np.ndarray:
         return np.zeros(1, np.int32)
     is_s = s_types(t)
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-    if k <= 512:
-        def induce(order: np.ndarray) -> np.ndarray:
-            return _induce_bytes(t, is_s, order, k)
-    else:
-        items, kinds = t.tolist(), is_s.tolist()
-
-        def induce(order: np.ndarray) -> np.ndarray:
-            return np.array(_induce_items(items, kinds, order.tolist(), k), np.int32)
-    found = induce(lms)
+    found = _induce_bytes(t, is_s, lms, k)
     leftmost = np.zeros(n, bool)
     leftmost[lms] = True
     in_order = found[leftmost[found]]
     names, n_names = _names(t, lms, in_order)
     if n_names < len(lms):
-        in_order = lms[_sort(names, n_names)]
-    return induce(in_order)
+        in_order = lms[_order_names(names, n_names)]
+    return _induce_bytes(t, is_s, in_order, k)
 
 
 def suffix_array(t: np.ndarray) -> np.ndarray:
