@@ -120,7 +120,7 @@ def solve_dual(hist: DataFrame, sources: list[dict], cap: float = CAP, steps: in
     return lam
 
 
-def copies_of(sizes: np.ndarray, rates: np.ndarray, order: np.ndarray, cap: float) -> np.ndarray:
+def copies_of(sizes: np.ndarray, rates: np.ndarray, order: list[int], cap: float) -> np.ndarray:
     """Whole copies: each rate rounded down or up, documents in ``order`` (the
     largest first) carrying the words over or short to the next one. What is
     left at the end is settled by single copies, again the largest first."""
@@ -163,8 +163,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
 
     def round_bucket(t: pa.Table) -> pa.Table:
         size, w = t.column("size").to_numpy(), t.column("rate").to_numpy()
-        ids = np.array([-1 if x is None else hash(x) for x in t.column("doc_id").to_pylist()], np.int64)
-        n = copies_of(size, w, np.lexsort((ids, -size)), cap)
+        ids = t.column("doc_id").to_pylist()
+        order = sorted(range(len(ids)), key=lambda i: (-size[i], ids[i] is not None, 0 if ids[i] is None else ids[i]))
+        n = copies_of(size, w, order, cap)
         return t.append_column("copies", pa.array(n, pa.int32()))
 
     schema = T.StructType([*rated.schema.fields, T.StructField("copies", T.IntegerType())])
