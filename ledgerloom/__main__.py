@@ -1,7 +1,8 @@
-"""Command line: ``python -m ledgerloom {land,run} …`` (or via spark-submit).
+"""Command line: ``python -m ledgerloom {land,run,clean} …`` (or via spark-submit).
 
     land  write the five sources derived from driver tables to a landing root
     run   gate → load → transform → test on a landing root; exit 1 on failure
+    clean remove run folders that have not been touched for some hours
 """
 
 from __future__ import annotations
@@ -50,8 +51,15 @@ def main(argv=None) -> int:
     run.add_argument("--multiline-csv", action="store_true",
                      help="CSV fields may hold line breaks (a file is then read by one task)")
 
+    clean = sub.add_parser("clean", help="remove old run folders from the shared folder")
+    clean.add_argument("--older-than-hours", type=float, default=24.0)
+
     args = ap.parse_args(argv)
     spark = _session(args.master, args.ui)
+    if args.cmd == "clean":
+        from ledgerloom.session import clean_runs
+        print(clean_runs(spark, args.older_than_hours))
+        return 0
     if args.cmd == "land":
         from ledgerloom.sources.landing import write_landing
         for name, path in write_landing(spark, args.sf_dir, args.landing, args.ingestion_date,

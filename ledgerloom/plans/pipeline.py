@@ -28,6 +28,11 @@ from ledgerloom.streaming.incremental import archive_files, incremental_csv_load
 PASSED_ON = {"stg_accounts": "accounts", "stg_subscriptions": "subscriptions", "stg_payments": "payments",
              "stg_support_tickets": "support_tickets"}
 
+# Facts are stored in ranges of their day (and key, so that one day can fill many
+# files): a query by day skips the files and row groups of other days.
+CLUSTERED = {"fact_ai_usage": ("date_key", "ai_usage_key"), "fact_payments": ("date_key", "payment_key"),
+             "fact_support_tickets": ("submitted_date_key", "support_ticket_key")}
+
 
 class PipelineError(RuntimeError):
     def __init__(self, stage: str, cause: Exception):
@@ -139,6 +144,9 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
     def transform():
         for level in _levels(chosen):
             frames = {name: models[name] for name in level}      # plans built on this thread
+            for name in CLUSTERED.keys() & frames.keys():
+                by = CLUSTERED[name]
+                frames[name] = frames[name].repartitionByRange(*by).sortWithinPartitions(*by)
             writes = {name: (lambda n=name, d=df: cat.write_table(MODELS[n].layer, n, d))
                       for name, df in frames.items() if name not in PASSED_ON}
             stored = run_concurrently(writes, threads)

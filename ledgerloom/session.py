@@ -77,7 +77,23 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+RUN_PREFIX = "ledgerloom-run-"
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for one run."""
-    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(shared_dir(spark), f"{RUN_PREFIX}{name}-{uuid.uuid4().hex[:12]}")
     return path
+
+
+def clean_runs(spark: SparkSession, older_than_hours: float = 24.0, folder: str | None = None) -> int:
+    """Retention: remove the folders that ``run_dir`` made in the shared folder
+    and that were not touched for so long. Each run owns its folder, so nothing
+    else reads it once the run's results have been used. Returns how many went."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder or shared_dir(spark))
+    fs, gone = p.getFileSystem(spark._jsc.hadoopConfiguration()), 0
+    before = spark._jvm.java.lang.System.currentTimeMillis() - int(older_than_hours * 3_600_000)
+    for x in fs.listStatus(p) if fs.exists(p) else ():
+        if re.fullmatch(RUN_PREFIX + "[a-z0-9_-]+-[0-9a-f]{12}", x.getPath().getName()) and x.getModificationTime() < before:
+            gone += bool(fs.delete(x.getPath(), True))
+    return gone

@@ -131,6 +131,9 @@ def test_pipeline_selection_warn_mode(spark):
     assert "int_customer_360" not in built
     summary = {r.table_name: r.rows for r in res.summary().collect()}
     assert summary["fact_payments"] == summary["payments"] == 6000
+    files = spark.table("marts.fact_payments").groupBy(F.input_file_name()).agg(
+        F.min("date_key").alias("first"), F.max("date_key").alias("last")).orderBy("first", "last").collect()
+    assert all(a.last <= b.first for a, b in zip(files, files[1:]))        # stored in ranges of the day
     ids = {r["check_id"] for r in res.check_rows}
     assert "unique_fact_payments_payment_key" in ids
     assert "relationships_fact_payments_customer_key" not in ids   # dim_customer not built
@@ -190,6 +193,19 @@ def test_failed_rebuild_keeps_the_last_good_table(spark):
     assert spark.table("marts.kept").columns == ["s"]
 
 
+def test_clean_runs_removes_old_runs_only(spark, scratch):
+    import os
+    from ledgerloom.session import clean_runs
+    run = os.path.basename(run_dir(spark, "dq"))
+    names = [run, run[:-12] + "a" * 12, "6f0c2f0e-8a52-4a52-9d52-0123456789ab", "other"]
+    for n in names:
+        os.mkdir(os.path.join(scratch, n))
+        if n != run:
+            os.utime(os.path.join(scratch, n), (1, 1))
+    assert clean_runs(spark, 1, scratch) == 1
+    assert sorted(os.listdir(scratch)) == sorted([names[0], *names[2:]])
+
+
 def test_averages_are_not_rounded_and_hold_large_numbers(spark):
     from ledgerloom.functions.variant import avg_exact
     df = spark.createDataFrame([(20_000_000_000,), (20_000_000_001,), (20_000_000_001,)], "n long")
