@@ -169,7 +169,7 @@ def search_block(q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows:
     for own, vector, code in zip(q_ids, q, codes.of(q)):
         found = index.within(code, radius, masks)
         found = found[ids[found] != own]
-        cos = x[found] @ vector
+        cos = np.einsum("ij,j->i", x[found], vector)       # row by row: equal vectors get equal scores
         best = np.argsort(-cos, kind="stable")[:k]
         out += zip([int(own)] * len(best), ids[found[best]].tolist(), cos[best].tolist())
     return out
