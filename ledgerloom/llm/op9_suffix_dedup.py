@@ -155,7 +155,7 @@ def _merged(run):
 
 def fetch_text(distinct: DataFrame, docs: DataFrame, window: int) -> DataFrame:
     """h, d, n, copies, subs, piece (the text) of the distinct segments, each
-    from one document that has it."""
+    from one document that has it (from each of its rows, if they repeat)."""
     wanted = distinct.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "n", "h", "d", "copies", "subs")).alias("wanted"))
     once = docs.select("k1", "k2", "text").join(wanted, ["k1", "k2"])
 
@@ -169,8 +169,7 @@ def fetch_text(distinct: DataFrame, docs: DataFrame, window: int) -> DataFrame:
 
     schema = pa.schema([("h", pa.int64()), ("d", pa.int64()), ("n", pa.int32()), ("copies", pa.int64()),
                         ("subs", pa.int64()), ("piece", pa.binary())])
-    return once.mapInArrow(_merged(run), "h long, d long, n int, copies long, subs long, piece binary") \
-        .dropDuplicates(["h", "d"])
+    return once.mapInArrow(_merged(run), "h long, d long, n int, copies long, subs long, piece binary")
 
 
 def repeats_in_shard(pieces: list[bytes], n_windows: np.ndarray, copies: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
@@ -214,6 +213,8 @@ def repeated_windows(texts: DataFrame, window: int, shards: int) -> DataFrame:
 
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by([("h", "ascending"), ("d", "ascending")])
+        h, d = t.column("h").to_numpy(), t.column("d").to_numpy()
+        t = t.filter(pa.array(np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))))
         pieces = t.column("piece").to_pylist()
         h, d, n, copies = (t.column(c).to_numpy() for c in ("h", "d", "n", "copies"))
         again, segment, place, leads = repeats_in_shard(pieces, n, copies, window)
@@ -246,7 +247,8 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sha
     ``keyed`` rows that hold a repeated window."""
     small_batches(docs.sparkSession)
     listed = list_segments(docs, window, gram)
-    per_h = listed.groupBy("h").agg(F.count("*").alias("places")).where("places > 1").select("h")
+    # stored, so that both sides of the join are shuffles AQE can split at a hot minimizer
+    per_h = stored(listed.groupBy("h").agg(F.count("*").alias("places")).where("places > 1").select("h"), "minimizers")
     candidates = stored(listed.join(per_h, "h", "left_semi"), "segments")
     distinct = candidates.groupBy("h", "d").agg(F.min(F.struct("k1", "k2", "at", "n")).alias("one"), F.count("*").alias("copies"))
     subs = candidates.groupBy("h").agg(F.count_distinct("d").alias("m")) \
@@ -255,7 +257,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sha
     texts = stored(fetch_text(distinct, docs, window), "pieces")
     size = texts.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
     runs = repeated_windows(texts, window, blocks_for(size, shard_bytes))
-    ranges = runs.groupBy("h", "d").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    ranges = stored(runs.groupBy("h", "d").agg(F.collect_list(F.struct("first", "last")).alias("runs")), "runs")
     covered = candidates.join(ranges, ["h", "d"]).select("k1", "k2", "at", F.explode("runs").alias("r")) \
         .select("k1", "k2", F.struct((F.col("at") + F.col("r.first")).alias("begin"),
                                      (F.col("at") + F.col("r.last") + window).alias("end")).alias("range"))
