@@ -1,6 +1,7 @@
 """Nearest neighbours, token files, packing, mixing, the pipeline."""
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -211,6 +212,59 @@ def test_neighbours_fill_a_seed_window():
     assert [p[0] for p in pieces if p[3] == 0] == [0, 3] and [p[0] for p in pieces if p[3] == 1] == [1, 2]
 
 
+def planted(n, seed=0):
+    """n documents in related pairs: a pair's words are its own, apart from
+    words that all share. Ids deal the two of a pair far apart."""
+    r = random.Random(seed)
+    words = sorted(w[:-4] for w in tokenizer(O4.VOCABULARY).get_vocab() if w.endswith("</w>") and re.fullmatch("[a-z]{5,}", w[:-4]))
+    docs = []
+    for i in range(n // 2):
+        own = r.sample(words, 40)
+        for half in (0, 1):
+            docs.append((i + half * 10**6, " ".join(r.sample(own, 36) + r.sample("one two three four five six seven eight".split(), 4))))
+    return docs
+
+
+@pytest.mark.parametrize("n, shard_docs, index_docs", [(60, 100, 16), (60, 16, 16), (1200, 100, 200)])
+def test_related_documents_share_a_window_at_every_size(spark, n, shard_docs, index_docs):
+    """Related pairs meet whatever the number of packing tasks and index shards."""
+    docs = planted(n)
+    t = tokenizer(O4.VOCABULARY)
+    size, = {len(t.encode(x, add_special_tokens=False).ids) + 1 for _, x in docs}
+    window = 2 * size
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = O4.pack_documents(df, window=window, shard_docs=shard_docs, index_docs=index_docs).collect()
+    seen = defaultdict(set)
+    for r in got:
+        seen[r.doc_id].add(r.sequence_id)
+    assert len(seen) == n
+    together = sum(bool(seen[i] & seen[i + 10**6]) for i in range(n // 2))
+    assert together >= 0.95 * (n // 2), together
+    assert sum(r.length for r in got) >= 0.9 * window * (len({r.sequence_id for r in got}) - 1)
+
+
+def test_index_shards_return_the_best_of_the_corpus(spark):
+    """Scores use the corpus's statistics: the best documents of all shards
+    together are a single index's, and rooms are filled by them."""
+    docs = planted(300, 3)
+    rows = O4.encode_rows(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), O4.VOCABULARY, O4.END_ID)
+    idf, mean = O4.corpus_idf(rows)
+    pool = O4.weighted(rows, idf, mean).withColumnRenamed("n", "left").cache()
+    place = {r.uid: r.doc_id for r in rows.collect()}
+    ids = [np.frombuffer(r.ids, "<u4") for r in rows.orderBy("doc_id").collect()]
+    order = sorted(d for d, _ in docs)
+    index = O4.Index(ids)
+    open_ = pool.select("uid", "key", F.lit(0).alias("fill"), "terms")
+    got = defaultdict(dict)
+    for r in O4.retrieve(pool, open_, 300, 300, 40).collect():
+        got[place[r.seed]][place[r.uid]] = r.score
+    for i, d in enumerate(order):
+        want = index.scores(i)
+        want[i] = 0
+        best = np.argsort(-want, kind="stable")[:5]
+        assert all(got[d][order[j]] == pytest.approx(want[j], rel=1e-4) for j in best if want[j] > 0)
+
+
 # --- op8 ---------------------------------------------------------------------
 
 def plain_targets(words):
