@@ -226,6 +226,28 @@ def test_keywords_gate_no_match_away():
                 assert i in hit, (text, r)
 
 
+GATED = ("GNU General Public License version 2", "GNU Lesser General Public License v2.1", "GNU Library General Public License 2.0",
+         "MIT License", "MIT-style license", "licensed by MIT", "distributed with MIT", "released under a MIT", "MIT no attribution license",
+         "ISC-style license", "published under terms of ISC", "SIL Open Font License", "GNU Free Documentation License 1.3",
+         "Common Development and Distribution License", "Common Public License", "Server Side Public License",
+         "European Union Public License", "Python Software Foundation License", "Do what the fuck you want to public license",
+         "Open Database License", "Open Data Commons Attribution License", "Public Domain Dedication and License",
+         "Open Software License", "CC BY-SA 4.0", "licensed under CC BY NC 3.0", "placed in the public domain")
+
+
+@pytest.mark.parametrize("gap", [" ", "\n", "\t", "  ", "\r\n", " \n\t "])
+def test_white_space_gates_no_match_away(gap):
+    s = O10.Scanner.get()
+    assert not any(c.isspace() for r in O10.RULES for k in r.keywords for c in k)
+    for text in GATED:
+        low = text.lower().replace(" ", gap)
+        hit = {i for _, (_, own) in s.keywords.iter(low) for i in own}
+        match = {i for i, r in enumerate(O10.RULES) if re.search(r.pattern, low)}
+        assert match <= hit and (match or "cc" in low), (low, match - hit)
+    assert s.scan("GNU General\nPublic License version 2")[5] == "gpl,gpl-2.0"
+    assert s.scan("an MIT-style license")[5] == s.scan("licensed by MIT")[5] == "mit"
+
+
 def test_license_edges(edge_docs, no_docs):
     got = O10.scan_licenses(edge_docs).collect()
     assert len(got) == len(EDGE)
