@@ -237,12 +237,13 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component, the document with the smallest
-    doc_id stays (one row of it, if the id repeats). Rows without a doc_id
-    can't be told apart by it and stay."""
+    """Pipeline stage: of each component one row stays, that with the smallest
+    doc_id (null ids last), then the smallest hash of the text; a row that is
+    there twice with both equal stays once."""
     names = [f"c{i}" for i in range(len(docs.columns))]
-    inner, key = docs.toDF(*names), names[docs.columns.index("doc_id")]
-    near = near_duplicates(docs.select("doc_id", "text"))
-    kept = near.where("doc_id = component_id").select(F.col("doc_id").alias("kept__")).distinct()
-    one = inner.join(kept, inner[key] == F.col("kept__")).drop("kept__").dropDuplicates([key])
-    return one.unionByName(inner.where(F.col(key).isNull())).toDF(*docs.columns)
+    inner, key, text = docs.toDF(*names), names[docs.columns.index("doc_id")], names[docs.columns.index("text")]
+    row = lambda i, t: F.struct(F.when(F.col(i).isNull(), True).alias("nil"), F.col(i).alias("id"), F.sha2(F.col(t), 256).alias("hash"))
+    near = near_duplicates(docs.select(row("doc_id", "text").alias("doc_id"), "text"))
+    kept = near.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept__")).distinct()
+    one = inner.withColumn("row__", row(key, text)).join(kept, F.col("row__").eqNullSafe(F.col("kept__")))
+    return one.dropDuplicates(["row__"]).drop("row__", "kept__").toDF(*docs.columns)

@@ -69,6 +69,16 @@ def test_simhash_edges(spark, edge_docs, no_docs):
     assert ids.count(9) == 1 and ids.count(1) == 1 and not {2, 3, 7, 8} & set(ids) and 6 in ids
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Rows are told apart by doc_id and text: a repeated id loses no other
+    document, and copies without an id go."""
+    texts = [" ".join(f"{w}{k}" for w in range(60)) for k in "abc"]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (2, texts[0]), (None, texts[0]), (None, texts[2]), (None, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(map(tuple, O7.keep_one_of_each(spark, docs, "").collect()))
+    assert got == Counter([(1, texts[0]), (1, texts[1]), (None, texts[2])])
+
+
 def test_blocks_and_tiles_lose_no_link(spark):
     """Many small blocks, chains of neighbours, fingerprints at all counts."""
     rng = np.random.default_rng(5)
