@@ -4,6 +4,7 @@ metrics and the pipeline run."""
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +15,11 @@ from ledgerloom.operators import staging as S
 from ledgerloom.operators.checks import all_checks
 from ledgerloom.operators.metrics import METRICS
 from ledgerloom.plans.pipeline import run_pipeline
+from ledgerloom.plans.snapshots import Snapshots
 from ledgerloom.session import run_dir
 from ledgerloom.sources import driver_tables as DT
 from ledgerloom.sources import landing as L
+from ledgerloom.sources.ledger import Loader, ledger_summary
 from ledgerloom.streaming.incremental import incremental_csv_load, read_target
 
 # The landing partition used by the registered load queries.
@@ -131,6 +134,20 @@ def _incremental(spark, sf_dir):
     return _cmp(read_target(spark, target, "support_tickets"))
 
 
+def _load_ledger(spark, sf_dir):
+    """All sources loaded through the ledger, twice: the second load finds
+    nothing new, so each source has its rows once, from one load."""
+    root, landing = run_dir(spark, "ledger"), _landed(spark, sf_dir)
+    snapshots = Snapshots(spark, root)
+    for _ in range(2):
+        loader = Loader(spark, snapshots)
+        loader.commit([loader.stage(name, landing, ingested_at=DT.FIXTURE_INGESTED_AT) for name in L.LANDING_PREFIX])
+    loader = Loader(spark, snapshots)
+    sums = ledger_summary(loader.ledger()).select("source", F.col("rows").alias("ledger_rows"), "loads")
+    tables = [loader.rows(name).agg(F.count(F.lit(1)).alias("table_rows")).withColumn("source", F.lit(name)) for name in L.LANDING_PREFIX]
+    return reduce(DataFrame.unionByName, tables).join(sums, "source").select("source", "table_rows", "ledger_rows", "loads")
+
+
 def _landed_by_month(spark, sf_dir):
     root = run_dir(spark, "landing")
     L.write_landing(spark, sf_dir, root, INGESTION_DATE)
@@ -178,6 +195,7 @@ def queries() -> dict:
         "load_json_variant": _load_json,
         "landing_roundtrip": _landing_roundtrip,
         "incremental_load": _incremental,
+        "load_ledger": _load_ledger,
         "stage_listing": _stage_listing,
         "source_presence": _source_presence,
         "pipeline_summary": _pipeline_summary,

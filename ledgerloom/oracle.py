@@ -444,6 +444,13 @@ EXTRA_SQL = {
         UNION ALL SELECT 'payments', COUNT(*), COUNT(DISTINCT payment_id) FROM payments
         UNION ALL SELECT 'support_tickets', COUNT(*), COUNT(DISTINCT ticket_id) FROM support_tickets
         UNION ALL SELECT 'ai_usage_events', COUNT(*), COUNT(DISTINCT event_id) FROM stg_ai_usage_events"""),
+    "load_ledger": """
+        SELECT source, n AS table_rows, n AS ledger_rows, CAST(1 AS BIGINT) AS loads
+        FROM (SELECT 'accounts' AS source, (SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM supplier) AS n
+              UNION ALL SELECT 'subscriptions', (SELECT COUNT(*) FROM orders)
+              UNION ALL SELECT 'payments', (SELECT COUNT(*) FROM lineitem)
+              UNION ALL SELECT 'support_tickets', (SELECT COUNT(*) FROM events)
+              UNION ALL SELECT 'ai_usage_events', (SELECT COUNT(*) FROM events))""",
     "source_presence": """
         SELECT 'accounts' AS source, 'postgres/accounts' AS prefix, EXISTS (SELECT 1 FROM customer) AS present
         UNION ALL SELECT 'subscriptions', 'postgres/subscriptions', EXISTS (SELECT 1 FROM orders)

@@ -1,9 +1,13 @@
-"""The pipeline job: gate → load → transform → test → archive, in order.
+"""The pipeline job: gate → load → transform → test → publish → archive, in order.
 
 Each stage raises on failure, so the run stops at the first broken stage
-(``PipelineError`` names it) and nothing is archived before the tests have
-passed. Raw loads and models are written under the warehouse root and read back, which both materialises them and cuts lineage:
-an executor lost during the checks never triggers a recompute of the loads.
+(``PipelineError`` names it). Loads are committed as a whole with their ledger.
+Models are written as candidates that nobody reads, and the tests read the
+candidates; only if they pass (or only warn) one manifest publishes all
+relations at once. A failed test run leaves the published set as it was, keeps
+the loaded files loaded, and records its report. Nothing is archived before
+publishing. Candidates are read back from storage, which cuts lineage: an
+executor lost during the checks never triggers a recompute of the loads.
 """
 
 from __future__ import annotations
@@ -19,8 +23,9 @@ from ledgerloom.operators import quality as Q
 from ledgerloom.plans.catalog import Catalog
 from ledgerloom.plans.models import MODELS, RAW, ModelSet, select
 from ledgerloom.plans.parallel import run_concurrently
+from ledgerloom.plans.snapshots import Snapshots, drop_folder
 from ledgerloom.sources import landing as L
-from ledgerloom.streaming.incremental import archive_files, incremental_csv_load, incremental_json_load, now_ms, read_target
+from ledgerloom.sources.ledger import Loader
 
 # Staging models that only pass a raw table's columns on: kept as views over it.
 # Every other model is stored: it parses JSON or aggregates, and the checks and
@@ -48,6 +53,7 @@ class PipelineResult:
     check_rows: list[dict] = field(default_factory=list)
     appended: dict[str, int] = field(default_factory=dict)   # incremental loads: rows added
     archived: dict[str, int] = field(default_factory=dict)   # files moved after the tests
+    changed: dict[str, list[str]] = field(default_factory=dict)   # loaded files that have other content now
     stage_seconds: dict[str, float] = field(default_factory=dict)
 
     def summary(self) -> DataFrame:
@@ -74,19 +80,33 @@ def _stage(name: str, fn, *args, timings: dict | None = None, **kw):
             timings[name] = round(time.perf_counter() - t0, 3)
 
 
-def _incremental_load(spark, cat: Catalog, landing_root: str, ingested_at, csv_multiline, appended, threads: int):
-    """Append only files not loaded before (streaming file source + checkpoint)."""
-    def one(name):
-        target = cat.location("raw", name)
-        ck = cat.checkpoint_location(name)
-        src = L.prefix_path(landing_root, name)
-        if name == "ai_usage_events":
-            return incremental_json_load(spark, src, target, ck, ingested_at)
-        return incremental_csv_load(spark, src, name, target, ck, multiline=csv_multiline)
-    appended.update(run_concurrently({name: (lambda n=name: one(n)) for name in RAW}, threads))
-    return {name: cat.register_table("raw", name, read_target(spark, cat.location("raw", name), name),
-                                     cat.location("raw", name))
-            for name in RAW}
+def _load(loader: Loader, landing_root: str, append: bool, ingested_at, csv_multiline: bool, on_change: str,
+          result: PipelineResult, threads: int) -> dict:
+    """All sources staged, then committed together: new files, or all of them.
+    Returns what is loaded now."""
+    staged = run_concurrently({name: (lambda n=name: loader.stage(n, landing_root, append, ingested_at, csv_multiline, on_change))
+                               for name in RAW}, threads)
+    manifest = loader.commit([staged[name] for name in RAW], append)
+    for name in RAW:
+        result.changed[name] = staged[name].changed
+        if append:
+            result.appended[name] = staged[name].rows
+    return manifest
+
+
+def _publish(cat: Catalog, snapshots: Snapshots, candidates: dict[str, tuple[str, DataFrame, list[str]]], report: dict) -> None:
+    """One manifest switches all relations; then the catalog's entries follow.
+    Readers who need several relations of one version open a snapshot."""
+    base = snapshots.head()
+    relations = {f"{cat.namespace(layer)}.{name}": {"paths": paths, "schema": df.schema.jsonValue()}
+                 for name, (layer, df, paths) in candidates.items()}
+    snapshots.commit(base, published={**base["published"], **relations}, report=report)
+    for name, (layer, df, paths) in candidates.items():
+        if name in PASSED_ON:
+            cat.register_view(layer, name, f"{cat.namespace('raw')}.{PASSED_ON[name]}", df)
+        else:
+            cat.register_folders(layer, name, df, paths)
+    snapshots.forget()
 
 
 def _levels(names: list[str]) -> list[list[str]]:
@@ -101,45 +121,52 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
                  selection: str | None = None, on_check_failure: str = "raise",
                  ingested_at: str | None = None, incremental: bool = False,
                  archive_dir: str | None = None, threads: int = 4,
-                 csv_multiline: bool = False) -> PipelineResult:
+                 csv_multiline: bool = False, on_change: str = "report") -> PipelineResult:
     """Run the whole job.
 
     ``selection`` picks models (``staging``, ``fact_payments+``, ``+dim_date`` …);
     ``on_check_failure`` is ``raise`` (fail closed) or ``warn`` (report only);
-    ``incremental`` appends only newly landed files to the raw tables (re-runs
-    over the same files add nothing) instead of replacing them;
+    ``incremental`` appends only files that the ledger does not have (re-runs
+    over the same files add nothing) instead of replacing the raw tables;
     ``archive_dir`` (incremental only: a full rebuild needs the files again)
-    moves the loaded landing files there as the last step, after the tests;
+    moves the landing files that the ledger has there as the last step;
     ``threads`` independent table writes run as concurrent Spark jobs;
-    ``csv_multiline`` reads CSV fields with line breaks, a file being one split.
+    ``csv_multiline`` reads CSV fields with line breaks, a file being one split;
+    ``on_change``: a loaded file that has other content now is reported in
+    ``changed`` (``report``) or stops the load (``raise``); it is not loaded again.
     """
     if on_check_failure not in ("raise", "warn"):
         raise ValueError(on_check_failure)
     if archive_dir and not incremental:
         raise ValueError("archive_dir needs incremental=True")
-    cat = Catalog(spark, warehouse_root)
+    if on_change not in ("report", "raise"):
+        raise ValueError(on_change)
+    cat, snapshots = Catalog(spark, warehouse_root), Snapshots(spark, warehouse_root)
     cat.ensure_namespaces()
     result = PipelineResult()
-    started = now_ms(spark)
+    loader = Loader(spark, snapshots)
 
     # 1. gate: every source prefix must hold files
     _stage("gate", L.require_sources, spark, landing_root, timings=result.stage_seconds)
 
     # 2. load: raw tables from the landing prefixes (replace, or append new files)
-    def load():
-        if incremental:
-            return _incremental_load(spark, cat, landing_root, ingested_at, csv_multiline, result.appended,
-                                     threads)
-        loaded = L.load_all(spark, landing_root, ingested_at, csv_multiline)
-        return run_concurrently({name: (lambda n=name, d=df: cat.write_table("raw", n, d))
-                                 for name, df in loaded.items()}, threads)
-    raw = _stage("load", load, timings=result.stage_seconds)
+    manifest = _stage("load", _load, loader, landing_root, incremental, ingested_at, csv_multiline, on_change, result, threads,
+                      timings=result.stage_seconds)
+    loaded, raw = manifest["loaded"], {name: loader.rows(name, manifest) for name in RAW}
+    candidates: dict[str, tuple[str, DataFrame, list[str]]] = {}        # name → (layer, rows, folders)
     for name in RAW:
         result.built[name] = ("raw", raw[name])
+        candidates[name] = ("raw", raw[name], loaded[name]["rows"])
 
-    # 3. transform: models in dependency order
+    # 3. transform: models in dependency order, as candidates
     models = ModelSet(raw, as_of=as_of)
     chosen = select(selection)
+    written: list[str] = []
+
+    def write(name: str, df: DataFrame) -> tuple[str, DataFrame]:
+        path, stored = cat.write_candidate(MODELS[name].layer, name, df)
+        written.append(path)
+        return path, stored
 
     def transform():
         for level in _levels(chosen):
@@ -147,35 +174,45 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
             for name in CLUSTERED.keys() & frames.keys():
                 by = CLUSTERED[name]
                 frames[name] = frames[name].repartitionByRange(*by).sortWithinPartitions(*by)
-            writes = {name: (lambda n=name, d=df: cat.write_table(MODELS[n].layer, n, d))
+            writes = {name: (lambda n=name, d=df: write(n, d))
                       for name, df in frames.items() if name not in PASSED_ON}
             stored = run_concurrently(writes, threads)
             for name in level:
                 layer = MODELS[name].layer
-                df = stored[name] if name in stored else \
-                    cat.register_view(layer, name, f"raw.{PASSED_ON[name]}", frames[name])
+                path, df = stored[name] if name in stored else (None, frames[name])
                 models.override(name, df)
                 result.built[name] = (layer, df)
-    _stage("transform", transform, timings=result.stage_seconds)
+                candidates[name] = (layer, df, [path] if path else loaded[PASSED_ON[name]]["rows"])
 
-    # 4. test: every declared check whose relations were built
+    # 4. test: every declared check whose relations were built, on the candidates
     def test():
         built = set(result.built)
         checks = [c for c in Q.all_checks()
                   if c.model in built and (c.test != "relationships" or c.arg[0] in built)]
-        report = cat.write_table("marts", "data_test_results", Q.run_checks(models.__getitem__, checks))
+        path, report = cat.write_candidate("marts", "data_test_results", Q.run_checks(models.__getitem__, checks))
         result.check_report = report
-        if on_check_failure == "raise":
-            result.check_rows = Q.enforce(report)
-        else:
-            result.check_rows = [r.asDict() for r in report.collect()]  # one row per check
-    _stage("test", test, timings=result.stage_seconds)
+        result.check_rows = [r.asDict() for r in report.collect()]  # one row per check
+        entry = {"path": path, "failing": sum(r["failures"] > 0 for r in result.check_rows)}
+        if on_check_failure == "raise" and entry["failing"]:
+            snapshots.commit(snapshots.head(), report=entry)      # the published set stays
+            Q.enforce(report)
+        candidates["data_test_results"] = ("marts", report, [path])
+        return entry
 
-    # 5. archive: the files this run (or an earlier one) loaded
+    try:
+        _stage("transform", transform, timings=result.stage_seconds)
+        report = _stage("test", test, timings=result.stage_seconds)
+        _stage("publish", _publish, cat, snapshots, candidates, report, timings=result.stage_seconds)
+    except PipelineError as e:
+        if e.stage in ("transform", "test"):
+            for path in written:
+                drop_folder(spark, path)
+        raise
+
+    # 5. archive: landed files that the ledger has, as they were loaded
     if archive_dir:
         def archive():
             for name in RAW:
-                result.archived[name] = archive_files(spark, L.prefix_path(landing_root, name),
-                                                      f"{archive_dir.rstrip('/')}/{name}", started)
+                result.archived[name] = loader.archive(name, landing_root, f"{archive_dir.rstrip('/')}/{name}")
         _stage("archive", archive, timings=result.stage_seconds)
     return result

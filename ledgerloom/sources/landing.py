@@ -97,12 +97,16 @@ def _within(c: Column, name: str, most: int | None) -> Column:
     return F.when(F.length(c) > most, F.raise_error(F.concat(F.lit(f"{name} longer than {most}: "), c))).otherwise(c)
 
 
-def type_csv_columns(df: DataFrame, source: str) -> DataFrame:
+def typed_csv_columns(source: str) -> list[Column]:
     """String columns → typed columns. A bad value (ANSI cast) or one that is
     too long raises, which aborts the load (ON_ERROR = ABORT_STATEMENT)."""
     lengths = MAX_LENGTH[source]
-    return df.select(*[_within(null_markers(F.col(f.name)), f.name, lengths.get(f.name)).cast(f.dataType).alias(f.name)
-                       for f in CSV_TABLES[source].fields])
+    return [_within(null_markers(F.col(f.name)), f.name, lengths.get(f.name)).cast(f.dataType).alias(f.name)
+            for f in CSV_TABLES[source].fields]
+
+
+def type_csv_columns(df: DataFrame, source: str) -> DataFrame:
+    return df.select(*typed_csv_columns(source))
 
 
 def csv_options(multiline: bool) -> dict[str, str]:
@@ -185,9 +189,10 @@ def has_files(spark: SparkSession, path: str) -> bool:
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(p):
         return False
-    found = fs.listFiles(p, True)
+    found, top = fs.listFiles(p, True), len(fs.makeQualified(p).toString().rstrip("/")) + 1
     while found.hasNext():
-        if found.next().getPath().getName()[0] not in "._":
+        below = found.next().getPath().toString()[top:]
+        if not any(part[:1] in (".", "_") for part in below.split("/")):      # no hidden file, none of an unfinished write
             return True
     return False
 

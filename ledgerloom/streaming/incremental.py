@@ -61,28 +61,3 @@ def incremental_json_load(spark: SparkSession, landing_path: str, target_path: s
     stream = reader.json(landing_path).select(
         "raw_event", stage_path(F.col("_metadata.file_path")).alias("source_file"), at.alias("ingested_at"))
     return _run(spark, stream, "ai_usage_events", target_path, checkpoint_path)
-
-
-def now_ms(spark: SparkSession) -> int:
-    return int(spark._jvm.java.lang.System.currentTimeMillis())
-
-
-def archive_files(spark: SparkSession, landing_path: str, archive_path: str, before_ms: int) -> int:
-    """Move the files that were under ``landing_path`` before a time (that of
-    the load's start, so all of them are loaded) to the same place under
-    ``archive_path``. One file at a time from an iterator: nothing is held."""
-    jvm = spark._jvm
-    base = jvm.org.apache.hadoop.fs.Path(landing_path)
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    root, moved = fs.makeQualified(base).toString().rstrip("/"), 0
-    files = fs.listFiles(base, True)
-    while files.hasNext():
-        f = files.next()
-        if f.getPath().getName()[0] in "._" or f.getModificationTime() >= before_ms:
-            continue
-        to = jvm.org.apache.hadoop.fs.Path(archive_path + f.getPath().toString()[len(root):])
-        fs.mkdirs(to.getParent())
-        if not fs.rename(f.getPath(), to):
-            raise OSError(f"could not archive {f.getPath()}")
-        moved += 1
-    return moved
