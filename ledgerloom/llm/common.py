@@ -51,6 +51,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored tables of one computation, removed together when it is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(new_dir(self.spark, name))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def drop(self) -> None:
+        for path in self.paths:
+            drop_dir(self.spark, path)
+        self.paths = []
+
+
 def drop_dir(spark: SparkSession, path: str) -> None:
     """Remove a folder made by ``new_dir`` (any file system Spark knows)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

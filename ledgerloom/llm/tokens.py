@@ -3,7 +3,8 @@
 Both vocabularies split a text into words before merging, so the ids of a text
 are the ids of its words one after another. Words repeat far more often than
 texts, so a process keeps the ids of the words it has met (bounded: two
-generations of ``MEMO_WORDS``), and only new words go through the library.
+generations of ``MEMO_WORDS``), and only new words go through the library. Texts
+that hold the string of one of the file's named tokens go through it whole.
 """
 
 from __future__ import annotations
@@ -63,7 +64,8 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
+        #: Strings that the file names as tokens: a text is cut at them before anything else.
+        self.named = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -127,14 +129,16 @@ class WordEncoder:
             gc.enable()
 
     def _encode(self, texts: list[str | None], end: int) -> list[bytes]:
-        cut = [self.words(t) if t else [] for t in texts]
+        named = {i: array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes()
+                 for i, t in enumerate(texts) if t and any(x in t for x in self.named)}     # rare: by the library as a whole
+        cut = [self.words(t) if t and i not in named else [] for i, t in enumerate(texts)]
         if len(self.young) > MEMO_WORDS:
             self.old, self.young = self.young, {}
         new = set().union(*cut) - self.young.keys()
         if new:
             self._learn(new)
         last, get = array("I", [end]).tobytes(), self.young.__getitem__
-        return [b"".join(map(get, w)) + last for w in cut]
+        return [(named[i] if i in named else b"".join(map(get, w))) + last for i, w in enumerate(cut)]
 
 
 class ByteLevelEncoder(WordEncoder):
@@ -174,6 +178,8 @@ class WhiteSpaceEncoder(WordEncoder):
         return text.replace("\n", " ").split(" ")
 
     def parts(self, word: str) -> tuple[str, ...] | None:
+        if _OVER_LATIN1.search(word):       # a letter may become a letter and a mark there
+            return None
         stem = word.rstrip(_TAIL)
         if not stem or not (low := stem.lower())[-1].isalpha():
             return None

@@ -1,10 +1,12 @@
 """SimHash near-duplicates, repeated passages, suffix arrays, components."""
 
 import hashlib
+import os
 import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -13,6 +15,7 @@ from ledgerloom.llm import op7_simhash_dedup as O7
 from ledgerloom.llm import op9_suffix_dedup as O9
 from ledgerloom.llm.components import components
 from ledgerloom.llm.suffix_array import permuted_lcp, suffix_array
+from ledgerloom.session import shared_dir
 from tests.conftest import SF0001
 from tests.llm.conftest import COPY, EDGE, prose
 
@@ -207,3 +210,27 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1001 + i) for i in range(300)] + [(5000, 5000)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert {got[i] for i in range(61)} == {0} and {got[1000 + i] for i in range(301)} == {1000} and 5000 not in got
+
+
+def test_components_of_a_chain_numbered_at_random(spark, monkeypatch):
+    from ledgerloom.llm import components as C
+    stores = []
+    real = C.Scratch.store
+    monkeypatch.setattr(C.Scratch, "store", lambda self, df, name: stores.append(name) or real(self, df, name))
+    n = 100_000
+    name = np.random.default_rng(1).permutation(n + 1)
+    df = spark.createDataFrame(pd.DataFrame({"a": name[:-1], "b": name[1:]}))
+    got = components(df)
+    assert got.count() == n + 1 and got.where("root <> 0").count() == 0
+    assert stores.count("up") < 40
+    assert not [p for p in os.listdir(shared_dir(spark)) if p.startswith(("llm-up-", "llm-edges-"))]
+
+
+def test_near_copies_in_a_chain_are_one_group(spark):
+    """800 fingerprints, each 4 bits from the next; their ends are far apart."""
+    bits = np.random.default_rng(2)
+    fp = [int(bits.integers(0, 1 << 62))]
+    for _ in range(799):
+        fp.append(fp[-1] ^ sum(1 << int(b) for b in bits.choice(63, 4, replace=False)))
+    got = components(O7.linked(spark.createDataFrame([(x,) for x in fp], "fp long"), 4))
+    assert got.count() == 800 and got.select("root").distinct().count() == 1

@@ -23,9 +23,7 @@ from tests.llm.conftest import EDGE
 def tokenizer(name):
     import public_tokenizers
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(name))
 
 
 # --- op2 ---------------------------------------------------------------------
@@ -77,13 +75,14 @@ def test_neighbours_edges(spark):
 # --- tokens and op3 ----------------------------------------------------------
 
 PIECES = ["a", "B", " ", "  ", "\n", " \n", "\n\n", "é", "É", "'s", "don't", "1", "23", "!", ".", ",", "a.", "b, ", ". ", "\t", " ", " ",
-          "ﬁ", "İ", "ß", "<|endoftext|>", "***", "中文", "\x1c", "\x85", "_", "#", "Word.", "’", "́", "ΑΣ", "\x00", "’ll", "\r\n", "K", "œ", "Œ"]
+          "ﬁ", "İ", "ß", "<|endoftext|>", "***", "中文", "\x1c", "\x85", "_", "#", "Word.", "’", "́", "ΑΣ", "\x00", "’ll", "\r\n", "K", "œ", "Œ",
+          "<|startoftext|>", "<|endof", "text|>", "\u095c", "\u092a\u0939\u093e\u0921\u093c,", "\ufb2a", "\u05e9\u05c1", "\u1100\u1161", "A\u030a", "\u01c5", "\u3000"]
 
 
 @pytest.mark.parametrize("name, kind", [("byte_bpe_50k.json", ByteLevelEncoder), ("word_bpe_49k.json", WhiteSpaceEncoder)])
 def test_memoised_ids_equal_the_tokenizers(name, kind):
     r, t, e = random.Random(1), tokenizer(name), kind.get(name)
-    texts = [None, ""] + ["".join(r.choice(PIECES) for _ in range(r.randrange(30))) for _ in range(3000)]
+    texts = [None, ""] + ["".join(r.choice(PIECES) for _ in range(r.randrange(30))) for _ in range(8000)]
     got = [np.frombuffer(x, "<u4").tolist() for x in e.encode(texts, 7)]
     assert got == [t.encode(x or "", add_special_tokens=False).ids + [7] for x in texts]
 
