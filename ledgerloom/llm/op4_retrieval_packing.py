@@ -1,30 +1,34 @@
 """Packing documents into token windows by lexical retrieval.
 
-Document frequencies, document count and mean length are those of the whole
-corpus, and every seed searches all of it. A seed document opens a window; BM25
-with the seed's tokens as the query returns unused documents, best first, and
-they fill the window. The document that reaches the window's end is cut there,
-and its rest is an unused document again.
-
-A table of at most ``SHARD_DOCS`` rows is packed by one task, seed after seed.
-A larger one is packed in rounds: seeds for about half of the unused tokens open
-windows, blocks of open windows meet index shards of the unused documents, the
-shards' top lists are merged, and a document goes to the window it scores best
-in. Windows not yet full search again in the next round. The last ``SHARD_DOCS``
-documents are packed by one task. Windows that no unused document shares a
-weighted token with are laid one after another and cut anew, so that only the
-last of these is padded.
-
-Memory is bounded whatever the table's size: a task holds one index shard
-(``INDEX_DOCS``) and one block of windows (``SEED_BLOCK``). The number of scores
-grows with windows times documents, as the method does.
+Documents are dealt to index shards by content: a document's ``KEY_TERMS``
+heaviest terms (BM25 weight under document frequencies, count and mean length of
+the whole corpus; terms of one document alone left out), the rarest first, are
+its place in one global order, so documents that share rare terms lie side by
+side. The order is cut into range partitions and these into shards of at most
+``SHARD_DOCS`` documents, each cut where neighbours share fewest key terms. In a
+shard a seed document opens a window; BM25 with the seed's tokens as the query
+returns the shard's unused documents, best first, and they fill the window. The
+document that reaches the window's end is cut there, and its rest is the next
+seed. A seed takes no document that scores under ``NEAR_ENOUGH`` of what the
+seed scores itself.
+
+Windows that no unused document fills so are dealt once more, each as one unit,
+by a second key (the same terms in the order of a hash), and retrieve each
+other. What is left then is laid one after another and cut anew, so that only the
+last window of about ``PART_TOKENS`` tokens of such rests is padded. The steps are the same at every size; a table of at most ``SHARD_DOCS``
+documents is one shard, so there each seed searches all of it, and a larger
+``shard_docs`` searches as much more.
+
+The work is linear in the tokens: one shuffle of all ids, two of the rests. A task
+holds one shard's remainders, less than a window each.
 
 Defined results
   null or empty text     one piece, the end id alone
   document over a window its full windows come first, the rest is packed
-  tied BM25 scores       the smaller (doc_id, copy) first in one task, the smaller hash of the row in rounds
+  tied BM25 scores       the one that comes first in the shard's order
   tokens in over half of the documents   weight 0, they retrieve nothing
-  repeated rows          packed each on its own; ``copy`` numbers rows of one doc_id
+  repeated rows          packed each on its own; ``copy`` tells rows of one
+                         doc_id apart, null ids included
   empty table            no rows
   extra columns          ignored
 """
@@ -33,31 +37,44 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import blocks_for, parts, small_batches, stored, table
+from ledgerloom.llm.common import Scratch, blocks_for, small_batches, stored, table
 from ledgerloom.llm.tokens import WhiteSpaceEncoder
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 WINDOW = 2048
-SHARD_DOCS = 768        # a table of at most so many rows is packed by one task
-INDEX_DOCS = 32_768     # documents of an index shard
-SEED_BLOCK = 16_384     # open windows that meet an index shard in one task
-TOP = 16                # best documents an index shard returns; a window short of them asks again
+SHARD_DOCS = 1024       # units of an index shard
+PART_TOKENS = 1 << 21   # tokens of a range partition
+KEY_TERMS = 16
+NEAR_ENOUGH = 0.2       # of a seed's own score: it takes no weaker neighbour
 K1, B = 1.2, 0.75
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """Statistics of all documents: document frequency by token id, count, mean length."""
+    df: np.ndarray
+    n: int
+    mean: float
+
+    @property
+    def idf(self) -> np.ndarray:
+        return np.maximum(0.0, np.log((self.n - self.df + 0.5) / (self.df + 0.5)))
+
+
 class Index:
-    """BM25 inverted index of one packing task's documents."""
+    """BM25 inverted index of one shard's units, with the corpus's statistics
+    (or, without them, the shard's own)."""
 
-    def __init__(self, ids: list[np.ndarray]):
+    def __init__(self, ids: list[np.ndarray], corpus: Corpus | None = None):
         self.n = len(ids)
         found = [np.unique(x, return_counts=True) for x in ids]
         sizes = np.array([len(x[0]) for x in found])
@@ -68,9 +85,9 @@ class Index:
         order = np.argsort(term, kind="stable")
         self.terms, first, df = np.unique(term[order], return_index=True, return_counts=True)
         self.first, self.df = first, df
-        idf = np.maximum(0.0, np.log((self.n - df + 0.5) / (df + 0.5)))
+        idf = corpus.idf[self.terms] if corpus else np.maximum(0.0, np.log((self.n - df + 0.5) / (df + 0.5)))
         self.docs = doc[order]
-        norm = K1 * (1 - B + B * length / max(1.0, length.mean()))
+        norm = K1 * (1 - B + B * length / max(1.0, corpus.mean if corpus else length.mean()))
         w = tf * (K1 + 1) / (tf + norm[doc])
         self.weights = w[order] * np.repeat(idf, df)
         # a document's query: its terms that weigh anything, as places in self.terms
@@ -91,8 +108,9 @@ class Index:
         return np.bincount(self.docs[at], self.weights[at], self.n)
 
 
-def pack(lengths: list[int], index: Index, window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
-    """Pieces (document, start, length, sequence, offset) of one shard."""
+def pack(lengths: list[int], index: Index, window: int = WINDOW, near_enough: float = 0.0) -> list[tuple[int, int, int, int, int]]:
+    """Pieces (document, start, length, sequence, offset) of one shard. A seed
+    takes documents that score over ``near_enough`` of what it scores itself."""
     left, out = list(lengths), []
     fill, sequence, unused = 0, 0, 0        # unused: every document before it is used up
     current = -1                            # the document that was cut last
@@ -119,353 +137,268 @@ def pack(lengths: list[int], index: Index, window: int = WINDOW) -> list[tuple[i
             take(seed)
         if fill:
             score = index.scores(seed)
-            score[seed] = 0
-            near = np.flatnonzero(score > 0)
+            least, score[seed] = near_enough * score[seed], 0
+            near = np.flatnonzero(score > least)
             for d in near[np.argsort(-score[near], kind="stable")]:
                 if left[d]:
                     take(int(d))
                     if not fill:
                         break
+            if fill:                    # nothing unused is near enough: the window stays open
+                fill, sequence, current = 0, sequence + 1, -1
 
 
-def vectors(ids: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-    return [tuple(x.astype("<u4") for x in np.unique(d, return_counts=True)) for d in ids]
-
-
-def encode_rows(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """Every row once, stored: its ids, distinct terms and their counts. ``uid``
-    tells rows apart; ``key`` orders them by content."""
+def encode_rows(docs: DataFrame, vocabulary: str, end_id: int, scratch: Scratch) -> DataFrame:
+    """Every row once, stored: doc_id, uid (tells rows apart), n, ids (16 bits each)."""
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WhiteSpaceEncoder.get(vocabulary).encode
+        encoder = WhiteSpaceEncoder.get(vocabulary)
+        if encoder.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("ids are kept in 16 bits")
+        encode = encoder.encode
         for b in batches:
             raw = encode(b.column("text").to_pylist(), end_id)
-            found = vectors([np.frombuffer(x, "<u4") for x in raw])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("key"), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array(raw, pa.binary()),
-                 pa.array([t.tobytes() for t, _ in found], pa.binary()), pa.array([c.tobytes() for _, c in found], pa.binary())],
-                ["doc_id", "key", "n", "ids", "terms", "tf"])
+            short = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in raw]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array(short, pa.binary())],
+                                             ["doc_id", "n", "ids"])
 
-    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")).mapInArrow(
-        run, f"doc_id {kind}, key long, n long, ids binary, terms binary, tf binary")
-    return stored(rows.withColumn("uid", F.monotonically_increasing_id()), "packing-rows")
+    rows = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, ids binary")
+    return scratch.store(rows.withColumn("uid", F.monotonically_increasing_id()), "packing-rows")
 
 
-def corpus_idf(rows: DataFrame) -> tuple[np.ndarray, float]:
-    """idf by token id, and the mean length, of the whole corpus."""
+def corpus_of(rows: DataFrame) -> tuple[Corpus, int]:
+    """Statistics of the whole corpus, and its tokens; a row a token id is collected."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros(0, np.int64)
+        df = np.zeros(1 << 16, np.int64)
         for b in batches:
-            x = [np.frombuffer(t, "<u4") for t in b.column("terms").to_pylist()]
-            if x:
-                more = np.bincount(np.concatenate(x))
-                df, more = (more, df) if len(more) > len(df) else (df, more)
-                df[:len(more)] += more
+            found = [np.unique(np.frombuffer(x, "<u2")) for x in b.column("ids").to_pylist()]
+            if found:
+                df += np.bincount(np.concatenate(found), minlength=1 << 16)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df[at], pa.int64())], ["term", "df"])
 
-    n, mean = rows.agg(F.count("*"), F.avg("n")).first()
-    found = rows.select("terms").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect()
-    idf = np.zeros(1 + max(r.term for r in found))
-    for r in found:
-        idf[r.term] = max(0.0, np.log((n - r.df + 0.5) / (r.df + 0.5)))
-    return idf, max(1.0, mean)
+    n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    df = np.zeros(1 << 16, np.int64)
+    for r in rows.select("ids").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
+        df[r.term] = r.df
+    return Corpus(df, n, max(1.0, total / max(1, n))), total
+
+
+def key_terms(ids: np.ndarray, corpus: Corpus, idf: np.ndarray) -> np.ndarray:
+    """The heaviest terms that another document has too and that weigh anything."""
+    t, tf = np.unique(ids, return_counts=True)
+    fits = (idf[t] > 0) & (corpus.df[t] > 1)
+    t, tf = t[fits].astype(np.int64), tf[fits]
+    w = idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / corpus.mean))
+    return t[np.lexsort((t, -w))][:KEY_TERMS]
+
+
+def first_key(terms: np.ndarray, corpus: Corpus) -> bytes:
+    return terms[np.lexsort((terms, corpus.df[terms]))].astype(">u4").tobytes()
+
+
+def second_key(terms: np.ndarray) -> bytes:
+    hashed = (terms * 2654435761) % (1 << 32)
+    return np.sort(hashed).astype(">u4").tobytes()
+
+
+@dataclass
+class Unit:
+    """What is packed as one: pieces (doc_id, uid, start, doc_tokens, ids) in a
+    row, and the key it was dealt by."""
+    key: bytes
+    pieces: list[tuple]
+    length: int
+
+    def ids(self) -> np.ndarray:
+        return self.pieces[0][4] if len(self.pieces) == 1 else np.concatenate([p[4] for p in self.pieces])
+
+    def cut(self, start: int, length: int) -> list[tuple]:
+        """The pieces of ``length`` tokens from ``start`` on."""
+        out, at = [], 0
+        for doc_id, uid, first, n, ids in self.pieces:
+            a, z = max(start, at), min(start + length, at + len(ids))
+            if a < z:
+                out.append((doc_id, uid, first + a - at, n, ids[a - at:z - at]))
+            at += len(ids)
+        return out
+
+
+def break_at(units: list[Unit], shard_docs: int) -> int:
+    """Where to end a shard: in its last quarter, where neighbours share fewest
+    key terms (the last such place)."""
+    least, at = KEY_TERMS + 1, shard_docs
+    sets = [set(u.key[i:i + 4] for i in range(0, len(u.key), 4)) for u in units[shard_docs * 3 // 4 - 1:shard_docs + 1]]
+    for i in range(1, len(sets)):
+        same = len(sets[i - 1] & sets[i])
+        if same <= least:
+            least, at = same, shard_docs * 3 // 4 - 1 + i
+    return max(1, at)
+
+
+class Writer:
+    """Rows of one task: pieces of closed windows, and what is left to pack."""
+
+    NAMES = ["doc_id", "uid", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids", "key", "unit"]
+
+    def __init__(self, step: int, kind: pa.DataType):
+        self.next = step << 56 | TaskContext.get().partitionId() << 28
+        self.kind, self.rows = kind, []
+
+    def add(self, pieces: list[tuple], key: bytes | None = None) -> None:
+        """One window's pieces, one after another; closed unless ``key`` says
+        where to deal it next."""
+        offset, self.next = 0, self.next + 1
+        for doc_id, uid, start, n, ids in pieces:
+            crc = zlib.crc32(ids.astype("<u4").tobytes()) if key is None else None
+            self.rows.append((doc_id, uid, start, len(ids), crc, n, self.next, offset, None if key is None else ids.tobytes(), key, self.next))
+            offset += len(ids)
+
+    def flush(self, least: int = 1) -> Iterator[pa.RecordBatch]:
+        if len(self.rows) >= least:
+            kinds = [self.kind, *[pa.int64()] * 7, pa.binary(), pa.binary(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*self.rows), kinds)], self.NAMES)
+            self.rows = []
+
+
+def pack_units(units: list[Unit], corpus: Corpus, window: int, near_enough: float) -> Iterator[tuple[list[tuple], int, Unit]]:
+    """(pieces, tokens, seed) of each window of one shard."""
+    if not units:
+        return
+    windows: dict[int, list[tuple[int, int, int]]] = {}
+    for d, start, n, sequence, _ in pack([u.length for u in units], Index([u.ids() for u in units], corpus), window, near_enough):
+        windows.setdefault(sequence, []).append((d, start, n))
+    for parts in windows.values():
+        yield [p for d, start, n in parts for p in units[d].cut(start, n)], sum(n for *_, n in parts), units[parts[0][0]]
+
+
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[Unit]:
+    """Rows that follow one another and have one ``unit`` are one."""
+    now, unit = None, None
+    for b in batches:
+        cols = [b.column(c).to_pylist() for c in ("unit", "key", "doc_id", "uid", "start", "doc_tokens", "ids")]
+        for u, key, doc_id, uid, start, n, ids in zip(*cols):
+            if u != now:
+                if unit is not None:
+                    yield unit
+                now, unit = u, Unit(key, [], 0)
+            x = np.frombuffer(ids, "<u2")
+            unit.pieces.append((doc_id, uid, start, n, x))
+            unit.length += len(x)
+    if unit is not None:
+        yield unit
+
+
+class Chain:
+    """Windows laid one after another and cut anew."""
+
+    def __init__(self, window: int):
+        self.window, self.pieces, self.fill, self.key = window, [], 0, b""
+
+    def add(self, unit: Unit) -> Iterator[list[tuple]]:
+        at = 0
+        while at < unit.length:
+            n = min(unit.length - at, self.window - self.fill)
+            self.pieces += unit.cut(at, n)
+            at, self.fill, self.key = at + n, self.fill + n, unit.key
+            if self.fill == self.window:
+                yield self.pieces
+                self.pieces, self.fill = [], 0
+
+
+def _step(left: DataFrame, step: int, corpus, window: int, shard_docs: int) -> DataFrame:
+    """One pass over units in the order of their keys: 1 deals what it cannot
+    fill for the second pass, 2 chains it and hands on each task's last
+    window, 3 only chains and closes the last window, too."""
+    names = [f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema]
+    order = ["doc_id", "uid", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids", "key", "unit"]
+    schema = ", ".join(next(x for x in names if x.startswith(f"`{c}`")) for c in order)
+    tokens = left.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    dealt = left.repartitionByRange(blocks_for(tokens, PART_TOKENS, 1), "key", "unit").sortWithinPartitions("key", "unit", "offset")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next((b for b in batches if b.num_rows), None)
+        if first is None:
+            return
+        out, chain, idf = Writer(step, first.schema.field("doc_id").type), Chain(window), corpus.value.idf
+
+        def rest(unit: Unit) -> None:
+            for pieces in chain.add(unit):
+                out.add(pieces)
+
+        def shard(units: list[Unit]) -> None:
+            for pieces, n, seed in pack_units(units, corpus.value, window, NEAR_ENOUGH):
+                if n == window:
+                    out.add(pieces)
+                elif step == 1:
+                    out.add(pieces, second_key(key_terms(seed.ids(), corpus.value, idf)))
+                else:
+                    rest(Unit(seed.key, pieces, n))
+
+        waiting: list[Unit] = []
+        for unit in _units(_and(first, batches)):
+            if step == 3:
+                rest(unit)
+            else:
+                if unit.length >= window:       # full windows first
+                    full = unit.length // window * window
+                    for a in range(0, full, window):
+                        out.add(unit.cut(a, window))
+                    unit = Unit(unit.key, unit.cut(full, unit.length - full), unit.length - full)
+                if unit.length:
+                    waiting.append(unit)
+                if len(waiting) > shard_docs:
+                    at = break_at(waiting, shard_docs)
+                    shard(waiting[:at])
+                    waiting = waiting[at:]
+            yield from out.flush(4096)
+        shard(waiting)
+        if chain.fill:
+            out.add(chain.pieces, None if step == 3 else chain.key)
+        yield from out.flush()
+
+    return dealt.select(*order).mapInArrow(run, schema)
+
+
+def _and(first: pa.RecordBatch, others: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield first
+    yield from others
+
+
+def keyed(rows: DataFrame, corpus) -> DataFrame:
+    """Documents as units of the first pass."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
-def weighted(rows: DataFrame, idf: np.ndarray, mean: float) -> DataFrame:
-    """Terms that weigh anything, and their BM25 weights."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf = corpus.value.idf
         for b in batches:
-            terms, weights = [], []
-            for n, t, c in zip(*(b.column(x).to_pylist() for x in ("n", "terms", "tf"))):
-                t, c = np.frombuffer(t, "<u4"), np.frombuffer(c, "<u4").astype(np.float64)
-                w = idf[t] * c * (K1 + 1) / (c + K1 * (1 - B + B * n / mean))
-                terms.append(t[w > 0].tobytes())
-                weights.append(w[w > 0].astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("key"), b.column("n"), pa.array(terms, pa.binary()),
-                                              pa.array(weights, pa.binary())], ["uid", "key", "n", "terms", "weights"])
-
-    return rows.select("uid", "key", "n", "terms", "tf").mapInArrow(
-        run, "uid long, key long, n long, terms binary, weights binary")
-
-
-def best_of(docs: pa.Table, seeds: pa.Table, most: int) -> pa.Table:
-    """The ``most`` best documents of one index shard for each seed of a block.
-    Terms of many documents are multiplied as dense columns, others by postings."""
-    d_terms = [np.frombuffer(x, "<u4") for x in docs.column("terms").to_pylist()]
-    n, sizes = len(d_terms), np.array([len(x) for x in d_terms])
-    term = np.concatenate(d_terms).astype(np.int64)
-    weight = np.concatenate([np.frombuffer(x, "<f4") for x in docs.column("weights").to_pylist()])
-    doc = np.repeat(np.arange(n), sizes)
-    order = np.argsort(term, kind="stable")
-    doc, weight = doc[order], weight[order]
-    names, first, df = np.unique(term[order], return_index=True, return_counts=True)
-    column = np.full(len(names), -1)
-    often = np.flatnonzero(df > 0.05 * n)
-    column[often] = np.arange(len(often))
-    dense = np.zeros((len(often), n), np.float32)
-    for j, k in enumerate(often):
-        dense[j, doc[first[k]:first[k] + df[k]]] = weight[first[k]:first[k] + df[k]]
-    uid, left = docs.column("uid").to_numpy(), docs.column("left").to_numpy()
-    key, own = docs.column("key").to_numpy(), seeds.column("uid").to_numpy()
-    s_terms = seeds.column("terms").to_pylist()
-    out: list[tuple[np.ndarray, ...]] = []
-    for a in range(0, len(own), 128):
-        asked, rare = np.zeros((min(128, len(own) - a), len(often)), np.float32), []
-        for i, raw in enumerate(s_terms[a:a + 128]):
-            t = np.frombuffer(raw, "<u4")
-            at = np.searchsorted(names, t)
-            t, at = t[at < len(names)], at[at < len(names)]
-            at = at[names[at] == t]
-            asked[i, column[at[column[at] >= 0]]] = 1
-            rare.append(at[column[at] < 0])
-        score = asked @ dense
-        for i, at in enumerate(rare):
-            m = df[at]
-            if total := int(m.sum()):
-                ends = np.cumsum(m)
-                place = np.arange(total) + np.repeat(first[at] - (ends - m), m)
-                score[i] += np.bincount(doc[place], weight[place], n).astype(np.float32)
-            row = score[i]
-            near = np.argpartition(row, n - most)[n - most:] if n > most else np.arange(n)
-            edge = row[near].min()
-            near = np.flatnonzero(row >= edge) if edge > 0 else np.flatnonzero(row > 0)     # ties at the edge
-            near = near[np.lexsort((key[near], -row[near]))][:most]
-            out.append((np.full(len(near), own[a + i]), uid[near], key[near], left[near], row[near]))
-    cols = [np.concatenate(x) for x in zip(*out)] if out else [np.zeros(0)] * 5
-    return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float32()))],
-                    names=["seed", "uid", "key", "left", "score"])
-
-
-def retrieve(pool: DataFrame, open_: DataFrame, n_pool: int, n_open: int, index_docs: int) -> DataFrame:
-    """For each open window its best unused documents over all index shards:
-    as many as its free room takes."""
-    shards, blocks = blocks_for(n_pool, index_docs), blocks_for(n_open, SEED_BLOCK)
-    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
-    docs = pool.select("uid", "key", "left", "terms", "weights", F.pmod(F.xxhash64("uid"), F.lit(shards)).cast("int").alias("shard"),
-                       every(blocks).alias("block"))
-    seeds = open_.select("uid", "terms", F.pmod(F.xxhash64("uid"), F.lit(blocks)).cast("int").alias("block"), every(shards).alias("shard"))
-    schema = "seed long, uid long, key long, left long, score float"
-
-    def run(d: pa.Table, s: pa.Table) -> pa.Table:
-        if not d.num_rows or not s.num_rows:
-            return pa.table({"seed": pa.array([], pa.int64()), "uid": pa.array([], pa.int64()), "key": pa.array([], pa.int64()),
-                             "left": pa.array([], pa.int64()), "score": pa.array([], pa.float32())})
-        return best_of(d, s, TOP + 1)      # itself may be among them
-
-    found = docs.groupBy("shard", "block").cogroup(seeds.groupBy("shard", "block")).applyInArrow(run, schema)
-    by = Window.partitionBy("seed").orderBy(F.desc("score"), "key", "uid")
-    found = found.where("uid != seed")
-    before = F.coalesce(F.sum("left").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rooms = open_.select(F.col("uid").alias("seed"), F.col("key").alias("seed_key"), "fill")
-    return found.withColumn("before", before).join(rooms, "seed")
-
-
-def numbered(df: DataFrame, order: list[str], size: str) -> DataFrame:
-    """``at``: the sum of ``size`` over the rows before, in the given order."""
-    spark = df.sparkSession
-    by = Window.partitionBy("part_").orderBy(*order)
-    dealt = stored(df.repartitionByRange(parts(spark), *order).withColumn("part_", F.spark_partition_id()), "packing-order")
-    sums = {r[0]: r[1] for r in dealt.groupBy("part_").agg(F.sum(size)).collect()}
-    starts, total = [], 0
-    for k in range(1 + max(sums, default=0)):
-        starts.append(total)
-        total += sums.get(k, 0)
-    at = F.sum(size).over(by) - F.col(size) + F.element_at(F.array(*[F.lit(x).cast("long") for x in starts]), F.col("part_") + 1)
-    return dealt.withColumn("at", at).drop("part_")
-
-
-def chain(pieces: DataFrame, blocks: DataFrame, window: int) -> DataFrame:
-    """Windows that found no more neighbours, one after another, cut anew at
-    every window's end; full windows stay as they are (extra -1)."""
-    at = numbered(blocks.select("uid", "key", "fill"), ["key", "uid"], "fill").select(F.col("uid").alias("seed"), "at")
-    placed = pieces.join(at, "seed", "left")
-    kept = placed.where("at is null").select("uid", "start", "length", "seed", F.lit(-1).cast("long").alias("extra"), "offset")
-    a, b = F.col("at") + F.col("offset"), F.col("at") + F.col("offset") + F.col("length")
-    cut = placed.where("at is not null").withColumn("a", a).withColumn("b", b).withColumn(
-        "w", F.explode(F.sequence(F.floor(F.col("a") / window), F.floor((F.col("b") - 1) / window))))
-    lo, hi = F.greatest(F.col("a"), F.col("w") * window), F.least(F.col("b"), (F.col("w") + 1) * window)
-    return kept.unionByName(cut.select("uid", (F.col("start") + lo - F.col("a")).alias("start"), (hi - lo).alias("length"),
-                                       F.lit(-1).cast("long").alias("seed"), F.col("w").cast("long").alias("extra"),
-                                       (lo - F.col("w") * window).alias("offset")))
-
-
-PIECES = "uid long, start long, length long, seed long, offset long"
-
-
-def finish(docs: pa.Table, windows: pa.Table, window: int) -> pa.Table:
-    """The last documents, in one task: each open window in order, then each
-    unused document as a seed, takes the best unused documents."""
-    docs, windows = docs.sort_by([("key", "ascending"), ("uid", "ascending")]), windows.sort_by([("key", "ascending"), ("uid", "ascending")])
-    uid, start, left = (docs.column(c).to_pylist() for c in ("uid", "start", "left"))
-    terms = [np.frombuffer(x, "<u4") for x in docs.column("terms").to_pylist()]
-    n = len(uid)
-    term = np.concatenate([np.zeros(0, np.uint32), *terms])
-    order = np.argsort(term, kind="stable")
-    doc = np.repeat(np.arange(n), [len(x) for x in terms])[order]
-    weight = np.concatenate([np.zeros(0, "<f4"), *(np.frombuffer(x, "<f4") for x in docs.column("weights").to_pylist())])[order]
-    names, first, df = np.unique(term[order], return_index=True, return_counts=True)
-    out: list[tuple[int, int, int, int, int]] = []
-
-    def fill_up(seed: int, fill: int, asked: np.ndarray) -> None:
-        at = np.flatnonzero(np.isin(names, asked))
-        m = df[at]
-        ends = np.cumsum(m)
-        place = np.arange(int(m.sum())) + np.repeat(first[at] - (ends - m), m)
-        score = np.bincount(doc[place], weight[place], n)
-        near = np.flatnonzero(score > 0)
-        for d in near[np.argsort(-score[near], kind="stable")]:
-            if fill == window:
-                return
-            if left[d]:
-                take = min(left[d], window - fill)
-                out.append((uid[d], start[d], take, seed, fill))
-                start[d], left[d], fill = start[d] + take, left[d] - take, fill + take
-
-    for seed, fill, asked in zip(*(windows.column(c).to_pylist() for c in ("uid", "fill", "terms"))):
-        fill_up(seed, fill, np.frombuffer(asked, "<u4"))
-    for d in range(n):
-        if left[d]:
-            out.append((uid[d], start[d], left[d], uid[d], 0))
-            fill, left[d] = left[d], 0
-            fill_up(uid[d], fill, terms[d])
-    return pa.table([pa.array(c, pa.int64()) for c in (zip(*out) if out else [()] * 5)], names=["uid", "start", "length", "seed", "offset"])
-
-
-def pack_corpus(rows: DataFrame, window: int, shard_docs: int, index_docs: int) -> DataFrame:
-    """Pieces (uid, start, length, seed, extra, offset) of all rows, in rounds.
-    A round opens windows for about half of the unused tokens; every open window
-    searches all unused documents and asks for the best that fill it. A document
-    goes to the window it scores best in. A new seed gives its own window up if
-    that one is an older window, or a new seed of a smaller key."""
-    idf, mean = corpus_idf(rows)
-    rest = F.col("n") % window
-    unused = stored(weighted(rows, idf, mean).withColumn("start", F.col("n") - rest).withColumn("left", rest).where("left > 0").drop("n"), "packing-pool")
-    piece = lambda df, length: df.select("uid", "start", F.col(length).alias("length"), "seed", "offset")
-    alone = lambda df: df.select("uid", "start", F.col("left").alias("length"), F.col("uid").alias("seed"), F.lit(0).cast("long").alias("offset"))
-    plain = unused.where(F.length("terms") == 0)        # retrieve nothing
-    pieces, blocks = [alone(plain)], [plain.select("uid", "key", F.col("left").alias("fill"))]
-    pool, turn = unused.where(F.length("terms") > 0), 0
-    open_ = pool.select("uid", "key", F.col("left").alias("fill"), "terms").limit(0)
-    while True:
-        n, tokens = pool.agg(F.count("*"), F.coalesce(F.sum("left"), F.lit(0))).first()
-        n_open, free = open_.agg(F.count("*"), F.coalesce(F.sum(F.lit(window) - F.col("fill")), F.lit(0))).first()
-        if n <= shard_docs and n_open <= SEED_BLOCK:
-            break
-        share = max(1 / n, (tokens / 2 - free) / window / n) if n else 0
-        draw = F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
-        new = pool.where(draw < share).select("uid", "key", F.col("left").alias("fill"), "terms")
-        asking = stored(open_.withColumn("fresh", F.lit(False)).unionByName(new.withColumn("fresh", F.lit(True))), "packing-open")
-        n_open = asking.count()
-        turn += 1
-        if not n_open:
-            continue
-        found = stored(retrieve(pool, asking, n, n_open, index_docs), "packing-found")
-        fresh = asking.where("fresh").select("uid", F.lit(True).alias("seeds"))
-        asked = found.where(F.col("before") < window - F.col("fill")).join(fresh, "uid", "left").join(
-            fresh.select(F.col("uid").alias("seed"), F.col("seeds").alias("seed_fresh")), "seed", "left")
-        older = F.col("seed_fresh").isNull() | (F.struct("seed_key", "seed") < F.struct("key", "uid"))
-        top = Window.partitionBy("uid").orderBy(F.desc("score"), "seed_key", "seed")
-        gives_up = stored(asked.where("seeds").withColumn("older", older).withColumn("nth", F.row_number().over(top)).where(
-            "nth = 1 and older").select("uid"), "packing-given-up")
-        stay = stored(fresh.join(gives_up, "uid", "left_anti").select("uid"), "packing-seeds")
-        won = asked.join(gives_up.select(F.col("uid").alias("seed")), "seed", "left_anti").join(stay, "uid", "left_anti").groupBy("uid").agg(
-            F.max_by(F.struct("seed", "score", "key", "left", "fill"), F.struct("score", -F.col("seed_key"), -F.col("seed"))).alias("best"))
-        by = Window.partitionBy("seed").orderBy(F.desc("score"), "key", "uid")
-        so_far = F.coalesce(F.sum("left").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        got = stored(won.select("uid", "best.*").withColumn("offset", F.col("fill") + so_far).withColumn(
-            "take", F.least("left", F.lit(window) - F.col("offset"))).select("seed", "uid", "offset", "take"), "packing-got")
-        seeds = stay.join(pool, "uid")
-        pieces.append(stored(alone(seeds), "packing-pieces"))
-        now = stored(pool.join(stay, "uid", "left_anti").join(got, "uid", "left"), "packing-pool")
-        pieces.append(piece(now.where("seed is not null"), "take"))
-        taken = F.coalesce("take", F.lit(0))
-        pool = now.select("uid", "key", "terms", "weights", (F.col("start") + taken).alias("start"), (F.col("left") - taken).alias("left")).where("left > 0")
-        more = got.groupBy(F.col("seed").alias("uid")).agg(F.sum("take").alias("more"))
-        some = found.select(F.col("seed").alias("uid"), F.lit(True).alias("some")).distinct()
-        state = stored(asking.join(gives_up, "uid", "left_anti").join(more, "uid", "left").join(some, "uid", "left").withColumn(
-            "fill", F.col("fill") + F.coalesce("more", F.lit(0))).where(F.col("fill") < window), "packing-state")
-        blocks.append(state.where("some is null").select("uid", "key", "fill"))     # nothing unused shares a token with them
-        open_ = state.where("some").select("uid", "key", "fill", "terms")
-    one = lambda df: df.withColumn("one", F.lit(0)).groupBy("one")
-    last = stored(one(pool).cogroup(one(open_)).applyInArrow(lambda d, w: finish(d, w, window), PIECES), "packing-last")
-    pieces.append(last)
-    ends = last.groupBy("seed").agg(F.sum("length").alias("more"))
-    opened = open_.select(F.col("uid").alias("seed"), "key", "fill").join(ends, "seed", "left").select(
-        F.col("seed").alias("uid"), "key", (F.col("fill") + F.coalesce("more", F.lit(0))).alias("fill"))
-    begun = last.where("offset = 0").select("seed").join(ends, "seed").join(pool.select(F.col("uid").alias("seed"), "key"), "seed").select(
-        F.col("seed").alias("uid"), "key", F.col("more").alias("fill"))
-    blocks += [x.where(F.col("fill") < window) for x in (opened, begun)]
-    out = chain(reduce(DataFrame.unionByName, pieces), stored(reduce(DataFrame.unionByName, blocks), "packing-blocks"), window)
-    full = rows.where(F.col("n") >= window).select("uid", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("n") / window) - 1)).alias("w"))
-    return out.unionByName(full.select("uid", (F.col("w") * window).alias("start"), F.lit(window).cast("long").alias("length"),
-                                       F.col("uid").alias("seed"), (-2 - F.col("w")).alias("extra"), F.lit(0).cast("long").alias("offset")))
+            keys = [first_key(key_terms(np.frombuffer(x, "<u2"), corpus.value, idf), corpus.value) for x in b.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "uid", "n", "ids")), pa.array(keys, pa.binary())],
+                                             ["doc_id", "uid", "n", "ids", "key"])
+
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
+    return rows.select("doc_id", "uid", "n", "ids").mapInArrow(run, f"doc_id {kind}, uid long, n long, ids binary, key binary").select(
+        "doc_id", "uid", zero.alias("start"), F.col("n").alias("length"), none.alias("ids_crc32"), F.col("n").alias("doc_tokens"),
+        none.alias("sequence_id"), zero.alias("offset"), "ids", "key", F.col("uid").alias("unit"))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_ID, window: int = WINDOW,
-                   shard_docs: int = SHARD_DOCS, index_docs: int = INDEX_DOCS) -> DataFrame:
+                   shard_docs: int = SHARD_DOCS) -> DataFrame:
     """One row a piece: doc_id, copy, start, length, ids_crc32, doc_tokens,
     sequence_id, offset."""
-    kind = docs.schema["doc_id"].dataType
-    schema = (f"doc_id {kind.simpleString()}, copy int, start long, length long, ids_crc32 long, doc_tokens long, "
-              "sequence_id long, offset long")
-    if docs.count() > shard_docs:
-        return pack_large(docs, vocabulary, end_id, window, shard_docs, index_docs, schema)
-
-    def run(t: pa.Table) -> pa.Table:
-        rows = sorted(zip(t.column("doc_id").to_pylist(), t.column("text").to_pylist()),
-                      key=lambda r: (r[0] is not None, 0 if r[0] is None else r[0], r[1] or ""))
-        raw = WhiteSpaceEncoder.get(vocabulary).encode([r[1] for r in rows], end_id)
-        ids = [np.frombuffer(x, "<u4") for x in raw]
-        copy = [0] * len(rows)
-        for i in range(1, len(rows)):
-            if rows[i][0] == rows[i - 1][0]:
-                copy[i] = copy[i - 1] + 1
-        pieces = pack([len(x) for x in ids], Index(ids), window)
-        return pa.table({
-            "doc_id": pa.array([rows[d][0] for d, *_ in pieces], t.column("doc_id").type),
-            "copy": pa.array([copy[d] for d, *_ in pieces], pa.int32()),
-            "start": pa.array([p[1] for p in pieces], pa.int64()),
-            "length": pa.array([p[2] for p in pieces], pa.int64()),
-            "ids_crc32": pa.array([zlib.crc32(raw[d][4 * s:4 * (s + n)]) for d, s, n, *_ in pieces], pa.int64()),
-            "doc_tokens": pa.array([len(ids[d]) for d, *_ in pieces], pa.int64()),
-            "sequence_id": pa.array([p[3] for p in pieces], pa.int64()),
-            "offset": pa.array([p[4] for p in pieces], pa.int64())})
-
-    return docs.select(F.lit(0).alias("shard"), "doc_id", "text").groupBy("shard").applyInArrow(run, schema)
-
-
-def pack_large(docs: DataFrame, vocabulary: str, end_id: int, window: int, shard_docs: int, index_docs: int,
-               schema: str) -> DataFrame:
-    """Pieces of a table of more than one packing task."""
-    rows = encode_rows(docs, vocabulary, end_id)
-    pieces = pack_corpus(rows, window, shard_docs, index_docs)
-    same = Window.partitionBy("doc_id").orderBy("key", "uid")
-    names = rows.select("uid", "doc_id", "key", F.lit(1).cast("long").alias("one"))
-    names = numbered(names.withColumn("copy", F.row_number().over(same) - 1), ["key", "uid"], "one").select(
-        "uid", "doc_id", "copy", F.col("at").alias("number"))
-    seeds = names.select(F.col("uid").alias("seed"), F.col("number").alias("seed_number"))
-    # a seed's own window 0, its full windows from 1 on; windows without a seed are negative
-    number = F.when(F.col("seed") < 0, -1 - F.col("extra")).otherwise(
-        F.col("seed_number") * (1 << 24) + F.when(F.col("extra") < -1, -1 - F.col("extra")).otherwise(0))
-    placed = pieces.join(seeds, "seed", "left").select("uid", F.struct("start", "length", number.alias("sequence_id"), "offset").alias("piece"))
-    whole = placed.groupBy("uid").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at, out = [], []
-            for i, (raw, pieces) in enumerate(zip(b.column("ids").to_pylist(), b.column("pieces").to_pylist())):
-                for p in pieces:
-                    at.append(i)
-                    s, n = p["start"], p["length"]
-                    out.append((s, n, zlib.crc32(raw[4 * s:4 * (s + n)]), len(raw) // 4, p["sequence_id"], p["offset"]))
-            cols = [pa.array(x, pa.int64()) for x in zip(*out)] if out else [pa.array([], pa.int64())] * 6
-            yield pa.RecordBatch.from_arrays([b.column(c).take(pa.array(at, pa.int64())) for c in ("doc_id", "copy")] + cols,
-                                             ["doc_id", "copy", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-
-    return names.select("uid", "doc_id", "copy").join(whole, "uid").join(rows.select("uid", "ids"), "uid").mapInArrow(run, schema)
+    spark = docs.sparkSession
+    scratch = Scratch(spark)
+    rows = encode_rows(docs, vocabulary, end_id, scratch)
+    found, _ = corpus_of(rows)
+    corpus = spark.sparkContext.broadcast(found)        # a number for each of 65,536 ids
+    first = stored(_step(keyed(rows, corpus), 1, corpus, window, shard_docs), "packing-first")
+    second = stored(_step(first.where("ids is not null"), 2, corpus, window, shard_docs), "packing-second")
+    third = stored(_step(second.where("ids is not null"), 3, corpus, window, shard_docs), "packing-third")
+    scratch.drop()
+    closed = first.where("ids is null").unionByName(second.where("ids is null")).unionByName(third)
+    return closed.select("doc_id", F.col("uid").alias("copy"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op4_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -473,5 +406,6 @@ def op4_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the packed pieces of the documents that are left."""
+    """Pipeline stage: the packed pieces of the documents that are left. Null
+    texts, repeated and null ids, an empty table: as in ``pack_documents``."""
     return pack_documents(docs.select("doc_id", "text"))

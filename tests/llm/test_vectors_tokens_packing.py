@@ -224,44 +224,39 @@ def planted(n, seed=0):
     return docs
 
 
-@pytest.mark.parametrize("n, shard_docs, index_docs", [(60, 100, 16), (60, 16, 16), (1200, 100, 200)])
-def test_related_documents_share_a_window_at_every_size(spark, n, shard_docs, index_docs):
-    """Related pairs meet whatever the number of packing tasks and index shards."""
+@pytest.mark.parametrize("n, shard_docs", [(60, 1024), (60, 16), (1200, 1024), (1200, 64), (6000, 256)])
+def test_related_documents_share_a_window_at_every_size(spark, monkeypatch, n, shard_docs):
+    """Related pairs meet whatever the number of index shards and tasks."""
     docs = planted(n)
     t = tokenizer(O4.VOCABULARY)
     size, = {len(t.encode(x, add_special_tokens=False).ids) + 1 for _, x in docs}
     window = 2 * size
+    monkeypatch.setattr(O4, "PART_TOKENS", 1 << 16)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    got = O4.pack_documents(df, window=window, shard_docs=shard_docs, index_docs=index_docs).collect()
+    got = O4.pack_documents(df, window=window, shard_docs=shard_docs).collect()
     seen = defaultdict(set)
     for r in got:
         seen[r.doc_id].add(r.sequence_id)
     assert len(seen) == n
     together = sum(bool(seen[i] & seen[i + 10**6]) for i in range(n // 2))
-    assert together >= 0.95 * (n // 2), together
+    assert together >= 0.9 * (n // 2), together
     assert sum(r.length for r in got) >= 0.9 * window * (len({r.sequence_id for r in got}) - 1)
 
 
-def test_index_shards_return_the_best_of_the_corpus(spark):
-    """Scores use the corpus's statistics: the best documents of all shards
-    together are a single index's, and rooms are filled by them."""
-    docs = planted(300, 3)
-    rows = O4.encode_rows(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), O4.VOCABULARY, O4.END_ID)
-    idf, mean = O4.corpus_idf(rows)
-    pool = O4.weighted(rows, idf, mean).withColumnRenamed("n", "left").cache()
-    place = {r.uid: r.doc_id for r in rows.collect()}
-    ids = [np.frombuffer(r.ids, "<u4") for r in rows.orderBy("doc_id").collect()]
-    order = sorted(d for d, _ in docs)
-    index = O4.Index(ids)
-    open_ = pool.select("uid", "key", F.lit(0).alias("fill"), "terms")
-    got = defaultdict(dict)
-    for r in O4.retrieve(pool, open_, 300, 300, 40).collect():
-        got[place[r.seed]][place[r.uid]] = r.score
-    for i, d in enumerate(order):
-        want = index.scores(i)
-        want[i] = 0
-        best = np.argsort(-want, kind="stable")[:5]
-        assert all(got[d][order[j]] == pytest.approx(want[j], rel=1e-4) for j in best if want[j] > 0)
+def test_shards_score_with_the_statistics_of_the_corpus():
+    rng = np.random.default_rng(3)
+    ids = [rng.zipf(1.4, int(n)).astype(np.uint32) % 80 for n in rng.integers(1, 90, 60)]
+    df = np.bincount(np.concatenate([np.unique(x) for x in ids]), minlength=100)
+    corpus = O4.Corpus(df, 60, float(np.mean([len(x) for x in ids])))
+    whole, shard = O4.Index(ids), O4.Index(ids[20:40], corpus)
+    for seed in range(20):
+        assert shard.scores(seed) == pytest.approx(whole.scores(20 + seed)[20:40])
+
+
+def test_a_shard_ends_between_unrelated_documents():
+    key = lambda *t: np.array(t, ">u4").tobytes()
+    units = [O4.Unit(key(i // 2, 1000 + i // 2), [], 0) for i in range(17)]
+    assert O4.break_at(units, 16) == 16 and O4.break_at(units[1:] + units[:1], 15) % 2 == 1
 
 
 # --- op8 ---------------------------------------------------------------------
@@ -362,4 +357,4 @@ def test_every_query_is_registered():
 
     names = set(E.queries())
     assert {n for n in names if n.startswith("op")} and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
