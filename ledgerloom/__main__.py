@@ -64,7 +64,7 @@ def main(argv=None) -> int:
         from ledgerloom.sources.landing import write_landing
         for name, path in write_landing(spark, args.sf_dir, args.landing, args.ingestion_date,
                                         args.year, args.month).items():
-            print(f"{name}\t{path}")
+            print(f"{name}\t{path or 'missing, skipped'}")
         return 0
 
     from ledgerloom.plans.pipeline import PipelineError, run_pipeline

@@ -14,8 +14,10 @@ parallel, nothing passes through the driver.
 
 from __future__ import annotations
 
+import logging
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,8 @@ from pyspark.sql import types as T
 from ledgerloom.functions.variant import utc_now
 from ledgerloom.schemas import CSV_NULL_MARKERS, CSV_TABLES, LANDING_PREFIX, MAX_LENGTH
 
+logger = logging.getLogger(__name__)
+
 # CSV dialect shared by writer and reader: '"' quotes and escapes itself,
 # timestamps keep microseconds.
 CSV_OPTIONS = {
@@ -67,16 +71,25 @@ def write_json_landing(json_lines: DataFrame, root: str, year: int | None = None
 
 
 def write_landing(spark: SparkSession, sf_dir: str, root: str, ingestion_date: str, year: int | None = None,
-                  month: int | None = None, threads: int = 4) -> dict[str, str]:
-    """Land all five sources derived from the driver tables (concurrent jobs)."""
+                  month: int | None = None, threads: int = 4) -> dict[str, str | None]:
+    """Land all five sources derived from the driver tables (concurrent jobs).
+    A source whose input is not there is reported (logged, and None in the
+    result) and skipped; the others are landed."""
     from ledgerloom.plans.parallel import run_concurrently
     from ledgerloom.sources import driver_tables as DT
-    frames = {name: getattr(DT, name)(spark, sf_dir) for name in CSV_TABLES}
-    events = DT.event_json_lines(spark, sf_dir)
-    tasks = {name: (lambda n=name, d=df: write_csv_landing(d, root, n, ingestion_date))
-             for name, df in frames.items()}
-    tasks["ai_usage_events"] = lambda: write_json_landing(events, root, year, month)
-    return run_concurrently(tasks, threads)
+    builders = {name: getattr(DT, name) for name in CSV_TABLES} | {"ai_usage_events": DT.event_json_lines}
+    frames: dict[str, DataFrame] = {}
+    for name, build in builders.items():
+        try:
+            frames[name] = build(spark, sf_dir)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            logger.warning("source %s skipped: %s", name, str(e).splitlines()[0])
+    tasks = {name: (lambda n=name, d=df: write_csv_landing(d, root, n, ingestion_date) if n in CSV_TABLES
+                    else write_json_landing(d, root, year, month)) for name, df in frames.items()}
+    landed = run_concurrently(tasks, threads)
+    return {name: landed.get(name) for name in builders}
 
 
 # ---------------------------------------------------------------- loads (SRC1/2, LD1-6, LD8)

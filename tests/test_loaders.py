@@ -195,3 +195,21 @@ def test_incremental_multiline(spark, scratch):
     assert incremental_csv_load(spark, os.path.join(scratch, "postgres/accounts"), "accounts", t,
                                 os.path.join(scratch, "ck"), multiline=True) == 1
     assert read_target(spark, t, "accounts").first().account_name == "two\nlines"
+
+
+def test_missing_source_is_reported_and_skipped(spark, scratch, caplog):
+    from tests.conftest import SF0001
+    tables = os.path.join(scratch, "tables")
+    os.makedirs(tables)
+    for name in ("customer", "supplier", "nation", "region", "orders"):
+        os.symlink(f"{SF0001}/{name}.parquet", f"{tables}/{name}.parquet")
+    landed = L.write_landing(spark, tables, os.path.join(scratch, "landing"), "2026-10-02")
+    assert landed["support_tickets"] is None and landed["ai_usage_events"] is None and landed["accounts"]
+    assert "support_tickets skipped" in caplog.text
+    with pytest.raises(L.MissingSourceError, match="ai_usage_events"):
+        L.require_sources(spark, os.path.join(scratch, "landing"))
+
+
+def test_files_of_an_unfinished_write_are_not_present(spark, scratch):
+    _write(scratch, "postgres/accounts/_temporary/0/task/part-0.csv", "x\n")
+    assert not L.has_files(spark, os.path.join(scratch, "postgres/accounts"))
