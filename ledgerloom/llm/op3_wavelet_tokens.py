@@ -13,7 +13,7 @@ mounted path, hdfs, s3, gs).
 Defined results
   null or empty text    only the end id
   very long text        encoded whole; a shard holds at least one document
-  special-token strings in a text    ordinary text
+  special-token strings in a text    the ids the library gives by default
   null doc_id           first, before all numbers
   repeated doc_id       equal ids are neighbours, ordered by a hash of their text
   empty table           no files, no rows

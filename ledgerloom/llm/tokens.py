@@ -17,6 +17,8 @@ from array import array
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 assert array("I").itemsize == 4 and sys.byteorder == "little"
 
@@ -38,6 +40,12 @@ _TIGHT = re.compile(r" \s| \Z")
 _CUT = re.compile(r"(?= \S)")
 _OVER_LATIN1 = re.compile("[^\x00-\xff]")
 _TAIL = ".,;:!?#*$%&|"
+# Byte-level pieces spell a byte as the character of its number, or, where that
+# is no visible one, as the next from U+0100 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 255 and b != 173)]
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_HIDDEN)}
+_BLANK = chr(_BYTE_LETTERS[32])
+_CUTS = pa.large_list(pa.large_string())
 
 
 def plain(text: str) -> bool:
@@ -82,8 +90,13 @@ class WordEncoder:
             cls._own[name] = cls(path)
         return cls._own[name]
 
-    def words(self, text: str) -> list[str]:
-        """Names of pieces whose ids, one after another, are the text's."""
+    def names_token(self, text: str) -> bool:
+        """Whether the text, or what ``words`` makes of it, holds a named token's string."""
+        return any(x in text for x in self.named)
+
+    def words(self, text: str) -> str | list[str]:
+        """Names of pieces whose ids, one after another, are the text's: a list,
+        or one string that is to be cut at every blank."""
         raise NotImplementedError
 
     def parts(self, word: str) -> tuple[str, ...] | None:
@@ -96,6 +109,12 @@ class WordEncoder:
         """The piece that a name stands for."""
         return word
 
+    @staticmethod
+    def symbols(word: str) -> str | None:
+        """What normalising and cutting make of a piece, where that is plain:
+        the library's model takes it at once. None: the whole library does it."""
+        return None
+
     def _learn(self, words: Iterable[str]) -> None:
         young, old, parts = self.young, self.old, self.parts
         todo: set[str] = set()
@@ -112,14 +131,30 @@ class WordEncoder:
                         young[p] = old[p]
                     elif p not in young:
                         todo.add(p)
-        new = list(todo)
+        symbols, tokenize, new = self.symbols, self.tokenizer.model.tokenize, []
+        for w in todo:
+            if (x := symbols(w)) is None:
+                new.append(w)
+            else:
+                young[w] = array("I", [t.id for t in tokenize(x)]).tobytes()
         for k in range(0, len(new), 4096):
             part = new[k:k + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(list(map(self.spelled, part)), add_special_tokens=False)):
-                young[w] = array("I", e.ids).tobytes()
+            young.update(zip(part, self._ids(list(map(self.spelled, part)))))
         for w in joined:
             young[w] = b"".join(map(young.__getitem__, parts(w)))
 
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece. The library cuts at a named token before anything
+        else, so pieces with one between them are encoded in one call."""
+        fast = self.tokenizer.encode_batch_fast
+        if self.named:
+            ids = np.array(fast([self.named[0].join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.tokenizer.token_to_id(self.named[0])), len(ids)).tolist()
+            if len(ends) == len(pieces):
+                raw = ids.tobytes()
+                return [raw[4 * a:4 * z] for a, z in zip([0, *(z + 1 for z in ends)], ends)]
+        return [array("I", e.ids).tobytes() for e in fast(pieces, add_special_tokens=False)]
+
     def encode(self, texts: list[str | None], end: int) -> list[bytes]:
         """Ids of each text with ``end`` after them."""
         gc.disable()        # many small objects, no cycles
@@ -129,25 +164,51 @@ class WordEncoder:
             gc.enable()
 
     def _encode(self, texts: list[str | None], end: int) -> list[bytes]:
-        named = {i: array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes()
-                 for i, t in enumerate(texts) if t and any(x in t for x in self.named)}     # rare: by the library as a whole
-        cut = [self.words(t) if t and i not in named else [] for i, t in enumerate(texts)]
         if len(self.young) > MEMO_WORDS:
             self.old, self.young = self.young, {}
-        new = set().union(*cut) - self.young.keys()
-        if new:
-            self._learn(new)
-        last, get = array("I", [end]).tobytes(), self.young.__getitem__
-        return [(named[i] if i in named else b"".join(map(get, w))) + last for i, w in enumerate(cut)]
+        last = array("I", [end]).tobytes()
+        out = [last] * len(texts)
+        spaced, listed = [], []             # texts cut at every blank, and texts cut otherwise
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            if self.names_token(t):                 # rare: by the library as a whole
+                out[i] = array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() + last
+                continue
+            cut = self.words(t)
+            (spaced if isinstance(cut, str) else listed).append((i, cut))
+        at = [i for i, _ in spaced + listed]
+        if not at:
+            return out
+        cuts = pa.concat_arrays([pc.split_pattern(pa.array([x for _, x in spaced], pa.large_string()), " ").cast(_CUTS),
+                                 pa.array([x for _, x in listed], _CUTS)])
+        coded = cuts.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()      # a batch's distinct words
+        ids = list(map(self.young.get, words))
+        if new := [k for k, x in enumerate(ids) if x is None]:
+            self._learn([words[k] for k in new])
+            for k in new:
+                ids[k] = self.young[words[k]]
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(size) - size
+        place = coded.indices.to_numpy()
+        n = size[place]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        raw = flat[np.arange(ends[-1]) + np.repeat(first[place] - ends[:-1], n)].tobytes()
+        edges = (4 * ends[cuts.offsets.to_numpy()]).tolist()
+        for i, a, z in zip(at, edges, edges[1:]):
+            out[i] = raw[a:z] + last
+        return out
 
 
 class ByteLevelEncoder(WordEncoder):
     """Byte-level BPE: a blank belongs to the word after it. A piece's name is
     the piece without its leading blank, or \\0 or \\1 and a piece without one."""
 
-    def words(self, text: str) -> list[str]:
+    def words(self, text: str) -> str | list[str]:
         if plain(text):
-            return ("\1" + text.replace(",", " \0,").replace(".", " \0.").replace("\n", " \0\n \1")).split(" ")
+            return "\1" + text.replace(",", " \0,").replace(".", " \0.").replace("\n", " \0\n \1")
         if not _TIGHT.search(text):
             cut = text.split(" ")
             return ["\1" + cut[0], *(w if w[:1] not in ("\0", "\1") else "\1 " + w for w in cut[1:])]
@@ -157,6 +218,18 @@ class ByteLevelEncoder(WordEncoder):
     def spelled(word: str) -> str:
         return word[1:] if word[:1] in ("\0", "\1") else " " + word
 
+    @staticmethod
+    def symbols(word: str) -> str | None:
+        """A blank and letters are one piece; its bytes are spelled as letters."""
+        bare = word[1:] if word[:1] in ("\0", "\1") else word
+        if not bare.isalpha():
+            return None
+        if not bare.isascii():
+            if _OVER_LATIN1.search(bare):
+                return None
+            bare = bare.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return bare if word[:1] in ("\0", "\1") else _BLANK + bare
+
     def parts(self, word: str) -> tuple[str, ...] | None:
         """Letters, then ASCII marks: always apart before merging."""
         if "\n" in word:
@@ -171,11 +244,21 @@ class WhiteSpaceEncoder(WordEncoder):
     """BPE with word ends, white space dropped and letters lower-cased: words
     are apart at white space, and letters from marks."""
 
-    def words(self, text: str) -> list[str]:
+    def names_token(self, text: str) -> bool:
+        return super().names_token(text) or super().names_token(text.lower())
+
+    def words(self, text: str) -> str | list[str]:
         if plain(text):
             if text.isascii() or not _OVER_LATIN1.search(text):     # lower-casing is one to one there
                 text = text.lower().replace(",", " ,").replace(".", " .")
-        return text.replace("\n", " ").split(" ")
+        return text.replace("\n", " ")
+
+    @staticmethod
+    def symbols(word: str) -> str | None:
+        """Lower-case letters of Latin-1 are one piece and stay as they are."""
+        if not (word.isalpha() and word.islower()) or _OVER_LATIN1.search(word):
+            return None
+        return word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LETTERS)
 
     def parts(self, word: str) -> tuple[str, ...] | None:
         if _OVER_LATIN1.search(word):       # a letter may become a letter and a mark there
