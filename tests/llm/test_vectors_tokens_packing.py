@@ -75,7 +75,7 @@ def test_neighbours_edges(spark):
 # --- tokens and op3 ----------------------------------------------------------
 
 PIECES = ["a", "B", " ", "  ", "\n", " \n", "\n\n", "é", "É", "'s", "don't", "1", "23", "!", ".", ",", "a.", "b, ", ". ", "\t", " ", " ",
-          "ﬁ", "İ", "ß", "<|endoftext|>", "***", "中文", "\x1c", "\x85", "_", "#", "Word.", "’", "́", "ΑΣ", "\x00", "’ll", "\r\n", "K", "œ", "Œ",
+          "ﬁ", "İ", "ß", "<|endoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "***", "中文", "\x1c", "\x85", "_", "#", "Word.", "’", "́", "ΑΣ", "\x00", "’ll", "\r\n", "K", "œ", "Œ",
           "<|startoftext|>", "<|endof", "text|>", "\u095c", "\u092a\u0939\u093e\u0921\u093c,", "\ufb2a", "\u05e9\u05c1", "\u1100\u1161", "A\u030a", "\u01c5", "\u3000"]
 
 
