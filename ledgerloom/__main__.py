@@ -49,7 +49,7 @@ def main(argv=None) -> int:
     run.add_argument("--archive-dir", default=None)
     run.add_argument("--threads", type=int, default=4, help="concurrent table writes")
     run.add_argument("--multiline-csv", action="store_true",
-                     help="CSV fields may hold line breaks (a file is then read by one task)")
+                     help="CSV fields may hold line breaks")
 
     clean = sub.add_parser("clean", help="remove old run folders from the shared folder")
     clean.add_argument("--older-than-hours", type=float, default=24.0)

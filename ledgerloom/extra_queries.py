@@ -90,6 +90,14 @@ def _load_csv(source):
     return run
 
 
+def _load_csv_line_breaks(spark, sf_dir):
+    """Accounts landed with a line break in every name, read by records that span lines."""
+    named = F.concat("account_name", F.lit("\nof "), F.coalesce("country", F.lit("nowhere")))
+    accounts = DT.accounts(spark, sf_dir).withColumn("account_name", named)
+    path = L.write_csv_landing(accounts, run_dir(spark, "landing"), "accounts", INGESTION_DATE)
+    return _cmp(L.load_csv(spark, path, "accounts", multiline=True))
+
+
 def _load_json(spark, sf_dir):
     """Land every event as a JSON line, load as VARIANT, flatten through staging."""
     root = run_dir(spark, "landing")
@@ -192,6 +200,7 @@ def queries() -> dict:
         "load_accounts": _load_csv("accounts"),
         "load_subscriptions": _load_csv("subscriptions"),
         "load_support_tickets": _load_csv("support_tickets"),
+        "load_csv_line_breaks": _load_csv_line_breaks,
         "load_json_variant": _load_json,
         "landing_roundtrip": _landing_roundtrip,
         "incremental_load": _incremental,

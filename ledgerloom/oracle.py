@@ -427,6 +427,8 @@ EXTRA_SQL = {
     "preview_events_alt": with_models(_PREVIEW_ALT),
     "load_csv": model_select("payments"),
     "load_accounts": model_select("accounts"),
+    "load_csv_line_breaks": with_models("""
+        SELECT * REPLACE (account_name || chr(10) || 'of ' || coalesce(country, 'nowhere') AS account_name) FROM accounts"""),
     "load_subscriptions": model_select("subscriptions"),
     "load_support_tickets": model_select("support_tickets"),
     "stage_listing": """

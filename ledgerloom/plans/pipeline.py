@@ -131,7 +131,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
     ``archive_dir`` (incremental only: a full rebuild needs the files again)
     moves the landing files that the ledger has there as the last step;
     ``threads`` independent table writes run as concurrent Spark jobs;
-    ``csv_multiline`` reads CSV fields with line breaks, a file being one split;
+    ``csv_multiline`` reads CSV fields with line breaks, files being split all the same;
     ``on_change``: a loaded file that has other content now is reported in
     ``changed`` (``report``) or stops the load (``raise``); it is not loaded again.
     """

@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.variant import utc_now
 from ledgerloom.schemas import CSV_NULL_MARKERS, CSV_TABLES, LANDING_PREFIX, MAX_LENGTH
+from ledgerloom.session import run_dir
+from ledgerloom.sources.csv_records import parse_records, split_records
 
 logger = logging.getLogger(__name__)
 
@@ -49,8 +51,8 @@ def _capped(writer, max_records_per_file: int | None):
 
 def write_csv_landing(df: DataFrame, root: str, source: str, ingestion_date: str, mode: str = "append",
                       max_records_per_file: int | None = None) -> str:
-    """``max_records_per_file`` matters only for sources read with
-    ``multiline=True``, whose files are one split each."""
+    """``max_records_per_file`` matters only for streaming loads with
+    ``multiline=True``, where a file is one split."""
     path = prefix_path(root, source)
     writer = df.withColumn("ingestion_date", F.lit(ingestion_date)).write.mode(mode).options(**CSV_OPTIONS)
     _capped(writer, max_records_per_file).partitionBy("ingestion_date").csv(path)
@@ -132,8 +134,12 @@ def load_csv(spark: SparkSession, path: str, source: str, multiline: bool = Fals
     """COPY INTO <source> from a landing prefix: typed, partition columns dropped.
 
     Files are split among tasks. ``multiline=True`` allows line breaks inside
-    quoted fields, but then a file is one split: keep its files moderate.
+    quoted fields (``sources.csv_records``: lines are stored once in the shared
+    folder when the load is planned, so that files are still split).
     """
+    if multiline:
+        records = split_records(spark, path, run_dir(spark, "csv"))
+        return type_csv_columns(parse_records(records, string_schema(CSV_TABLES[source])), source)
     reader = spark.read.schema(string_schema(CSV_TABLES[source])).options(**csv_options(multiline))
     return type_csv_columns(reader.csv(path), source)
 

@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.variant import utc_now
 from ledgerloom.plans.snapshots import Snapshots, drop_folder, file_system
 from ledgerloom.schemas import AI_USAGE_EVENTS, CSV_TABLES
+from ledgerloom.session import run_dir
 from ledgerloom.sources import landing as L
+from ledgerloom.sources.csv_records import parse_records, split_records
 
 FILES_PER_BATCH = 1000
 COMPACT_AT = 64             # folders of a source, beyond which a load rewrites them as one
@@ -102,7 +104,8 @@ class Loader:
     def _records(self, source: str, paths: list[str], multiline: bool, strict: bool = True) -> DataFrame:
         """Records of landed files as they are, with ``_file`` and ``_record`` (a hash)."""
         # the metadata column encodes a name as in a URL, where a plus sign stands for itself
-        name = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        split = multiline and source != "ai_usage_events"
+        name = F.url_decode(F.replace(F.col("_path" if split else "_metadata.file_path"), F.lit("+"), F.lit("%2B")))
         file = L.stage_path(name).alias("_file")
         paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]      # names, not patterns
         mode = "FAILFAST" if strict else "PERMISSIVE"
@@ -110,7 +113,10 @@ class Loader:
             raw = self.spark.read.option("singleVariantColumn", "raw_event").option("mode", mode).json(paths)
             return raw.select("raw_event", file, F.xxhash64(F.to_json("raw_event")).alias("_record"))
         schema = L.string_schema(CSV_TABLES[source])
-        raw = self.spark.read.schema(schema).options(**{**L.csv_options(multiline), "mode": mode}).csv(paths)
+        if split:
+            raw = parse_records(split_records(self.spark, paths, run_dir(self.spark, "csv"), strict), schema, mode)
+        else:
+            raw = self.spark.read.schema(schema).options(**{**L.csv_options(False), "mode": mode}).csv(paths)
         each = [F.coalesce(F.col(c), F.lit("\0")) for c in schema.fieldNames()]
         return raw.select(*schema.fieldNames(), file, F.xxhash64(*each).alias("_record"))
 

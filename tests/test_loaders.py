@@ -1,13 +1,18 @@
 """File-level behaviour of the loaders on hand-made landing files."""
 
+import csv
 import os
+import random
 
 import pytest
 
 from ledgerloom.operators import intermediate as I
 from ledgerloom.operators import marts as M
 from ledgerloom.operators import staging as S
+from ledgerloom.plans.snapshots import Snapshots
 from ledgerloom.sources import landing as L
+from ledgerloom.sources.csv_records import parse_records, split_records
+from ledgerloom.sources.ledger import Loader
 from ledgerloom.streaming.incremental import incremental_csv_load, read_target
 
 HEADER = "a,b,c,d,e,f,g,h,i,j\n"   # any header: columns bind by position
@@ -213,3 +218,91 @@ def test_missing_source_is_reported_and_skipped(spark, scratch, caplog):
 def test_files_of_an_unfinished_write_are_not_present(spark, scratch):
     _write(scratch, "postgres/accounts/_temporary/0/task/part-0.csv", "x\n")
     assert not L.has_files(spark, os.path.join(scratch, "postgres/accounts"))
+
+
+def _line_break_files(scratch, eol, rows=300, lines=9000):
+    """Three files with fields of one to thousands of lines, a header of two
+    lines, and a last line without an end."""
+    rng = random.Random(eol)
+    names = ["plain", '"a, b"', f'"two{eol}lines"', '"q""q"', '""', f'"""x{eol}{eol}y"""', f'"""{eol}"""', '" sp "', "",
+             '"' + f"z{eol}" * 20 + '"']
+    for f in range(3):
+        body = [f'A-{f}-{i},{rng.choice(names)},i,"c{eol}d",2026-01-02,r,Starter,3,true,false' for i in range(rows)]
+        body[rows // 2] = f'A-{f}-long,"' + f"z{eol}" * lines + '",i,c,2026-01-02,r,Starter,3,true,false'
+        head = f'a,"b{eol}b",c,d,e,f,g,h,i,j' if f == 1 else HEADER.strip()
+        path = os.path.join(scratch, f"postgres/accounts/ingestion_date=2026-10-0{f + 1}/part-0.csv")
+        os.makedirs(os.path.dirname(path))
+        with open(path, "w", newline="") as out:
+            out.write(eol.join([head, *body]) + (eol if f else ""))
+    return os.path.join(scratch, "postgres/accounts")
+
+
+@pytest.fixture()
+def small_splits(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "1"}
+    old = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("eol", ["\n", "\r\n"])
+def test_line_breaks_in_fields_are_read_by_many_tasks(spark, scratch, small_splits, eol):
+    path = _line_break_files(scratch, eol)
+    schema = L.string_schema(L.CSV_TABLES["accounts"])
+    folder = os.path.join(scratch, "stored")
+    records = split_records(spark, path, folder)
+    got = sorted(tuple(r) for r in parse_records(records, schema).drop("_path").collect())
+    want = []
+    for f in range(3):
+        with open(f"{path}/ingestion_date=2026-10-0{f + 1}/part-0.csv", newline="") as file:
+            want += [tuple(v or None for v in r) for r in list(csv.reader(file))[1:]]
+    key = lambda r: tuple(v or "" for v in r)       # noqa: E731
+    assert sorted((tuple(v or None for v in r) for r in got), key=key) == sorted(want, key=key)
+    assert spark.read.parquet(f"{folder}/blocks").groupBy("_path").count().agg({"count": "min"}).first()[0] > 5
+    if eol == "\n":
+        plain = spark.read.schema(schema).options(**L.csv_options(True)).csv(path).select(*schema.fieldNames())
+        assert sorted(map(tuple, plain.collect()), key=key) == sorted(got, key=key)
+
+
+def test_only_broken_lines_are_shuffled(spark, scratch, small_splits):
+    """Without line breaks every line passes without a shuffle of texts."""
+    body = "".join(f'A-{i},"n, n",i,c,2026-01-02,r,Starter,3,true,false\n' for i in range(2000))
+    path = _write(scratch, "postgres/accounts/ingestion_date=2026-10-03/part-0.csv", HEADER + body)
+    folder = os.path.join(scratch, "stored")
+    assert split_records(spark, path, folder).count() == 2000
+    blocks = spark.read.parquet(f"{folder}/blocks")
+    assert blocks.count() > 5 and blocks.where("odd > 0 or before % 2 = 1").count() == 0
+    assert L.load_csv(spark, path, "accounts", multiline=True).count() == 2000
+
+
+def test_file_that_ends_inside_a_field_aborts(spark, scratch):
+    ok = "A-1,n,i,c,2026-01-02,r,Starter,3,true,false\n"
+    with pytest.raises(Exception, match="ends inside a quoted field"):
+        _accounts(spark, scratch, ok + ok.replace("n,i", '"n,i'), multiline=True)
+
+
+def test_blank_lines_and_files_without_records(spark, scratch):
+    ok = "A-1,n,i,c,2026-01-02,r,Starter,3,true,false\n"
+    assert _accounts(spark, scratch, "\n  \n" + ok + "\r\n" + ok, multiline=True).count() == 2
+    _write(scratch, "postgres/accounts/ingestion_date=2026-10-04/part-0.csv", "")
+    _write(scratch, "postgres/accounts/ingestion_date=2026-10-05/part-0.csv", HEADER)
+    assert L.load_csv(spark, os.path.join(scratch, "postgres/accounts"), "accounts", multiline=True).count() == 2
+
+
+def test_line_breaks_through_the_ledger(spark, scratch, small_splits):
+    """A file touched without a change is no other file; new records are."""
+    path = _line_break_files(scratch, "\r\n", rows=60, lines=80)
+    snapshots = Snapshots(spark, os.path.join(scratch, "wh"))
+    loader = Loader(spark, snapshots)
+    loader.commit([loader.stage("accounts", scratch, multiline=True)])
+    assert loader.rows("accounts").count() == 180
+    file = f"{path}/ingestion_date=2026-10-01/part-0.csv"
+    os.utime(file, (1, 1))
+    assert Loader(spark, snapshots).stage("accounts", scratch, multiline=True).changed == []
+    with open(file, "a", newline="") as f:
+        f.write('\r\nA-x,"open,i,c,2026-01-02,r,Starter,3,true,false')
+    assert Loader(spark, snapshots).stage("accounts", scratch, multiline=True).changed == [
+        "postgres/accounts/ingestion_date=2026-10-01/part-0.csv"]
