@@ -201,6 +201,21 @@ def test_license_base_matches_brute_force(spark, edge_docs):
     ("under the GNU General Public License, version 3.", "gpl,gpl-3.0"), ("GNU Lesser General Public License v2.1", "gpl,lgpl-2.1"),
     ("see https://creativecommons.org/licenses/by-sa/3.0/", "cc-by-sa-3.0"), ("All rights reserved.", "reserved"),
     ("a permit limits the smithy", ""), (None, ""),
+    ("BSD 3-Clause License", "bsd-3-clause"), ("Licensed under the BSD-3-Clause license.", "bsd-3-clause"),
+    ("GPL-2.0-only", "gpl-2.0"), ("Apache-2.0", "apache-2.0"), ("MPL-2.0", "mpl-2.0"), ("LGPL-2.1+", "lgpl-2.1"),
+    ("License: MIT", "mit"), ('"license": "ISC"', "isc"), ("SPDX-License-Identifier: (MIT OR Apache-2.0)", "apache-2.0,mit"),
+    ("SPDX-License-Identifier: MIT-0", "mit-0"), ("MIT OR Apache-2.0", "apache-2.0"), ("license: MIT OR Apache-2.0", "apache-2.0,mit"),
+    ("https://www.gnu.org/licenses/gpl-3.0.html", "gpl-3.0"), ("http://www.apache.org/licenses/LICENSE-2.0", "apache-2.0"),
+    ("Permission is hereby granted, free of charge, to any person obtaining\n# a copy of this software and associated\n"
+     "# documentation files (the \"Software\"), to deal", "mit"),
+    (" * Redistribution and use in source and binary forms, with or without\n * modification, are permitted", "bsd"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "isc"),
+    ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+     "Free Software Foundation; either version 2 of the License", "gpl,gpl-2.0"),
+    ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+     "products derived from this software", "bsd-3-clause"),
+    ("The origin of this software must not be misrepresented;", "zlib"), ("version 2.0 of the apache-2.0.1 tool", ""),
+    ("3 clause by clause, bsd-like; the mit of the license", ""),
 ])
 def test_license_labels(text, labels):
     assert O10.Scanner.get().scan(text)[5] == labels
@@ -254,3 +269,11 @@ def test_license_edges(edge_docs, no_docs):
     assert next(r for r in got if r.doc_id == 13).labels == "cc-by,cc-by-nc-4.0,reserved"
     assert O10.scan_licenses(no_docs).count() == 0
     assert row(1, None)[1] is None
+
+
+def test_every_sentence_is_found_through_its_keyword():
+    s = O10.Scanner.get()
+    for label, words in O10.SENTENCES:
+        text = " ".join(t.split("|")[0] for t in words.split() if t[0] != "<")
+        for gap in (" ", "\n// ", ", "):
+            assert label in s.scan("x " + text.replace(" ", gap).upper() + " y")[5].split(","), (label, text)
