@@ -26,6 +26,7 @@ from ledgerloom.functions.variant import utc_now
 from ledgerloom.schemas import CSV_NULL_MARKERS, CSV_TABLES, LANDING_PREFIX, MAX_LENGTH
 from ledgerloom.session import run_dir
 from ledgerloom.sources.csv_records import parse_records, split_records
+from ledgerloom.sources.listing import list_files
 
 logger = logging.getLogger(__name__)
 
@@ -192,11 +193,12 @@ def list_stage(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stage_folders(spark: SparkSession, root: str) -> DataFrame:
-    """The listing by source and partition folder: whether it has files and bytes."""
+    """The listing by source and partition folder: whether it has files and bytes.
+    Each folder is listed by a task."""
     source = F.lit(None).cast("string")
     for name, prefix in LANDING_PREFIX.items():
         source = F.when(F.col("folder").startswith(prefix + "/"), F.lit(name)).otherwise(source)
-    return (list_stage(spark, root).withColumn("folder", relative_source_dir(F.col("stage_path")))
+    return (list_files(spark, root).withColumn("folder", relative_source_dir(F.col("stage_path")))
             .withColumn("source", source).where(F.col("source").isNotNull())
             .groupBy("source", "folder")
             .agg((F.count(F.lit(1)) > 0).alias("has_files"), (F.sum("length") > 0).alias("has_bytes")))
