@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import quality as Q
+from ledgerloom.operators.clustering import clustered
 from ledgerloom.plans.catalog import Catalog
 from ledgerloom.plans.models import MODELS, RAW, ModelSet, select
 from ledgerloom.plans.parallel import run_concurrently
@@ -33,10 +34,11 @@ from ledgerloom.sources.ledger import Loader
 PASSED_ON = {"stg_accounts": "accounts", "stg_subscriptions": "subscriptions", "stg_payments": "payments",
              "stg_support_tickets": "support_tickets"}
 
-# Facts are stored in ranges of their day (and key, so that one day can fill many
-# files): a query by day skips the files and row groups of other days.
-CLUSTERED = {"fact_ai_usage": ("date_key", "ai_usage_key"), "fact_payments": ("date_key", "payment_key"),
-             "fact_support_tickets": ("submitted_date_key", "support_ticket_key")}
+# Facts are stored along a curve over their day and customer (and key, so that one
+# place can fill many files): queries by either skip most files and row groups.
+CLUSTERED = {"fact_ai_usage": (("date_key", "customer_key"), "ai_usage_key"),
+             "fact_payments": (("date_key", "customer_key"), "payment_key"),
+             "fact_support_tickets": (("submitted_date_key", "customer_key"), "support_ticket_key")}
 
 
 class PipelineError(RuntimeError):
@@ -172,8 +174,7 @@ def run_pipeline(spark: SparkSession, landing_root: str, warehouse_root: str, as
         for level in _levels(chosen):
             frames = {name: models[name] for name in level}      # plans built on this thread
             for name in CLUSTERED.keys() & frames.keys():
-                by = CLUSTERED[name]
-                frames[name] = frames[name].repartitionByRange(*by).sortWithinPartitions(*by)
+                frames[name] = clustered(frames[name], *CLUSTERED[name])
             writes = {name: (lambda n=name, d=df: write(n, d))
                       for name, df in frames.items() if name not in PASSED_ON}
             stored = run_concurrently(writes, threads)
