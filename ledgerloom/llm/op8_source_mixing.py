@@ -21,6 +21,8 @@ Defined results
   target at the cap         every document of the source is taken ``cap`` times
   ties, repeated rows       each row is a document of its own; equal rows may
                             get different copies, the same on every run
+  very long text            its size is one number; as a stage, a bucket's rows
+                            travel with their texts
   empty table               no rows
   extra columns             kept
 """
@@ -41,7 +43,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)      # by the source's place in code point order, repeating
 SHARE = 1.5                    # of all words
 CAP = 2.0                      # most copies of a document, and of a source's words
-STEPS = 40
+STEPS = 40                     # Newton steps before halving the bracket
 BUCKET_DOCS = 4096
 MAX_SOURCES = 100_000          # a row a source reaches the driver; more is an error
 
@@ -90,7 +92,9 @@ def solve_dual(hist: DataFrame, sources: list[dict], cap: float = CAP, steps: in
     """The multiplier of each source's token constraint.
 
     ``hist`` has no (the source's number), size and n, the documents of that
-    size. Newton steps are kept inside the bracket found so far. A target at
+    size. Newton steps are kept inside the bracket found so far; a source whose
+    constraint is not met after ``steps`` of them has its bracket opened and
+    halved until it is, or until no double lies between its ends. A target at
     the cap is the limit of an infinite multiplier, a target of 0 of a
     negative one."""
     spark = hist.sparkSession
@@ -99,9 +103,9 @@ def solve_dual(hist: DataFrame, sources: list[dict], cap: float = CAP, steps: in
            for s in sources}
     low, high = dict.fromkeys(lam, -math.inf), dict.fromkeys(lam, math.inf)
     active = {k for k, v in lam.items() if v == 0.0}
-    for _ in range(steps):
-        if not active:
-            break
+    done = 0
+    while active:
+        done += 1
         now = spark.createDataFrame([(k, lam[k], by[k]["words"] / by[k]["docs"]) for k in sorted(active)],
                                     "no int, lam double, mean double")
         w, x = rate(F.col("lam"), F.col("size"), F.col("mean"), cap), F.col("size") / F.col("mean")
@@ -115,8 +119,14 @@ def solve_dual(hist: DataFrame, sources: list[dict], cap: float = CAP, steps: in
                 continue
             (low if gap > 0 else high)[k] = lam[k]
             step = max(-4.0, min(4.0, gap / r["slope"])) if r["slope"] > 0 else math.copysign(4.0, gap)
+            if done > steps:        # twice as far each time while the bracket is open, else to its middle
+                step = math.copysign(2.0 ** min(done - steps + 2, 1000), gap) if math.inf in (high[k], -low[k]) else math.inf
             to = lam[k] + step
-            lam[k] = to if low[k] < to < high[k] else (low[k] + high[k]) / 2
+            to = to if low[k] < to < high[k] else (low[k] + high[k]) / 2
+            if to in (low[k], high[k]) or not math.isfinite(to):
+                active.discard(k)       # as near as doubles come
+            else:
+                lam[k] = to
     return lam
 
 

@@ -301,13 +301,15 @@ def test_mix_hits_targets_and_repeats(spark):
     assert Counter(map(tuple, got)) == Counter(map(tuple, O8.op8_source_mixing(spark, SF0001).collect()))
 
 
-def test_dual_meets_constraints(spark):
+@pytest.mark.parametrize("steps", [O8.STEPS, 0, 2])
+def test_dual_meets_constraints(spark, steps):
+    """Also where Newton steps run out."""
     rng = np.random.default_rng(2)
     sizes = rng.integers(1, 3000, 200).tolist()
     hist = spark.createDataFrame([(k, s, 1) for k in range(3) for s in sizes], "no int, size long, n long")
     total = sum(sizes)
     sources = [{"no": k, "words": total, "docs": 200, "target": total * f} for k, f in enumerate((0.2, 1.0, 1.97))]
-    lam = O8.solve_dual(hist, sources)
+    lam = O8.solve_dual(hist, sources, steps=steps)
     for k, f in enumerate((0.2, 1.0, 1.97)):
         w = [2 / (1 + np.exp(-lam[k] * s / (total / 200))) for s in sizes]
         assert sum(a * b for a, b in zip(w, sizes)) == pytest.approx(total * f, rel=1e-5)
