@@ -35,6 +35,16 @@ CHECKS = [check("parent", "id", "unique"), check("child", "id", "unique"), check
 FAILURES = [1, 1, 1, 3, 1, 1, 1]
 
 
+def test_keys_of_a_space_are_counted_by_one_aggregate(spark, related):
+    assert failures(related, CHECKS) == {c.check_id: n for c, n in zip(CHECKS, FAILURES)}
+    numbered = list(enumerate(CHECKS))
+    slots = Q.key_slots(numbered)
+    assert slots == {Q.PARENTS: {("parent", "id"): 0, ("child", "parent"): 1, ("other", "parent"): 2}}
+    plan = Q.key_failures(related.__getitem__, [x for x in numbered if x[1].column == "parent" or x[1].model == "parent"],
+                          slots)._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and plan.split("== Physical Plan ==")[1].count("hashpartitioning(") == 2     # keys, then check numbers
+
+
 @pytest.mark.parametrize("hashed", [lambda k: F.lit(7).cast("bigint"), lambda k: F.length(k).cast("bigint"), Q._hash])
 def test_keys_that_share_a_hash_are_told_apart(spark, related, monkeypatch, hashed):
     monkeypatch.setattr(Q, "_hash", hashed)
