@@ -61,3 +61,19 @@ def test_only_hashes_of_lone_unique_keys_are_shuffled(spark, related, scratch, m
     found = Q.unique_failures(related.__getitem__, [(0, check("parent", "n", "unique")), (5, check("child", "id", "unique"))])
     assert [tuple(r) for r in found.collect()] == [(5, 1)]
     assert [spark.read.parquet(p).columns for p in seen] == [["no", "h"]] * 2 and spark.read.parquet(seen[1]).count() == 1
+
+
+@pytest.mark.parametrize("tests", [("not_null",), ("unique",), ("relationships",), None])
+def test_checks_store_no_joined_view(spark, scratch, monkeypatch, tests):
+    path = os.path.join(scratch, "dq")
+    monkeypatch.setattr(extra_queries, "run_dir", lambda spark, name: path)
+    extra_queries._checked(spark, SF0001, all_checks(tests=tests)).count()
+    assert set(os.listdir(path)) == {"accounts", "payments", "stg_ai_usage_events", "dim_date"} == set(M.REUSE_STORE)
+
+
+def test_keys_of_a_joined_view_need_no_facts(spark, scratch):
+    ms = extra_queries._ms(spark, SF0001)
+    ms.store(spark, ["int_customer_360", "int_account_revenue"], scratch)
+    for name in ("int_customer_360", "int_account_revenue"):
+        plan = ms[name].select("account_id")._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
