@@ -27,13 +27,15 @@ MEMO_WORDS = 300_000
 # but a letter or number, can be cut before every blank, stop and comma and
 # around every line break by plain replacement.
 _PLAIN_NOT = re.compile(r"\s\s|[\W_][.,]|[\x00\x01]")
-# The same question of the bytes: classes of ASCII bytes.
-_SPACE, _MARK, _STOP, _OTHER = 1, 2, 4, 8
-_KIND = np.zeros(256, np.uint8)
+# The same question of the bytes, by their classes: white space, marks, stops,
+# letters and numbers, bytes outside ASCII, and those that may begin a white space
+# or sign there.
+_CLASS = bytearray(b"H" * 256)
 for _c in range(128):
-    _KIND[_c] = _SPACE if chr(_c).isspace() else 0 if chr(_c).isalnum() else _MARK
-_KIND[list(b".,")] = _MARK | _STOP
-_KIND[[0, 1, 0xC2, *range(0xE1, 0xE4)]] = _OTHER      # may begin a white space or sign outside ASCII
+    _CLASS[_c] = ord("S" if chr(_c).isspace() else "L" if chr(_c).isalnum() else "T" if chr(_c) in ".," else "M")
+for _c in (0, 1, 0xC2, *range(0xE1, 0xE4)):
+    _CLASS[_c] = ord("O")
+_CLASS = bytes(_CLASS)
 # A blank starts a word if no other white space is next to it; texts that have
 # such white space are cut by the slower pattern.
 _TIGHT = re.compile(r" \s| \Z")
@@ -51,22 +53,26 @@ _CUTS = pa.large_list(pa.large_string())
 def plain(text: str) -> bool:
     """Whether ``text`` can be cut by plain replacement; False also where
     finding out would take a closer look at characters outside ASCII."""
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    kind = _KIND[raw]
-    if (kind == _OTHER).any():
+    raw = text.encode("utf-8", "surrogatepass")
+    kind = raw.translate(_CLASS)
+    if b"O" in kind:
         return not _PLAIN_NOT.search(text)
-    before, after = kind[:-1], kind[1:]
-    space = before & _SPACE
-    if (space & after).any() or ((after & _STOP != 0) & (before & (_SPACE | _MARK) != 0)).any():
+    if b"SS" in kind or b"ST" in kind or b"MT" in kind or b"TT" in kind:
         return False
-    at = np.flatnonzero((after & _STOP != 0) & (raw[:-1] >= 0x80))     # a stop after a character outside ASCII:
-    return bool(((raw[at - 1] == 0xC3) & (raw[at] != 0x97) & (raw[at] != 0xB7)).all())     # letters U+00C0 to U+00FF
+    at = kind.find(b"HT")               # a stop after a character outside ASCII: letters U+00C0 to U+00FF
+    while at >= 0:
+        if raw[at - 1] != 0xC3 or raw[at] in (0x97, 0xB7):
+            return False
+        at = kind.find(b"HT", at + 1)
+    return True
 
 
 class WordEncoder:
     """One tokenizer file with its memo. Ids are little-endian unsigned 32-bit."""
 
     _own: dict[str, "WordEncoder"] = {}
+    #: A word of ASCII letters is one piece, spelled with this before it; capitals too, if ``cased``.
+    lead, cased = "", False
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -117,11 +123,14 @@ class WordEncoder:
 
     def _learn(self, words: Iterable[str]) -> None:
         young, old, parts = self.young, self.old, self.parts
+        symbols, tokenize, lead, cased = self.symbols, self.tokenizer.model.tokenize, self.lead, self.cased
         todo: set[str] = set()
-        joined = []
+        joined, new = [], []
         for w in words:
             if w in old:
                 young[w] = old[w]
+            elif w.isalpha() and w.isascii() and (cased or w.islower()):
+                young[w] = array("I", [t.id for t in tokenize(lead + w)]).tobytes()
             elif w[-1:].isalpha() and w.islower() and "\n" not in w or (x := parts(w)) is None:
                 todo.add(w)
             else:
@@ -131,8 +140,9 @@ class WordEncoder:
                         young[p] = old[p]
                     elif p not in young:
                         todo.add(p)
-        symbols, tokenize, new = self.symbols, self.tokenizer.model.tokenize, []
         for w in todo:
+            if w in young:
+                continue
             if (x := symbols(w)) is None:
                 new.append(w)
             else:
@@ -206,6 +216,8 @@ class ByteLevelEncoder(WordEncoder):
     """Byte-level BPE: a blank belongs to the word after it. A piece's name is
     the piece without its leading blank, or \\0 or \\1 and a piece without one."""
 
+    lead, cased = _BLANK, True
+
     def words(self, text: str) -> str | list[str]:
         if plain(text):
             return "\1" + text.replace(",", " \0,").replace(".", " \0.").replace("\n", " \0\n \1")

@@ -360,3 +360,33 @@ def test_every_query_is_registered():
     names = set(E.queries())
     assert {n for n in names if n.startswith("op")} and "pipeline" in names
     assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
+
+
+@pytest.mark.parametrize("kind, name, text", [
+    (ByteLevelEncoder, "byte_bpe_50k.json", "plain words With capitals quxzat"),
+    (WhiteSpaceEncoder, "word_bpe_49k.json", "plain words without capitals quxzat")])
+def test_ascii_words_go_to_the_model_at_once(monkeypatch, kind, name, text):
+    import public_tokenizers
+    encoder = kind(public_tokenizers.path(name))
+    monkeypatch.setattr(kind, "symbols", staticmethod(lambda word: None if word[0] == "\1" else pytest.fail(word)))
+    ids = np.frombuffer(encoder.encode([text], 7)[0], "<u4").tolist()
+    assert ids == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [7]
+
+
+def test_plain_texts_by_byte_classes():
+    import random
+    from ledgerloom.llm import tokens as T
+    draw = random.Random(5)
+    for _ in range(20_000):
+        text = "".join(draw.choices("ab9 .,;_\n\té×÷ ł 　\0\1-", k=draw.randint(1, 9)))
+        # False is allowed where a stop follows a letter above U+00FF
+        assert not T.plain(text) or not T._PLAIN_NOT.search(text), ascii(text)
+        if text.isascii():
+            assert T.plain(text) == (not T._PLAIN_NOT.search(text)), ascii(text)
+
+
+def test_counted_is_unique_with_counts():
+    for ids in ([], [5], [5, 5], [9, 0, 65535, 9, 3, 0, 9]):
+        x = np.array(ids, "<u2")
+        got, want = O4.counted(x), np.unique(x, return_counts=True)
+        assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
