@@ -390,3 +390,18 @@ def test_counted_is_unique_with_counts():
         x = np.array(ids, "<u2")
         got, want = O4.counted(x), np.unique(x, return_counts=True)
         assert got[0].tolist() == want[0].tolist() and got[1].tolist() == want[1].tolist()
+
+
+@pytest.mark.parametrize("n, most", [(0, 1), (1, 1), (9, 300), (1000, 50_000), (1000, 1 << 20)])
+def test_planes_move_ids_as_masks_do(monkeypatch, n, most):
+    from ledgerloom.llm import wavelet
+    used = []
+    real = wavelet._mask
+    monkeypatch.setattr(wavelet, "_mask", lambda plane, n: used.append(n) or real(plane, n))
+    ids = np.random.default_rng(n).integers(0, most, n).astype(np.uint32)
+    matrix, now = WaveletMatrix.build(ids), ids
+    for k in range(matrix.width):
+        bit = now >> (matrix.width - 1 - k) & 1 == 1
+        assert matrix.bits(k).tolist() == bit.tolist()
+        now = np.concatenate((now[~bit], now[bit]))
+    assert matrix.all_ids().tolist() == ids.tolist() and used == [n] * 2 * matrix.width
