@@ -77,3 +77,39 @@ def test_keys_of_a_joined_view_need_no_facts(spark, scratch):
     for name in ("int_customer_360", "int_account_revenue"):
         plan = ms[name].select("account_id")._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_unique_checks_of_one_stored_column_share_its_shuffle(spark, scratch):
+    spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "id string").write.parquet(scratch + "/t")
+    raw = spark.read.parquet(scratch + "/t")
+    views = {"raw": raw, "mart": raw.select("*").select(F.col("id").alias("key"), "id")}
+    checks = [(0, check("raw", "id", "unique")), (1, check("mart", "key", "unique")), (2, check("mart", "id", "unique"))]
+    hashes = Q.repeated_hashes(views.__getitem__, checks)
+    assert sorted(r.no for r in hashes.collect()) == [0, 1, 2]
+    assert hashes._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("ReusedExchange") == 2
+    assert failures(views, [c for _, c in checks]) == {"unique_raw_id": 1, "unique_mart_key": 1, "unique_mart_id": 1}
+
+
+@pytest.mark.parametrize("tests, columns", [
+    (("unique",), ["payment_date", "payment_id"]), (("relationships",), ["account_id", "payment_date", "subscription_id"]),
+    (None, ["payment_id", "account_id", "subscription_id", "payment_date", "amount", "currency", "payment_status", "payment_method"])])
+def test_payments_are_stored_with_the_columns_checks_read(spark, scratch, monkeypatch, tests, columns):
+    path = os.path.join(scratch, "dq")
+    monkeypatch.setattr(extra_queries, "run_dir", lambda spark, name: path)
+    extra_queries._checked(spark, SF0001, all_checks(tests=tests)).count()
+    assert spark.read.parquet(path + "/payments").columns == columns
+
+
+def test_a_column_that_was_not_stored_cannot_be_read(spark, scratch):
+    ms = extra_queries._ms(spark, SF0001)
+    whole = ms["fact_payments"].select("payment_key", "date_key").collect()
+    ms.store(spark, ["fact_payments"], scratch, columns={"payments": M.reads_of_payments({("fact_payments", "payment_key")})})
+    assert sorted(ms["fact_payments"].select("payment_key", "date_key").collect()) == sorted(whole)
+    with pytest.raises(Exception, match="payments.amount was not stored"):
+        ms["fact_payments"].select("amount").collect()
+
+
+def test_dates_of_line_items_are_cut_before_the_join(spark):
+    plan = extra_queries._ms(spark, SF0001)["payments"].select("payment_date", "account_id")._jdf.queryExecution().optimizedPlan().toString()
+    join, sides = plan.split("Join", 1)
+    assert "cast(l_shipdate" in sides and "cast(l_shipdate" not in join
