@@ -7,8 +7,8 @@ together. So each window is filed under its minimizer: of the hashes of its
 on the window's content alone. Neighbouring windows mostly share it; such a
 run of windows, its text a segment, is the unit that moves:
 
-  1. one pass over the texts lists segments (minimizer, digest of the text,
-     document, place); minimizers that occur once in all are dropped
+  1. one pass over the texts counts minimizers, a second lists the segments
+     (minimizer, digest of the text, document, place) of those that occur twice
   2. equal segments are counted and go on as one; only these fetch their text
   3. shards by minimizer sort their segments' suffixes by induction and compute
      permuted common prefixes (see ``suffix_array``); a window with a common
@@ -121,23 +121,38 @@ def _bytes(text: str) -> np.ndarray:
 def list_segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """k1, k2, at, n, h (minimizer), d (digest of the text) of every segment."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["k1", "k2", "at", "n", "h", "d"]
+        digest = xxhash.xxh3_64_intdigest
         for b in batches:
-            for k1, k2, text in zip(b.column("k1").to_pylist(), b.column("k2").to_pylist(), b.column("text").to_pylist()):
+            found, digests = [], []
+            for text in b.column("text").to_pylist():
                 raw = _bytes(text)
                 at, n, h = segments(raw, window, gram)
-                if not len(at):
-                    continue
-                whole, digest = raw.tobytes(), xxhash.xxh3_64_intdigest
-                d = np.fromiter((digest(whole[a:e]) for a, e in zip(at.tolist(), (at + n + window - 1).tolist())), np.uint64, len(at))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), k1)), pa.array(np.full(len(at), k2)), pa.array(at.astype(np.int32)),
-                     pa.array(n.astype(np.int32)), pa.array(h), pa.array(d.view(np.int64))], names)
+                whole = raw.tobytes()
+                digests += [digest(whole[a:e]) for a, e in zip(at.tolist(), (at + n + window - 1).tolist())]
+                found.append((at, n, h))
+            if not found:
+                continue
+            at, n, h = map(np.concatenate, zip(*found))
+            sizes = [len(x[0]) for x in found]
+            k1, k2 = (np.repeat(b.column(c).to_numpy(), sizes) for c in ("k1", "k2"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (k1, k2, at.astype(np.int32), n.astype(np.int32), h, np.array(digests, np.uint64).view(np.int64))],
+                ["k1", "k2", "at", "n", "h", "d"])
 
     return docs.select("k1", "k2", "text").where(F.octet_length("text") >= window) \
         .mapInArrow(_merged(run), "k1 long, k2 long, at int, n int, h long, d long")
 
 
+def list_minimizers(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    """h of every segment: what ``list_segments`` lists, without digests and places."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [segments(_bytes(text), window, gram)[2] for text in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *found]))], ["h"])
+
+    return docs.select("text").where(F.octet_length("text") >= window).mapInArrow(run, "h long")
+
+
 def _merged(run):
     """``run`` with its many small batches put together."""
     def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,10 +261,10 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sha
     """k1, k2, ranges (array of begin, end in bytes) of the documents of
     ``keyed`` rows that hold a repeated window."""
     small_batches(docs.sparkSession)
-    listed = list_segments(docs, window, gram)
+    counted = list_minimizers(docs, window, gram).groupBy("h").agg(F.count("*").alias("places"))
     # stored, so that both sides of the join are shuffles AQE can split at a hot minimizer
-    per_h = stored(listed.groupBy("h").agg(F.count("*").alias("places")).where("places > 1").select("h"), "minimizers")
-    candidates = stored(listed.join(per_h, "h", "left_semi"), "segments")
+    per_h = stored(counted.where("places > 1").select("h"), "minimizers")
+    candidates = stored(list_segments(docs, window, gram).join(per_h, "h", "left_semi"), "segments")
     distinct = candidates.groupBy("h", "d").agg(F.min(F.struct("k1", "k2", "at", "n")).alias("one"), F.count("*").alias("copies"))
     subs = candidates.groupBy("h").agg(F.count_distinct("d").alias("m")) \
         .select("h", F.ceil(F.col("m") / hot_segments).cast("long").alias("subs"))

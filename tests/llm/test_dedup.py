@@ -183,6 +183,15 @@ def test_repeats_match_brute_force(spark):
     assert Counter(map(tuple, O9.op9_suffix_dedup(spark, SF0001).collect())) == plain_removal(rows)
 
 
+def test_minimizers_are_listed_without_their_segments(spark):
+    texts = [prose(i, 60) for i in range(9)] * 2 + ["ab" * 300, "é" * 250, "", "x" * 199, "y" * 200, None]
+    docs = O9.keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    listed = O9.list_minimizers(docs, 200, 32)
+    assert listed.columns == ["h"]
+    whole = O9.list_segments(docs, 200, 32)
+    assert Counter(r.h for r in listed.collect()) == Counter(r.h for r in whole.select("h").collect())
+
+
 def test_repeats_with_hot_minimizers_and_many_shards(spark):
     passage = prose(3, 60)
     texts = [prose(1000 + i, 20) + passage + prose(2000 + i, 20) for i in range(40)]
