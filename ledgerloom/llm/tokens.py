@@ -131,6 +131,8 @@ class WordEncoder:
                 young[w] = old[w]
             elif w.isalpha() and w.isascii() and (cased or w.islower()):
                 young[w] = array("I", [t.id for t in tokenize(lead + w)]).tobytes()
+            elif (x := symbols(w)) is not None:         # then it has no parts
+                young[w] = array("I", [t.id for t in tokenize(x)]).tobytes()
             elif w[-1:].isalpha() and w.islower() and "\n" not in w or (x := parts(w)) is None:
                 todo.add(w)
             else:
@@ -233,14 +235,15 @@ class ByteLevelEncoder(WordEncoder):
     @staticmethod
     def symbols(word: str) -> str | None:
         """A blank and letters are one piece; its bytes are spelled as letters."""
-        bare = word[1:] if word[:1] in ("\0", "\1") else word
+        first = word[:1] == "\0" or word[:1] == "\1"
+        bare = word[1:] if first else word
         if not bare.isalpha():
             return None
         if not bare.isascii():
             if _OVER_LATIN1.search(bare):
                 return None
             bare = bare.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return bare if word[:1] in ("\0", "\1") else _BLANK + bare
+        return bare if first else _BLANK + bare
 
     def parts(self, word: str) -> tuple[str, ...] | None:
         """Letters, then ASCII marks: always apart before merging."""

@@ -46,8 +46,7 @@ class WaveletMatrix:
         now = ids.astype(np.uint16 if width <= 16 else np.uint32)
         planes = []
         for k in range(width - 1, -1, -1):
-            bit = (now >> now.dtype.type(k)) & now.dtype.type(1) == 1
-            planes.append(np.packbits(bit, bitorder="little"))
+            planes.append(np.packbits(now & now.dtype.type(1 << k) != 0, bitorder="little"))
             values = pa.array(now)
             now = np.concatenate([pc.filter(values, _mask(p, len(now))).to_numpy() for p in (~planes[-1], planes[-1])])
         return cls(len(ids), planes)
@@ -118,12 +117,13 @@ class WaveletMatrix:
     def all_ids(self) -> np.ndarray:
         """Every id in order: the planes' moves undone from the last to the first."""
         kind = np.uint16 if self.width <= 16 else np.uint32
-        now = np.zeros(self.n, kind)
+        now, out = np.zeros(self.n, kind), np.empty(self.n, kind)
         for k in range(self.width - 1, -1, -1):
-            bit, out = self.bits(k), np.empty(self.n, kind)
-            out[np.flatnonzero(~bit)] = now[: self.zeros[k]]
-            out[np.flatnonzero(bit)] = now[self.zeros[k]:] | kind(1 << (self.width - 1 - k))
-            now = out
+            bit, z = self.bits(k), self.zeros[k]
+            now[z:] |= kind(1 << (self.width - 1 - k))
+            out[bit] = now[z:]
+            out[np.logical_not(bit, out=bit)] = now[:z]
+            now, out = out, now
         return now.astype("<u4")
 
 

@@ -405,3 +405,19 @@ def test_planes_move_ids_as_masks_do(monkeypatch, n, most):
         assert matrix.bits(k).tolist() == bit.tolist()
         now = np.concatenate((now[~bit], now[bit]))
     assert matrix.all_ids().tolist() == ids.tolist() and used == [n] * 2 * matrix.width
+
+
+@pytest.mark.parametrize("kind, file, words", [(ByteLevelEncoder, "byte_bpe_50k.json", ["\1Wort", "Zeile", "\1Über", "Été", "\0été"]),
+                                               (WhiteSpaceEncoder, "word_bpe_49k.json", ["wort", "zeile", "über", "été"])])
+def test_words_of_letters_are_learned_at_once(monkeypatch, kind, file, words):
+    import public_tokenizers
+    encoder = kind(public_tokenizers.path(file))
+
+    def never(*args):
+        raise AssertionError("a word of letters was cut or sent to the library")
+
+    monkeypatch.setattr(encoder, "parts", never)
+    monkeypatch.setattr(encoder, "_ids", never)
+    encoder._learn(words)
+    spelled = [encoder.spelled(w) for w in words]
+    assert [list(np.frombuffer(encoder.young[w], "<u4")) for w in words] == [tokenizer(file).encode(x, add_special_tokens=False).ids for x in spelled]
