@@ -113,3 +113,52 @@ def test_dates_of_line_items_are_cut_before_the_join(spark):
     plan = extra_queries._ms(spark, SF0001)["payments"].select("payment_date", "account_id")._jdf.queryExecution().optimizedPlan().toString()
     join, sides = plan.split("Join", 1)
     assert "cast(l_shipdate" in sides and "cast(l_shipdate" not in join
+
+
+def values(df, column):
+    return sorted(str(r[0]) for r in df.select(column).collect())
+
+
+def test_declared_copies_are_row_for_row(spark):
+    ms = extra_queries._ms(spark, SF0001)
+    for model, columns in M.COPIES.items():
+        for column, (up, source) in columns.items():
+            assert up in M.upstream(model) and values(ms[model], column) == values(ms[up], source), (model, column)
+
+
+def test_a_stored_column_is_a_key_column_once(spark, scratch, monkeypatch):
+    """Copies of a column in other views take no rows of the shuffle of keys."""
+    monkeypatch.setattr(extra_queries, "run_dir", lambda spark, name: scratch + "/dq")
+    seen = []
+    monkeypatch.setattr(Q, "key_failures", lambda resolve, numbered, slots, f=Q.key_failures: seen.append(slots) or f(resolve, numbered, slots))
+    checks = all_checks(tests=("relationships", "unique"))
+    found = {r.check_id: r.failures for r in extra_queries._checked(spark, SF0001, checks).collect()}
+    columns = [at for space in seen[0].values() for at in space]
+    assert len(columns) == len(set(columns)) == 16
+    assert {m for m, _ in columns} == {"accounts", "subscriptions", "payments", "support_tickets", "stg_ai_usage_events", "fact_payments",
+                                       "fact_support_tickets", "fact_ai_usage", "dim_date", "dim_ai_model", "dim_feature"}
+    ms = extra_queries._ms(spark, SF0001)
+    assert found == failures(ms, checks)                        # every view counted by itself
+    assert any(n for n in found.values())
+
+
+def test_a_view_that_gains_rows_or_was_given_is_counted_itself(spark, monkeypatch):
+    ms = extra_queries._ms(spark, SF0001)
+    assert ms.origin("int_customer_360", "account_id") == ms.origin("dim_customer", "customer_key") == ("accounts", "account_id")
+    assert ms.origin("dim_customer", "plan_tier") == ("dim_customer", "plan_tier")
+    ms.override("dim_customer", ms["dim_customer"].limit(3))
+    assert ms.origin("dim_customer", "customer_key") == ("dim_customer", "customer_key")
+    whole = M.MODELS["int_customer_360"]
+    twice = M.Model(whole.name, whole.layer, whole.materialized, lambda *a, **k: (lambda v: v.unionAll(v))(whole.build(*a, **k)), whole.upstream)
+    monkeypatch.setitem(M.MODELS, "int_customer_360", twice)
+    ms = extra_queries._ms(spark, SF0001)
+    assert ms.origin("int_customer_360", "account_id") == ("int_customer_360", "account_id")
+    checks = [c for c in all_checks(tests=("unique",)) if c.model == "int_customer_360"]
+    assert [r.failures for r in Q.run_checks(ms.__getitem__, checks, ms.origin).collect()] == [ms["accounts"].count()]
+
+
+def test_counting_a_joined_view_runs_no_join(spark):
+    ms = extra_queries._ms(spark, SF0001)
+    for name in M.JOINED_ONTO:
+        plan = ms[name].groupBy().count()._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftOuter" not in plan, plan
