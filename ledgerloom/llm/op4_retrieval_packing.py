@@ -170,9 +170,8 @@ def encode_rows(docs: DataFrame, vocabulary: str, end_id: int, scratch: Scratch)
             raise ValueError("ids are kept in 16 bits")
         encode = encoder.encode
         for b in batches:
-            raw = encode(b.column("text").to_pylist(), end_id)
-            short = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in raw]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array(short, pa.binary())],
+            ids = encode(b.column("text").to_pylist(), end_id, "<u2")
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                                              ["doc_id", "n", "ids"])
 
     rows = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, ids binary")
@@ -324,14 +323,15 @@ class Chain:
                 self.pieces, self.fill = [], 0
 
 
-def _step(left: DataFrame, step: int, corpus, window: int, shard_docs: int) -> DataFrame:
-    """One pass over units in the order of their keys: 1 deals what it cannot
+def _step(left: DataFrame, step: int, corpus, window: int, shard_docs: int, tokens: int | None = None) -> DataFrame:
+    """One pass over units (of ``tokens`` in all) in the order of their keys: 1 deals what it cannot
     fill for the second pass, 2 chains it and hands on each task's last
     window, 3 only chains and closes the last window, too."""
     names = [f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema]
     order = ["doc_id", "uid", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids", "key", "unit"]
     schema = ", ".join(next(x for x in names if x.startswith(f"`{c}`")) for c in order)
-    tokens = left.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    if tokens is None:
+        tokens = left.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     dealt = left.repartitionByRange(blocks_for(tokens, PART_TOKENS, 1), "key", "unit").sortWithinPartitions("key", "unit", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,12 +407,15 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int =
     spark = docs.sparkSession
     scratch = Scratch(spark)
     rows = encode_rows(docs, vocabulary, end_id, scratch)
-    found, _ = corpus_of(rows)
+    found, tokens = corpus_of(rows)
     corpus = spark.sparkContext.broadcast(found)        # a number for each of 65,536 ids
-    first = stored(_step(keyed(rows, corpus), 1, corpus, window, shard_docs), "packing-first")
+    units = Scratch(spark)      # keys are worked out once: range bounds and the shuffle read them stored
+    dealt = units.store(keyed(rows, corpus), "packing-keyed")
+    scratch.drop()              # one stored copy of the ids at a time
+    first = stored(_step(dealt, 1, corpus, window, shard_docs, tokens), "packing-first")
+    units.drop()
     second = stored(_step(first.where("ids is not null"), 2, corpus, window, shard_docs), "packing-second")
     third = stored(_step(second.where("ids is not null"), 3, corpus, window, shard_docs), "packing-third")
-    scratch.drop()
     closed = first.where("ids is null").unionByName(second.where("ids is null")).unionByName(third)
     return closed.select("doc_id", F.col("uid").alias("copy"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 

@@ -167,25 +167,26 @@ class WordEncoder:
                 return [raw[4 * a:4 * z] for a, z in zip([0, *(z + 1 for z in ends)], ends)]
         return [array("I", e.ids).tobytes() for e in fast(pieces, add_special_tokens=False)]
 
-    def encode(self, texts: list[str | None], end: int) -> list[bytes]:
-        """Ids of each text with ``end`` after them."""
+    def encode(self, texts: list[str | None], end: int, kind: str = "<u4") -> list[bytes]:
+        """Ids of each text with ``end`` after them, as numbers of ``kind``
+        (which must hold every id)."""
         gc.disable()        # many small objects, no cycles
         try:
-            return self._encode(texts, end)
+            return self._encode(texts, end, np.dtype(kind))
         finally:
             gc.enable()
 
-    def _encode(self, texts: list[str | None], end: int) -> list[bytes]:
+    def _encode(self, texts: list[str | None], end: int, kind: np.dtype) -> list[bytes]:
         if len(self.young) > MEMO_WORDS:
             self.old, self.young = self.young, {}
-        last = array("I", [end]).tobytes()
+        last = np.array([end], kind).tobytes()
         out = [last] * len(texts)
         spaced, listed = [], []             # texts cut at every blank, and texts cut otherwise
         for i, t in enumerate(texts):
             if not t:
                 continue
             if self.names_token(t):                 # rare: by the library as a whole
-                out[i] = array("I", self.tokenizer.encode(t, add_special_tokens=False).ids).tobytes() + last
+                out[i] = np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, kind).tobytes() + last
                 continue
             cut = self.words(t)
             (spaced if isinstance(cut, str) else listed).append((i, cut))
@@ -201,14 +202,14 @@ class WordEncoder:
             self._learn([words[k] for k in new])
             for k in new:
                 ids[k] = self.young[words[k]]
-        flat = np.frombuffer(b"".join(ids), "<u4")
+        flat = np.frombuffer(b"".join(ids), "<u4").astype(kind, copy=False)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         first = np.cumsum(size) - size
         place = coded.indices.to_numpy()
         n = size[place]
         ends = np.concatenate(([0], np.cumsum(n)))
         raw = flat[np.arange(ends[-1]) + np.repeat(first[place] - ends[:-1], n)].tobytes()
-        edges = (4 * ends[cuts.offsets.to_numpy()]).tolist()
+        edges = (kind.itemsize * ends[cuts.offsets.to_numpy()]).tolist()
         for i, a, z in zip(at, edges, edges[1:]):
             out[i] = raw[a:z] + last
         return out

@@ -1,5 +1,6 @@
 """Nearest neighbours, token files, packing, mixing, the pipeline."""
 
+import os
 import random
 import re
 import zlib
@@ -421,3 +422,32 @@ def test_words_of_letters_are_learned_at_once(monkeypatch, kind, file, words):
     encoder._learn(words)
     spelled = [encoder.spelled(w) for w in words]
     assert [list(np.frombuffer(encoder.young[w], "<u4")) for w in words] == [tokenizer(file).encode(x, add_special_tokens=False).ids for x in spelled]
+
+
+def test_keys_are_worked_out_once(spark, monkeypatch):
+    """Range bounds and the shuffle of the first pass read stored keys; one copy of the ids is stored."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * j % 37}" for j in range(1 + i % 50))) for i in range(300)], "doc_id long, text string")
+    seen, paths = [], []
+
+    def store(self, df, name, f=O4.Scratch.store):
+        out = f(self, df, name)
+        paths.append(self.paths[-1])
+        return out
+
+    def step(left, step, *args, f=O4._step):
+        seen.append((left._jdf.queryExecution().optimizedPlan().toString(), args[3:], list(map(os.path.isdir, paths))))
+        return f(left, step, *args)
+
+    monkeypatch.setattr(O4.Scratch, "store", store)
+    monkeypatch.setattr(O4, "_step", step)
+    rows = O4.pack_documents(docs).collect()
+    plan, tokens, there = seen[0]
+    assert "MapInArrow" not in plan and there == [False, True]
+    assert tokens == (sum(r.length for r in rows),) and len(paths) == 2 and not any(map(os.path.isdir, paths))
+
+
+def test_ids_of_16_bits_are_those_of_32():
+    e = WhiteSpaceEncoder.get("word_bpe_49k.json")
+    texts = ["", None, "plain words, and a stop.", "Größe  ünd <|startoftext|> x", "\n a\tb"]
+    for x, y in zip(e.encode(texts, 1), e.encode(texts, 1, "<u2")):
+        assert np.frombuffer(x, "<u4").astype("<u2").tobytes() == y
