@@ -50,10 +50,18 @@ def test_compressed_landing_has_bounded_files_and_the_same_records(spark, scratc
     assert events[0].count() == events[1].count() == 1000 and events[0].exceptAll(events[1]).isEmpty()
 
 
-def test_the_pipeline_lands_compressed_text_and_stores_zstd(spark):
+def test_the_pipeline_lands_compressed_text_and_stores_zstd(spark, monkeypatch):
     root, wh = X._landed(spark, SF0001), run_dir(spark, "wh")
     assert all(f.endswith(".gz") for f in _files(root))
+    run, calls = P.run_concurrently, []
+    monkeypatch.setattr(P, "run_concurrently", lambda tasks, threads: (calls.append((list(tasks), threads)), run(tasks, threads))[1])
+    monkeypatch.setattr(P, "ONE_BY_ONE", 11_000)       # the ledger's rows: 160 + 1,500 + 6,000 + 1,000 + 1,000
+    P.run_pipeline(spark, root, wh, as_of="2026-10-02", selection="dim_customer", on_check_failure="warn")
+    assert [n for _, n in calls[1:]] == [4]
+    calls.clear()
+    monkeypatch.setattr(P, "ONE_BY_ONE", 9_000)
     P.run_pipeline(spark, root, wh, as_of="2026-10-02", selection="marts", on_check_failure="warn")
+    assert all(n == 1 for _, n in calls[1:]) and set(calls[1][0][:3]) == set(P.CLUSTERED)       # facts first, one by one
     stored = [f for f in _files(wh) if f.endswith(".parquet") and ("/rows/" in f or "/marts/" in f)]
     used = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in stored if pq.ParquetFile(f).metadata.num_row_groups}
     assert len(stored) > 10 and used == {"ZSTD"}
